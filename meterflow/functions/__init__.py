@@ -2,7 +2,6 @@ from meterflow.functions.bands import daypart, season, season_factor
 from meterflow.functions.clock import (
     calendar_parts,
     epoch_to_timestamp,
-    local_date,
     local_midnight,
     time_shift,
     unix_window,

@@ -28,6 +28,14 @@ def duration(value: int | str | timedelta) -> str:
     return f"{value} seconds" if isinstance(value, int) else value
 
 
+def interval_micros(value: int | str | timedelta) -> Column:
+    """The length of a duration argument in microseconds, as a constant."""
+    interval = F.expr(f"CAST(INTERVAL '{duration(value)}' AS INTERVAL DAY TO SECOND)")
+    parts = {"DAY": 86400, "HOUR": 3600, "MINUTE": 60, "SECOND": 1}
+    seconds = sum(F.extract(F.lit(part), interval) * factor for part, factor in parts.items())
+    return (seconds * 1_000_000).cast("long")
+
+
 def epoch_to_timestamp(df: DataFrame, col: str = "timestamp") -> DataFrame:
     """Replace epoch seconds by the instant they name."""
     return df.withColumn(col, F.timestamp_seconds(col))
@@ -49,11 +57,6 @@ def calendar_parts(
     return df.withColumns({part: _PARTS[part](wall) for part in parts})
 
 
-def local_date(ts: Column | str, tz: str = "UTC") -> Column:
-    """The ``yyyy-MM-dd`` text of the day in ``tz``."""
-    return wall_clock(ts, tz).cast("date").cast("string")
-
-
 def unix_window(window: Column | str = "window") -> Column:
     """A window struct as a struct of epoch seconds."""
     window = F.col(window) if isinstance(window, str) else window

@@ -26,3 +26,20 @@ def enrich_city(df: DataFrame, cities: DataFrame, how: str = "inner") -> DataFra
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     return df.join(cities, "cityID", how)
+
+
+def lookup_join(
+    df: DataFrame, dim: DataFrame, key: str, how: str = "inner", *, max_rows: int = 500_000, salts: int = 64
+) -> DataFrame:
+    """Join ``df`` with a table that has one row per ``key``, however ``df`` is skewed.
+
+    A table of up to ``max_rows`` rows is broadcast. Beyond that both sides are shuffled by
+    the key and a salt, with a copy of the table per salt, so the rows of a hot key are
+    spread over ``salts`` tasks.
+    """
+    if dim.limit(max_rows + 1).count() <= max_rows:
+        return df.join(F.broadcast(dim), key, how)
+    others = [name for name in df.columns if name != key]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
+    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")

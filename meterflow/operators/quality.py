@@ -36,20 +36,16 @@ def detect_rollback(
     ranges = written_table(
         reports.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "report-ranges"
     )
-    last = F.max_by(F.struct(F.col("meterID").alias("meter"), F.col(register).alias("reading")), F.struct(*order))
+    report = F.struct(F.col("meterID").alias("meter"), F.col(register).alias("reading"))
     carried = (
         ranges.groupBy("_range")
-        .agg(last.alias("_last"))
+        .agg(F.max_by(report, F.struct(*order)).alias("_last"))
         .select("_range", F.lag("_last").over(Window.orderBy("_range")).alias("_carried"))
     )
-    inside = Window.partitionBy("_range").orderBy(*order)
-    before = F.coalesce(
-        F.lag(F.struct(F.col("meterID").alias("meter"), F.col(register).alias("reading"))).over(inside),
-        F.col("_carried"),
-    )
+    inside = ranges.withColumn("_inside", F.lag(report).over(Window.partitionBy("_range").orderBy(*order)))
     return (
-        ranges.join(F.broadcast(carried), "_range")
-        .withColumn("_before", before)
+        inside.join(F.broadcast(carried), "_range")
+        .withColumn("_before", F.coalesce("_inside", "_carried"))
         .where((F.col("_before.meter") == F.col("meterID")) & (F.col(register) < F.col("_before.reading")))
         .select(*readings.columns, F.col("_before.reading").alias("previous"))
     )

@@ -89,7 +89,9 @@ def city_map_latest(
 ) -> DataFrame:
     """One row per city with the position and the value of its newest recent point."""
     newest = last_per_series(recent(select_series(points, CITY_MEASUREMENT), as_of, span))
-    rows = newest.groupBy("time", "tags").pivot("field", list(CITY_FIELDS)).agg(F.first("value"))
+    # At most one value per field: a pivot that needs no shuffle of its own.
+    columns = [F.max(F.when(F.col("field") == name, F.col("value"))).alias(name) for name in CITY_FIELDS]
+    rows = newest.groupBy("time", "tags").agg(*columns)
     named = rows.withColumns({"cityID": F.col("tags")["cityID"], "cityName": F.col("tags")["cityName"]})
     return drop_columns(named, ["tags"])
 

@@ -164,10 +164,11 @@ def hourly_store_merge(spark, sf_dir):
 
 
 def hourly_store_append(spark, sf_dir):
-    """History appended once, and one year of it read back from its directories."""
+    """Final hourly values appended once, and one year of them read back from its directories."""
     path = scratch_path(spark, "appended-store")
-    write_hourly_store(tables.hourly_rows(tables.history(spark, sf_dir)), path, mode="append")
-    return _windows(op.for_year(read_hourly_store(spark, path), YEAR)).drop("date")
+    final = op.build_hourly_store(op.hourly_by_meter(tables.readings(spark, sf_dir)))
+    write_hourly_store(final, path, mode="append")
+    return _windows(op.for_year(read_hourly_store(spark, path), 2024)).drop("date")
 
 
 def json_snapshot(spark, sf_dir):

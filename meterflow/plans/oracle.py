@@ -143,14 +143,7 @@ ORACLE = {
     "compact_latest": """
         SELECT CAST(user_id AS VARCHAR) AS key, arg_max(value, event_id) AS value FROM events GROUP BY ALL""",
     "hourly_store_merge": _reconciled,
-    "hourly_store_append": """
-        SELECT o_custkey AS "meterID", CAST(c_nationkey AS BIGINT) AS "cityID",
-               CAST(epoch(d) AS BIGINT) AS window_start, CAST(epoch(d) AS BIGINT) + 3600 AS window_end,
-               CAST(hour(d) AS INTEGER) AS "hour", CAST(year(d) AS INTEGER) AS "year",
-               CAST(month(d) AS INTEGER) AS "month", round(o_totalprice, 5) AS "aggregatedActiveDelta"
-        FROM (SELECT *, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS d FROM orders)
-        JOIN customer ON o_custkey = c_custkey
-        WHERE year(d) = 1997""",
+    "hourly_store_append": f"""SELECT * FROM ({_reconciled}) WHERE "year" = 2024""",
     "json_snapshot": _hourly_by_meter,
     "parquet_snapshot": _total_consumption,
     "city_table": _with(

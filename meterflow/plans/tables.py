@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterflow.functions.clock import calendar_parts, unix_window
-from meterflow.schemas import CITY, HOURLY_STORE, TOTAL
+from meterflow.operators.enrich import lookup_join
+from meterflow.schemas import CITY, TOTAL
 
 EVENTS = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -50,7 +51,7 @@ def _as_readings(events: DataFrame, meters: DataFrame | None) -> DataFrame:
     )
     if meters is None:
         return readings
-    return readings.join(meters, "meterID").select(
+    return lookup_join(readings, meters, "meterID").select(
         "readingID", "meterID", "cityID", "timestamp", "activeDelta"
     )
 
@@ -102,7 +103,7 @@ def history(
         F.col("o_totalprice").alias(TOTAL),
     )
     rows = calendar_parts(rows, "date", "UTC")
-    return rows.join(_meters(spark, sf_dir), "meterID") if with_city else rows
+    return lookup_join(rows, _meters(spark, sf_dir), "meterID") if with_city else rows
 
 
 def hourly_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,10 +128,3 @@ def hourly_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias(TOTAL),
         )
     )
-
-
-def hourly_rows(hist: DataFrame) -> DataFrame:
-    """History rows in the layout of the hourly store."""
-    start = F.unix_timestamp("date")
-    window = F.struct(start.alias("start"), (start + 3600).alias("end"))
-    return hist.withColumn("unix_window", window).select(*HOURLY_STORE.fieldNames())
