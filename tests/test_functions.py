@@ -1,0 +1,150 @@
+from contextlib import contextmanager
+
+import pytest
+from helpers import epoch, rows, utc
+from pyspark.sql import functions as F
+
+from meterflow.functions import (
+    calendar_parts,
+    daypart,
+    drop_columns,
+    encode_json,
+    epoch_to_timestamp,
+    local_midnight,
+    message_key,
+    parse_messages,
+    rename_by_regex,
+    season,
+    season_factor,
+    time_shift,
+)
+from meterflow.functions.clock import duration, interval_micros
+from meterflow.schemas import HOURLY_MESSAGE, READING
+
+
+@contextmanager
+def session_zone(spark, tz):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def messages(spark, *texts):
+    return spark.createDataFrame([(t.encode() if t is not None else None,) for t in texts], "value binary")
+
+
+GOOD = '{"meterID": 1, "cityID": 2, "timestamp": 100, "activeDelta": 1.5}'
+
+
+def test_repeated_hour_keeps_two_instants(spark):
+    with session_zone(spark, "Europe/Sarajevo"):
+        df = spark.createDataFrame([(1667089800,), (1667093400,)], "timestamp long")
+        back = epoch_to_timestamp(df).select(F.unix_timestamp("timestamp"))
+        assert rows(back) == [(1667089800,), (1667093400,)]
+
+
+@pytest.mark.parametrize("session_tz", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_calendar_parts_follow_the_named_zone_only(spark, session_tz):
+    instants = [epoch("2022-12-31 23:30:00"), epoch("2024-03-10 07:30:00"), 1667089800, 1667093400]
+    with session_zone(spark, session_tz):
+        df = spark.createDataFrame([(s,) for s in instants], "s long").withColumn("date", F.timestamp_seconds("s"))
+        local = calendar_parts(df, "date", "Europe/Sarajevo", ["year", "month", "day", "hour"]).drop("date")
+        plain = calendar_parts(df, "date").drop("date")
+        assert rows(local) == sorted([
+            (instants[0], 2023, 1, 1, 0),
+            (instants[1], 2024, 3, 10, 8),
+            (1667089800, 2022, 10, 30, 2),
+            (1667093400, 2022, 10, 30, 2),
+        ], key=repr)
+        assert (instants[1], 2024, 3, 7) in rows(plain)
+
+
+def test_durations(spark):
+    assert duration(3) == "3 seconds"
+    assert duration("1 hour") == "1 hour"
+    lengths = spark.range(1).select(*[
+        interval_micros(d).alias(str(i)) for i, d in enumerate((3, "30 minutes", "1 day 2 hours", 0, "250 milliseconds"))
+    ])
+    assert rows(lengths) == [(3_000_000, 1_800_000_000, 93_600_000_000, 0, 250_000)]
+
+
+def test_time_shift(spark):
+    df = spark.createDataFrame([(utc("2024-01-01 00:30:00"),)], "time timestamp")
+    assert rows(time_shift(df, "time", "-1 hour").select(F.unix_timestamp("time"))) == [(epoch("2023-12-31 23:30:00"),)]
+
+
+def test_local_midnight_on_the_days_of_a_clock_change():
+    assert local_midnight("2024-03-31T12:00:00", "Europe/Sarajevo") == utc("2024-03-30 23:00:00")
+    assert local_midnight("2024-10-27T22:59:59", "Europe/Sarajevo") == utc("2024-10-26 22:00:00")
+    assert local_midnight("2024-10-27T23:00:00", "Europe/Sarajevo") == utc("2024-10-27 23:00:00")
+
+
+def test_seasons_of_both_schemes(spark):
+    months = spark.range(0, 14).withColumnRenamed("id", "m")
+    got = {r.m: (r.h, r.q) for r in months.select("m", season("m").alias("h"), season("m", "quarter").alias("q")).collect()}
+    expected = {0: (None, None), 13: (None, None)}
+    for m in range(1, 13):
+        history = "Winter" if m <= 3 else "Spring" if m <= 6 else "Summer" if m <= 8 else "Fall"
+        quarter = ["Winter", "Spring", "Summer", "Fall"][(m - 1) // 3]
+        expected[m] = (history, quarter)
+    assert got == expected
+
+
+def test_dayparts_and_factors(spark):
+    hours = spark.range(24).select(daypart("id").alias("p")).collect()
+    assert [r.p for r in hours] == ["night"] * 7 + ["morning"] * 2 + ["working"] * 8 + ["evening"] * 7
+    factors = spark.range(1, 13).select(season_factor("id").alias("f")).collect()
+    assert [r.f for r in factors] == [1.4] * 3 + [1.0] * 3 + [1.4] * 3 + [1.0] * 3
+
+
+def test_malformed_messages_become_nulls(spark):
+    df = messages(spark, GOOD, "bad", None, '{"meterID": "x", "cityID": 1, "timestamp": 5, "activeDelta": 2}',
+                  '{"meterID": 1, "cityID": 1, "activeDelta": 3}')
+    assert rows(parse_messages(df, READING)) == sorted([
+        (1, 2, 100, 1.5),
+        (None, None, None, None),
+        (None, None, None, None),
+        (None, 1, 5, 2.0),
+        (1, 1, None, 3.0),
+    ], key=repr)
+
+
+def test_quarantine_splits_off_incomplete_messages(spark):
+    wrong = '{"meterID": "x", "cityID": 1, "timestamp": 5, "activeDelta": 2}'
+    df = messages(spark, GOOD, "bad", None, wrong)
+    good, bad = parse_messages(df, READING, quarantine=True)
+    assert rows(good) == [(1, 2, 100, 1.5)]
+    assert sorted((bytes(r.value) if r.value else b"") for r in bad.collect()) == sorted([b"bad", b"", wrong.encode()])
+
+
+def test_quarantine_looks_into_nested_fields(spark):
+    text = '{"meterID": 1, "cityID": 1, "aggregatedActiveDelta": 2.0, "unix_window": {"start": 0%s}}'
+    df = messages(spark, text % "", text % ', "end": 3600')
+    good, bad = parse_messages(df, HOURLY_MESSAGE, quarantine=True)
+    assert good.count() == 1
+    assert bad.count() == 1
+
+
+def test_json_is_parsed_once_per_message(spark):
+    plan = parse_messages(messages(spark, GOOD), READING)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_encode_json_omits_nulls_and_builds_keys(spark):
+    df = spark.createDataFrame([(1, (0, 3600), None)], "meterID long, unix_window struct<start:long,end:long>, v double")
+    assert rows(encode_json(df, ["meterID", "unix_window"])) == [
+        ('{"meterID":1,"unix_window":{"start":0,"end":3600}}', "{1, {0, 3600}}")
+    ]
+    assert rows(encode_json(df, ignore_null_fields=False)) == [
+        ('{"meterID":1,"unix_window":{"start":0,"end":3600},"v":null}',)
+    ]
+    assert rows(df.select(message_key("meterID"))) == [("1",)]
+
+
+def test_column_names(spark):
+    df = spark.range(1).toDF("a b").withColumn("aggregatedActiveDelta {city=X}", F.lit(1)).withColumn("_start", F.lit(2))
+    renamed = rename_by_regex(df, "aggregatedActiveDelta.*", "aggregatedActiveDelta")
+    assert drop_columns(renamed, ["_start", "_stop"]).columns == ["a b", "aggregatedActiveDelta"]
