@@ -1,0 +1,68 @@
+from types import SimpleNamespace
+
+import pytest
+
+from __spark_entry__ import entry
+from meterflow import shared
+from meterflow.session import preview, register, session_conf
+from meterflow.shared import scratch_path, shared_dir, written_table
+
+
+def test_settings():
+    assert "spark.sql.shuffle.partitions" not in session_conf()
+    conf = session_conf(
+        shuffle_partitions=3, tz="Europe/Sarajevo", large_state=True, single_stateful_operator=True,
+        fair_scheduling=True, s3a_endpoint="http://store:9000",
+    )
+    assert conf["spark.sql.shuffle.partitions"] == "3"
+    assert conf["spark.sql.session.timeZone"] == "Europe/Sarajevo"
+    assert "RocksDB" in conf["spark.sql.streaming.stateStore.providerClass"]
+    assert conf["spark.sql.streaming.statefulOperator.allowMultiple"] == "false"
+    assert conf["spark.scheduler.mode"] == "FAIR"
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
+    assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+    assert not any("key" in name for name in conf)
+
+
+def test_settings_from_the_environment(monkeypatch):
+    monkeypatch.setenv("METERFLOW_SHUFFLE_PARTITIONS", "12")
+    monkeypatch.setenv("METERFLOW_S3A_ENDPOINT", "https://store")
+    conf = session_conf()
+    assert conf["spark.sql.shuffle.partitions"] == "12"
+    assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "true"
+
+
+def fake_session(master, folder=None):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: folder or default),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
+
+def test_the_shared_folder_comes_from_the_session(monkeypatch, tmp_path):
+    monkeypatch.setattr(shared, "_local_dir", lambda: str(tmp_path))
+    assert shared_dir(fake_session("yarn", "hdfs:///checkpoints/")) == "hdfs:///checkpoints"
+    assert shared_dir(fake_session("local[8]")) == str(tmp_path)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(fake_session("spark://host:7077"))
+
+
+def test_written_tables_have_paths_of_their_own(spark):
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    table = written_table(spark.range(3), "numbers")
+    assert table.count() == 3
+    assert "Range" not in table._jdf.queryExecution().analyzed().toString()
+
+
+def test_register_and_preview(spark, capsys):
+    register(spark.range(3), "three")
+    assert spark.sql("SELECT sum(id) AS s FROM three").first().s == 3
+    preview(spark.range(3), 1)
+    printed = capsys.readouterr().out
+    assert "only showing top 1 row" in printed and "id: long" in printed
+
+
+def test_entry(spark):
+    df = entry(spark)
+    assert df.columns == ["meterID", "cityID", "aggregatedActiveDelta", "window_start", "window_end"]
+    assert df.count() > 0
