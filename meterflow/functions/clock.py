@@ -1,7 +1,8 @@
 """Instants, wall clocks and window bounds.
 
-Everything here is independent of the session time zone: an instant is turned into a
-wall clock of an explicitly named zone, as TIMESTAMP_NTZ, before any part is taken.
+Everything here is independent of the session time zone. An instant is turned into the
+seconds that a clock in an explicitly named zone has counted, and calendar parts are taken
+from that number, not from a timestamp.
 """
 
 from __future__ import annotations
@@ -13,14 +14,6 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_PARTS = {
-    "year": F.year,
-    "month": F.month,
-    "day": F.dayofmonth,
-    "hour": F.hour,
-}
-
-
 def duration(value: int | str | timedelta) -> str:
     """A duration argument: whole seconds, a timedelta, or Spark's own text."""
     if isinstance(value, timedelta):
@@ -41,20 +34,33 @@ def epoch_to_timestamp(df: DataFrame, col: str = "timestamp") -> DataFrame:
     return df.withColumn(col, F.timestamp_seconds(col))
 
 
-def wall_clock(ts: Column | str, tz: str = "UTC") -> Column:
-    """The date and time that clocks in ``tz`` show at the instant ``ts``."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    utc = F.timestamp_add("MICROSECOND", F.unix_micros(ts), epoch)
-    return utc if tz == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
+def _local_seconds(ts: Column | str, tz: str) -> Column:
+    return F.unix_seconds(ts if tz == "UTC" else F.from_utc_timestamp(ts, tz))
+
+
+def local_date(ts: Column | str, tz: str = "UTC") -> Column:
+    """The day that a calendar in ``tz`` shows at the instant ``ts``."""
+    return F.date_from_unix_date(F.floor(_local_seconds(ts, tz) / 86400).cast("int"))
+
+
+def local_hour(ts: Column | str, tz: str = "UTC") -> Column:
+    """The hour that a clock in ``tz`` shows at the instant ``ts``."""
+    return F.floor(F.pmod(_local_seconds(ts, tz), F.lit(86400)) / 3600).cast("int")
+
+
+_PARTS = {
+    "year": lambda ts, tz: F.year(local_date(ts, tz)),
+    "month": lambda ts, tz: F.month(local_date(ts, tz)),
+    "day": lambda ts, tz: F.dayofmonth(local_date(ts, tz)),
+    "hour": local_hour,
+}
 
 
 def calendar_parts(
     df: DataFrame, ts: str = "date", tz: str = "UTC", parts: Sequence[str] = ("year", "month", "hour")
 ) -> DataFrame:
     """Add the named calendar columns (year, month, day, hour) of ``ts`` in ``tz``."""
-    wall = wall_clock(ts, tz)
-    return df.withColumns({part: _PARTS[part](wall) for part in parts})
+    return df.withColumns({part: _PARTS[part](ts, tz) for part in parts})
 
 
 def unix_window(window: Column | str = "window") -> Column:

@@ -34,7 +34,10 @@ def parse_messages(
     null while its row survives. With ``quarantine`` the result is a pair: rows with every
     field present, and the untouched source rows of all the others.
     """
-    parsed = df.withColumn(_PARSED, F.from_json(F.col("value").cast("string"), schema))
+    # The one-element explode is a fence. Without it the optimizer copies from_json into every
+    # filter on a parsed field, and each message is parsed several times.
+    decoded = F.from_json(F.col("value").cast("string"), schema)
+    parsed = df.withColumn(_PARSED, F.explode(F.array(decoded)))
     flat = [*keep, f"{_PARSED}.*"]
     if not quarantine:
         return parsed.select(*flat)

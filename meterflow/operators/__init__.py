@@ -9,7 +9,7 @@ from meterflow.operators.consumption import (
     yearly_average,
     yearly_by_meter,
 )
-from meterflow.operators.enrich import broadcast_within, enrich_city
+from meterflow.operators.enrich import enrich_city, lookup_join
 from meterflow.operators.points import to_city_points, to_country_points, unpivot_fields
 from meterflow.operators.quality import detect_rollback, out_of_profile
 from meterflow.operators.reconcile import build_hourly_store, compact_latest, diff_aggregates, reconcile

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.functions.bands import SEASONS, daypart, season
-from meterflow.functions.clock import calendar_parts, wall_clock
+from meterflow.functions.clock import calendar_parts, local_date
 from meterflow.schemas import TOTAL
 
 
@@ -82,7 +82,7 @@ def daily_average(hist: DataFrame, tz: str = "UTC") -> DataFrame:
 
 def daily_by_meter(readings: DataFrame, tz: str = "UTC") -> DataFrame:
     """Total per meter, city and local day; the day is ``yyyy-MM-dd`` text."""
-    day = wall_clock("timestamp", tz).cast("date").alias("date")
+    day = local_date("timestamp", tz).alias("date")
     totals = readings.groupBy("meterID", "cityID", day).agg(F.sum("activeDelta").alias(TOTAL))
     return totals.withColumn("date", F.col("date").cast("string"))
 

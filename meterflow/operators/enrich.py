@@ -6,15 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast if a count proves that ``df`` has at most ``max_rows`` rows.
-
-    A longer table is returned as it is, for the shuffle join that Spark then picks.
-    The count stops after ``max_rows + 1`` rows.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def enrich_city(df: DataFrame, cities: DataFrame, how: str = "inner") -> DataFrame:
     """Attach the city columns by ``cityID``.
 
@@ -28,18 +19,24 @@ def enrich_city(df: DataFrame, cities: DataFrame, how: str = "inner") -> DataFra
     return df.join(cities, "cityID", how)
 
 
-def lookup_join(
-    df: DataFrame, dim: DataFrame, key: str, how: str = "inner", *, max_rows: int = 500_000, salts: int = 64
-) -> DataFrame:
-    """Join ``df`` with a table that has one row per ``key``, however ``df`` is skewed.
+def _broadcast_by_spark(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate of ``df`` is within its broadcast threshold."""
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= threshold
+
+
+def lookup_join(df: DataFrame, dim: DataFrame, key: str, *, salts: int = 32) -> DataFrame:
+    """Join rows that are skewed on ``key`` with a table that has one row per key.
 
-    A table of up to ``max_rows`` rows is broadcast. Beyond that both sides are shuffled by
-    the key and a salt, with a copy of the table per salt, so the rows of a hot key are
-    spread over ``salts`` tasks.
+    Spark broadcasts a table within ``spark.sql.autoBroadcastJoinThreshold``. Beyond that a
+    batch is left to the adaptive skew join, which splits a hot key by what it finds at run
+    time. A stream has no such help: there both sides are shuffled by the key and a salt,
+    with a copy of the table per salt, and a hot key is spread over ``salts`` tasks.
     """
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return df.join(F.broadcast(dim), key, how)
+    if not df.isStreaming or _broadcast_by_spark(dim):
+        return df.join(dim, key)
     others = [name for name in df.columns if name != key]
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+    return salted.join(copies, [key, "_salt"]).drop("_salt")

@@ -48,4 +48,8 @@ def to_country_points(totals: DataFrame, time: str = "end") -> DataFrame:
 
 def unpivot_fields(points: DataFrame) -> DataFrame:
     """One row per series, field and time."""
-    return points.select("measurement", "tags", "time", F.explode("fields").alias("field", "value"))
+    # The outer form and a filter: for a plain explode the optimizer would build the map a
+    # second time, to test its size below the join that made it.
+    return points.select("measurement", "tags", "time", F.explode_outer("fields").alias("field", "value")).where(
+        "value IS NOT NULL"
+    )

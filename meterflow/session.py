@@ -6,6 +6,15 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Settings that only change how a query is run. They may be set at any time.
+ADAPTIVE = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even if the aggregate above then needs its own shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+}
+
 
 def session_conf(
     *,
@@ -27,11 +36,7 @@ def session_conf(
     """
     conf = {
         "spark.sql.session.timeZone": tz,
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        # Split a hot join key even if the aggregate above then needs its own shuffle.
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        **ADAPTIVE,
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.parquet.mergeSchema": "false",
         "spark.hadoop.parquet.summary.metadata.level": "NONE",
@@ -66,6 +71,13 @@ def build_session(app_name: str, master: str | None = None, **options) -> SparkS
     return builder.getOrCreate()
 
 
+def make_adaptive(spark: SparkSession) -> SparkSession:
+    """Apply the adaptive settings to a session that someone else built."""
+    for key, value in ADAPTIVE.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def register(df: DataFrame, name: str) -> DataFrame:
     """Expose ``df`` to SQL text under ``name``."""
     df.createOrReplaceTempView(name)

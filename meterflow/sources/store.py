@@ -8,14 +8,13 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.operators.enrich import broadcast_within
 from meterflow.operators.reconcile import HOURLY_KEYS
 from meterflow.schemas import HOURLY_STORE, TOTAL
 from meterflow.shared import path_exists, remove_path, shared_dir, written_table
 
 PARTITIONS = ("year", "month", "cityID")
 _MONTH_NUMBER = "year * 12 + month"
-_MAX_BROADCAST_PARTITIONS = 100_000
+_MAX_BROADCAST_DIRECTORIES = 100_000
 
 
 class WriteReport(NamedTuple):
@@ -73,13 +72,15 @@ def _merge_dir(spark: SparkSession, path: str) -> str:
 
 
 def _merge(spark: SparkSession, incoming: DataFrame, path: str, how: str) -> None:
-    first, last = incoming.selectExpr(f"min({_MONTH_NUMBER})", f"max({_MONTH_NUMBER})").first()
-    if first is None:
+    touched = incoming.select(*PARTITIONS).distinct()
+    n, first, last = touched.selectExpr("count(*)", f"min({_MONTH_NUMBER})", f"max({_MONTH_NUMBER})").first()
+    if n == 0:
         return
     merged = incoming.withColumn("_new", F.lit(1))
     if path_exists(spark, path):
         # The month range prunes directories at planning time, the semi join keeps the touched cities.
-        touched = broadcast_within(incoming.select(*PARTITIONS).distinct(), _MAX_BROADCAST_PARTITIONS)
+        if n <= _MAX_BROADCAST_DIRECTORIES:
+            touched = F.broadcast(touched)
         stored = read_hourly_store(spark, path).where(f"{_MONTH_NUMBER} BETWEEN {first} AND {last}")
         kept = stored.join(touched, list(PARTITIONS), "left_semi")
         merged = merged.unionByName(kept.withColumn("_new", F.lit(0)))

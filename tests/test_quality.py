@@ -1,10 +1,11 @@
 import random
+from contextlib import contextmanager
 
 from helpers import epoch, partials, readings, rows
 from pyspark.sql import functions as F
 
 from meterflow import operators as op
-from meterflow.operators.enrich import broadcast_within, lookup_join
+from meterflow.operators.enrich import lookup_join
 from meterflow.operators.quality import hourly_bounds
 from meterflow.schemas import BAND
 
@@ -79,32 +80,40 @@ def test_rounding_is_half_up(spark):
     assert op.diff_aggregates(one, other, ["meterID"]).count() == 0
 
 
-def test_salted_lookup_equals_the_broadcast(spark):
-    df = spark.range(5000).selectExpr("if(id % 3 = 0, 0L, id % 100) AS k", "id AS v")
-    dim = spark.range(90).selectExpr("id AS k", "id * 10 AS d")
-    for how in ("inner", "left"):
-        small = lookup_join(df, dim, "k", how)
-        large = lookup_join(df, dim, "k", how, max_rows=10, salts=8)
-        assert rows(small.select("k", "v", "d")) == rows(large.select("k", "v", "d"))
-
-
-def test_salting_spreads_the_hot_key(spark):
-    df = spark.range(0, 30_000).selectExpr("if(id % 3 = 0, 0L, id) AS k", "id AS v")
-    dim = spark.range(30_000).selectExpr("id AS k", "id AS d")
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.enabled", False)
+@contextmanager
+def setting(spark, **values):
+    names = {key: "spark.sql." + key.replace("_", ".") for key in values}
+    before = {key: spark.conf.get(name) for key, name in names.items()}
+    for key, value in values.items():
+        spark.conf.set(names[key], value)
     try:
-        joined = lookup_join(df, dim, "k", max_rows=10, salts=16).withColumn("p", F.spark_partition_id())
-        shares = [r["count"] for r in joined.where("k = 0").groupBy("p").count().collect()]
+        yield
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-        spark.conf.set("spark.sql.adaptive.enabled", True)
-    assert sum(shares) == 10_000
-    assert len(shares) == 4
-
-
-def test_broadcast_only_below_the_bound(spark):
-    dim = spark.range(100)
-    assert "ResolvedHint" in broadcast_within(dim, 100)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_within(dim, 99)._jdf.queryExecution().analyzed().toString()
+        for key, value in before.items():
+            spark.conf.set(names[key], value)
+
+
+def test_the_adaptive_join_splits_a_hot_key(spark):
+    """Also below an aggregate that would otherwise reuse the partitioning of the join."""
+    df = spark.range(0, 600_000, 1, 8).selectExpr("if(id % 3 = 0, 0L, id) AS k", "id AS v", "uuid() AS payload")
+    dim = spark.range(600_000).selectExpr("id AS k", "id % 7 AS city")
+    with setting(
+        spark,
+        autoBroadcastJoinThreshold=-1,
+        adaptive_skewJoin_skewedPartitionThresholdInBytes="256KB",
+        adaptive_advisoryPartitionSizeInBytes="256KB",
+        shuffle_partitions=16,
+    ):
+        joined = lookup_join(df, dim, "k")
+        result = joined.groupBy("k", "city").agg(F.sum("v").alias("s"), F.max("payload").alias("p"))
+        assert result.where("k = 0").collect()[0].s == sum(range(0, 600_000, 3))
+        result.collect()
+        assert "skew=true" in result._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_tables_are_broadcast(spark):
+    df = spark.range(5000).selectExpr("if(id % 3 = 0, 0L, id % 100) AS k", "id AS v")
+    dim = spark.range(90).selectExpr("id AS k", "id * 10 AS d")
+    joined = lookup_join(df, dim, "k")
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == df.where("k < 90").count()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterflow import operators as op
 from meterflow.functions import encode_json
+from meterflow.operators.enrich import lookup_join
 from meterflow.schemas import POINT, READING
 from meterflow.sources.kafka import read_kafka_batch, read_kafka_stream
 from meterflow.streaming import job, sinks
@@ -169,6 +170,20 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert rows(emitted.select("batch", "aggregatedActiveDelta")) == [(0, 1.0)]
 
 
+def test_a_large_lookup_table_is_salted_in_a_stream(spark, feed, tmp_path):
+    feed.add(*[(7 if i % 3 == 0 else i, 0, T0 + i, 1.0) for i in range(60)]).add((7, 0, T0, 5.0), (999, 0, T0, 1.0))
+    dim = spark.range(60).selectExpr("id AS meterID", "id % 5 AS home")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        streamed = lookup_join(feed.stream(), dim, "meterID", salts=4)
+        emitted = run(op.windowed_sum(streamed, ["home"], "1 hour", "1 hour"), tmp_path)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    direct = op.windowed_sum(lookup_join(feed.batch(), dim, "meterID"), ["home"], "1 hour")
+    assert rows(op.reconcile(emitted, ["home", "unix_window"])) == rows(direct)
+
+
 def file_sink(spark, tmp_path, available_now=True):
     def start(name, result, checkpoint):
         messages = encode_json(result, job.MESSAGE_KEYS[name])
