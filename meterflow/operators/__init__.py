@@ -1,5 +1,6 @@
 from meterflow.operators.consumption import (
     above_average_consumers,
+    above_average_sql,
     daily_average,
     daily_by_meter,
     daypart_profile,

@@ -45,6 +45,26 @@ def above_average_consumers(hist: DataFrame, year: int | None = None) -> DataFra
     return above.select(*([] if year is not None else ["year"]), *columns)
 
 
+def above_average_sql(hist: DataFrame, year: int) -> DataFrame:
+    """:func:`above_average_consumers` of one year as SQL text.
+
+    The average is a scalar subquery, not a cross join with a one-row table.
+    """
+    return hist.sparkSession.sql(
+        """
+        WITH totals AS (
+          SELECT meterID, sum(aggregatedActiveDelta) AS totalConsumptionInYear
+          FROM {hist} WHERE year = :year GROUP BY meterID
+        ), compared AS (
+          SELECT *, (SELECT avg(totalConsumptionInYear) FROM totals) AS averageYearlyConsumption FROM totals
+        )
+        SELECT * FROM compared WHERE totalConsumptionInYear >= averageYearlyConsumption
+        """,
+        args={"year": year},
+        hist=hist,
+    )
+
+
 def top_consumers(hist: DataFrame, n: int = 10, year: int | None = None, per_year: bool = False) -> DataFrame:
     """The ``n`` largest yearly totals, over all years or within each; ties go by meter.
 

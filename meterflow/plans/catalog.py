@@ -7,6 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterflow import jobs
 from meterflow import operators as op
 from meterflow.functions.clock import (
     as_instant,
@@ -143,6 +144,16 @@ def reconcile_latest(spark, sf_dir):
     return _windows(op.reconcile(falling, how="latest", order_by="emitted"))
 
 
+def store_rows_from_messages(spark, sf_dir):
+    """Partial results as messages, and from them the rows of the hourly store by offset."""
+    partials = tables.hourly_partials(spark, sf_dir)
+    messages = partials.select(
+        F.to_json(F.struct(*HOURLY_MESSAGE.fieldNames())).cast("binary").alias("value"),
+        F.col("emitted").alias("offset"),
+    )
+    return _windows(jobs.store_rows(messages, how="latest")).drop("date")
+
+
 def compact_latest(spark, sf_dir):
     messages = tables.readings(spark, sf_dir, with_city=False).select(
         F.col("meterID").cast("string").alias("key"),
@@ -208,6 +219,11 @@ def above_average(spark, sf_dir):
     )
 
 
+def above_average_sql(spark, sf_dir):
+    hist = tables.history(spark, sf_dir, with_city=False, year=YEAR)
+    return _rounded(op.above_average_sql(hist, YEAR), "totalConsumptionInYear", "averageYearlyConsumption")
+
+
 def above_average_by_year(spark, sf_dir):
     return _rounded(
         op.above_average_consumers(tables.history(spark, sf_dir, with_city=False)),
@@ -284,6 +300,11 @@ def country_points(spark, sf_dir):
     return _series(_country_points(spark, sf_dir)).drop("cityID", "cityName")
 
 
+def points_from_messages(spark, sf_dir):
+    totals = op.total_by_city(tables.readings(spark, sf_dir), tables.cities(spark, sf_dir))
+    return _series(op.unpivot_fields(jobs.city_points(encode_json(totals))))
+
+
 def city_hourly_bars(spark, sf_dir):
     return _series(op.city_hourly_bars(_city_points(spark, sf_dir, **_today()), AS_OF)).drop("measurement", "field")
 
@@ -382,14 +403,24 @@ def stream_country(spark, sf_dir):
     return _windows(op.reconcile(emitted, ["unix_window"], "latest", order_by=BATCH_ORDER))
 
 
-def stream_points(spark, sf_dir):
-    """City totals streamed into the point table, and all points read back."""
+def _stored_points(spark, sf_dir, start=None, stop=None):
+    """City totals streamed into a point table, and the points of a range read back."""
     totals = op.total_by_city(tables.readings_stream(spark, sf_dir), tables.cities(spark, sf_dir))
     base = scratch_path(spark, "points")
     upsert_points(
         op.to_city_points(totals), f"{base}/points", f"{base}/checkpoint", available_now=True
     ).awaitTermination()
-    return _series(op.unpivot_fields(read_points(spark, f"{base}/points")))
+    return op.unpivot_fields(read_points(spark, f"{base}/points", start, stop))
+
+
+def stream_points(spark, sf_dir):
+    return _series(_stored_points(spark, sf_dir))
+
+
+def stream_city_bars(spark, sf_dir):
+    """From the stream through the point table to the bars of the dashboard."""
+    points = _stored_points(spark, sf_dir, local_midnight(AS_OF, DASHBOARD_TZ), AS_OF)
+    return _series(op.city_hourly_bars(points, AS_OF)).drop("measurement", "field")
 
 
 QUERIES = {
@@ -408,6 +439,7 @@ QUERIES = {
         city_messages,
         reconcile_hourly,
         reconcile_latest,
+        store_rows_from_messages,
         compact_latest,
         hourly_store_merge,
         hourly_store_append,
@@ -417,6 +449,7 @@ QUERIES = {
         yearly_by_meter,
         yearly_average,
         above_average,
+        above_average_sql,
         above_average_by_year,
         top_consumers,
         top_consumers_per_year,
@@ -426,6 +459,7 @@ QUERIES = {
         daypart_profile,
         city_points,
         country_points,
+        points_from_messages,
         city_hourly_bars,
         country_hourly_bars,
         country_hourly_bars_unfilled,
@@ -441,5 +475,6 @@ QUERIES = {
         stream_city,
         stream_country,
         stream_points,
+        stream_city_bars,
     )
 }

@@ -91,6 +91,31 @@ _reconciled = _with(
 )
 _city_points = _with(_R, _C, _CITY_TOTALS, _CITY_POINTS, select="SELECT * FROM points")
 
+_above_average = _with(
+    _H,
+    select=f"""SELECT t1."meterID", round(sum(t1.total), 5) AS "totalConsumptionInYear",
+                      round(t2.average, 5) AS "averageYearlyConsumption"
+               FROM h AS t1 CROSS JOIN (SELECT avg(total) AS average FROM ({_yearly}) WHERE "year" = 1997) AS t2
+               WHERE t1."year" = 1997
+               GROUP BY t1."meterID", t2.average
+               HAVING sum(t1.total) >= t2.average""",
+)
+_city_hourly_bars = _with(
+    _R, _C, _CITY_TOTALS, _CITY_POINTS, _DAY,
+    """today AS (
+      SELECT "cityID", "cityName", "time", value FROM points, day
+      WHERE field = 'aggregatedActiveDelta' AND "time" >= midnight AND "time" < as_of
+    )""",
+    """hours AS (
+      SELECT "cityID", "cityName", unnest(range(midnight, as_of, 3600)) AS "time"
+      FROM (SELECT DISTINCT "cityID", "cityName" FROM today), day
+    )""",
+    select="""SELECT h."cityID", h."cityName", h."time", round(sum(value), 5) AS value
+              FROM hours h LEFT JOIN today t
+                ON h."cityID" = t."cityID" AND t."time" >= h."time" AND t."time" < h."time" + 3600
+              GROUP BY ALL""",
+)
+
 
 ORACLE = {
     "hourly_by_meter": _hourly_by_meter,
@@ -140,6 +165,7 @@ ORACLE = {
         _R, _HOURLY,
         select="""SELECT * REPLACE (-"aggregatedActiveDelta" AS "aggregatedActiveDelta") FROM hourly""",
     ),
+    "store_rows_from_messages": _reconciled,
     "compact_latest": """
         SELECT CAST(user_id AS VARCHAR) AS key, arg_max(value, event_id) AS value FROM events GROUP BY ALL""",
     "hourly_store_merge": _reconciled,
@@ -158,15 +184,8 @@ ORACLE = {
         select=f"""SELECT "year", round(avg(total), 5) AS "averageYearlyConsumption"
                    FROM ({_yearly}) GROUP BY ALL""",
     ),
-    "above_average": _with(
-        _H,
-        select=f"""SELECT t1."meterID", round(sum(t1.total), 5) AS "totalConsumptionInYear",
-                          round(t2.average, 5) AS "averageYearlyConsumption"
-                   FROM h AS t1 CROSS JOIN (SELECT avg(total) AS average FROM ({_yearly}) WHERE "year" = 1997) AS t2
-                   WHERE t1."year" = 1997
-                   GROUP BY t1."meterID", t2.average
-                   HAVING sum(t1.total) >= t2.average""",
-    ),
+    "above_average": _above_average,
+    "above_average_sql": _above_average,
     "above_average_by_year": _with(
         _H,
         select=f"""SELECT "year", "meterID", round(total, 5) AS "totalConsumptionInYear",
@@ -213,21 +232,8 @@ ORACLE = {
     ),
     "city_points": _city_points,
     "country_points": _with(_COUNTRY_TOTALS, _COUNTRY_POINTS, select="SELECT * FROM points"),
-    "city_hourly_bars": _with(
-        _R, _C, _CITY_TOTALS, _CITY_POINTS, _DAY,
-        """today AS (
-          SELECT "cityID", "cityName", "time", value FROM points, day
-          WHERE field = 'aggregatedActiveDelta' AND "time" >= midnight AND "time" < as_of
-        )""",
-        """hours AS (
-          SELECT "cityID", "cityName", unnest(range(midnight, as_of, 3600)) AS "time"
-          FROM (SELECT DISTINCT "cityID", "cityName" FROM today), day
-        )""",
-        select="""SELECT h."cityID", h."cityName", h."time", round(sum(value), 5) AS value
-                  FROM hours h LEFT JOIN today t
-                    ON h."cityID" = t."cityID" AND t."time" >= h."time" AND t."time" < h."time" + 3600
-                  GROUP BY ALL""",
-    ),
+    "points_from_messages": _city_points,
+    "city_hourly_bars": _city_hourly_bars,
     "country_hourly_bars": _with(
         _COUNTRY_TOTALS, _COUNTRY_POINTS, _DAY,
         """today AS (SELECT "time", value FROM points, day WHERE "time" >= midnight AND "time" < as_of)""",
@@ -312,4 +318,5 @@ ORACLE = {
     "stream_city": _total_by_city,
     "stream_country": _total_consumption,
     "stream_points": _city_points,
+    "stream_city_bars": _city_hourly_bars,
 }

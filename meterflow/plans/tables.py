@@ -66,8 +66,11 @@ def readings(
 
 
 def readings_stream(spark: SparkSession, sf_dir: str, with_city: bool = True) -> DataFrame:
-    """The same readings from the event file as a stream."""
-    events = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    """The same readings as a stream.
+
+    The glob lets the table be one file or a folder of files, which a plain path would not.
+    """
+    events = spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
     return _as_readings(events, _meters(spark, sf_dir) if with_city else None)
 
 

@@ -18,6 +18,14 @@ from meterflow.streaming.sinks import write_kafka_stream
 
 HOURLY, BY_CITY, COUNTRY = "hourly", "by-city", "country"
 
+# The topics.
+INPUT_TOPIC = "input"
+TOPICS = {
+    HOURLY: "hourlyConsumptionByConsumer",
+    BY_CITY: "totalByCity",
+    COUNTRY: "totalConsumption",
+}
+
 #: Message key of each result; the country total has none.
 MESSAGE_KEYS = {HOURLY: ["meterID", "unix_window"], BY_CITY: "cityID", COUNTRY: None}
 
@@ -27,19 +35,13 @@ Sink = Callable[[str, DataFrame, str], StreamingQuery]
 
 @dataclass(frozen=True)
 class StreamConfig:
-    """Settings of the job. Topic names, windows and watermarks default to the fixed values."""
+    """Settings of the job."""
 
     servers: str
     city_path: str
     checkpoint_root: str
-    input_topic: str = "input"
-    topics: dict[str, str] = field(
-        default_factory=lambda: {
-            HOURLY: "hourlyConsumptionByConsumer",
-            BY_CITY: "totalByCity",
-            COUNTRY: "totalConsumption",
-        }
-    )
+    input_topic: str = INPUT_TOPIC
+    topics: dict[str, str] = field(default_factory=lambda: dict(TOPICS))
     source_options: dict[str, str] = field(default_factory=dict)
     available_now: bool = False
 

@@ -87,8 +87,12 @@ def write_batches(
 
     def save(batch: DataFrame, batch_id: int) -> None:
         # AQE joins the many small state partitions of a batch into few files.
-        batch.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(
-            f"{target}/batch={batch_id}"
+        (
+            batch.hint("rebalance", *partition_by)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(*partition_by)
+            .parquet(f"{target}/batch={batch_id}")
         )
 
     writer = checkpointed(df.writeStream.outputMode(mode), checkpoint).foreachBatch(save)

@@ -1,0 +1,66 @@
+import json
+
+import pytest
+from helpers import epoch, rows
+
+from meterflow import jobs
+from meterflow.sources.store import read_hourly_store, write_hourly_store
+
+HOUR = epoch("2022-05-31 22:00:00")
+
+
+def frame(spark, *values):
+    return spark.createDataFrame(
+        [((json.dumps(v) if isinstance(v, dict) else v).encode(), i) for i, v in enumerate(values)],
+        "value binary, offset long",
+    )
+
+
+def hourly(meter, total, start=HOUR):
+    return {"meterID": meter, "cityID": 1, "aggregatedActiveDelta": total, "unix_window": {"start": start, "end": start + 3600}}
+
+
+def test_messages_to_store_rows(spark):
+    messages = frame(spark, hourly(1, 1.0), hourly(1, 3.0), hourly(1, 2.0), hourly(2, 5.0), "broken")
+    keyed = "meterID IS NOT NULL"
+    largest = jobs.store_rows(messages).where(keyed).select("meterID", "aggregatedActiveDelta")
+    newest = jobs.store_rows(messages, how="latest").where(keyed).select("meterID", "aggregatedActiveDelta")
+    assert rows(largest) == [(1, 3.0), (2, 5.0)]
+    assert rows(newest) == [(1, 2.0), (2, 5.0)]
+
+
+def test_the_hourly_job(spark, tmp_path, monkeypatch):
+    """Two runs over a topic that keeps only its newest hours."""
+    path = str(tmp_path / "store")
+    topic = [hourly(1, 1.0), "broken", hourly(1, 3.0)]
+    monkeypatch.setattr(jobs, "read_kafka_batch", lambda *_: frame(spark, *topic))
+    assert jobs.run_hourly(spark, "h:9092", path) == (2, 1)
+    topic[:] = [hourly(1, 2.0), hourly(2, 7.0, HOUR + 3600)]
+    assert jobs.run_hourly(spark, "h:9092", path) == (2, 0)
+    assert rows(read_hourly_store(spark, path).select("meterID", "aggregatedActiveDelta")) == [(1, 3.0), (2, 7.0)]
+
+
+def test_messages_to_points(spark):
+    window = {"start": 99, "end": 102}
+    city = {"cityID": 1, "cityName": "A", "latitude": 44.0, "longitude": 17.0, "unix_window": window, "aggregatedActiveDelta": 1.5}
+    (point,) = jobs.city_points(frame(spark, city, "broken")).collect()
+    assert point.tags == {"cityID": "1", "cityName": "A"}
+    assert point.fields == {"aggregatedActiveDelta": 1.5, "latitude": 44.0, "longitude": 17.0}
+    (point,) = jobs.country_points(frame(spark, {"unix_window": window, "aggregatedActiveDelta": 2.5}, "{}")).collect()
+    assert (point.measurement, point.fields) == ("country-aggregation", {"aggregatedActiveDelta": 2.5})
+
+
+def test_arguments():
+    args = jobs._arguments(["hourly", "--servers", "h:9092", "--store", "s3a://b/s", "--tz", "Europe/Sarajevo"])
+    assert (args.job, args.mode, args.how, args.tz) == ("hourly", "merge", "max", "Europe/Sarajevo")
+    with pytest.raises(SystemExit):
+        jobs._arguments(["hourly"])
+
+
+def test_the_consumers_job(spark, tmp_path, monkeypatch, capsys):
+    path = str(tmp_path / "store")
+    write_hourly_store(jobs.store_rows(frame(spark, hourly(1, 1.0), hourly(2, 5.0))), path)
+    monkeypatch.setattr(jobs, "build_session", lambda *_, **__: spark)
+    jobs.main(["consumers", "--store", path, "--year", "2022"])
+    printed = capsys.readouterr().out
+    assert "|      2|" in printed and "|      1|" not in printed

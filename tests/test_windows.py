@@ -75,7 +75,7 @@ def test_sql_text_gives_the_same(spark):
     assert flat(by_sql) == flat(op.windowed_sum(readings(spark), ["meterID"], 3))
 
 
-def test_reference_load(spark):
+def test_three_rounds_of_fifty_readings(spark):
     """Three rounds of fifty readings, three seconds apart, against a plain sum."""
     start = epoch("2022-08-10 11:59:57")
     data = [(i % 5, i % 14, start + 3 * j, 0.25 + i / 64) for j in range(3) for i in range(50)]
