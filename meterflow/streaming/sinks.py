@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -64,6 +66,22 @@ def write_console(
     return triggered(writer, available_now).start()
 
 
+@contextmanager
+def _adaptive(spark: SparkSession) -> Iterator[None]:
+    """AQE for the write of a batch, which Spark turns off for the session of a stateful stream.
+
+    The batch itself is computed as it was planned. With AQE its many state partitions are
+    joined into few files and a large folder is split; without, ``rebalance`` does nothing.
+    """
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_batches(
     df: DataFrame,
     path: str,
@@ -86,20 +104,20 @@ def write_batches(
         raise ValueError(f"{target} was written with another checkpoint; use a higher generation")
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        # AQE joins the many small state partitions of a batch into few files.
-        (
-            batch.hint("rebalance", *partition_by)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(*partition_by)
-            .parquet(f"{target}/batch={batch_id}")
-        )
+        with _adaptive(batch.sparkSession):
+            (
+                batch.hint("rebalance", *partition_by)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "static")
+                .partitionBy(*partition_by)
+                .parquet(f"{target}/batch={batch_id}")
+            )
 
     writer = checkpointed(df.writeStream.outputMode(mode), checkpoint).foreachBatch(save)
     return triggered(writer, available_now).start()
 
 
-def read_batches(spark, path: str, schema: T.StructType) -> DataFrame:
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Everything that :func:`write_batches` kept, with its ``generation`` and ``batch``."""
     return spark.read.schema(T.StructType([*schema.fields, *_BATCH_COLUMNS.fields])).parquet(path)
 
@@ -124,7 +142,9 @@ def upsert_points(
     )
 
 
-def read_points(spark, path: str, start=None, stop=None) -> DataFrame:
+def read_points(
+    spark: SparkSession, path: str, start: datetime | str | None = None, stop: datetime | str | None = None
+) -> DataFrame:
     """The newest version of every stored point in ``[start, stop)``.
 
     The range also prunes the folders of other days (folder days are in the session zone,

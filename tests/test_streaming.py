@@ -115,6 +115,16 @@ def test_late_rows(spark, feed, tmp_path, multiple, total_of_first_window):
     assert final[(T0 + 100) // 3 * 3] == 1.25
 
 
+def test_a_small_batch_is_one_file_and_state_stays_as_planned(spark, feed, tmp_path):
+    """AQE is on for the write only; the second batch finds the state of the first."""
+    feed.add(*[(m, 1, T0, 1.0) for m in range(40)]).add(*[(m, 1, T0 + 1, 1.0) for m in range(40)])
+    emitted = run(op.hourly_by_meter(feed.stream()), tmp_path)
+    for batch in (0, 1):
+        assert len(list((tmp_path / "out").glob(f"generation=0/batch={batch}/*.parquet"))) == 1
+    assert rows(emitted.groupBy("batch").agg(F.sum("aggregatedActiveDelta"))) == [(0, 40.0), (1, 80.0)]
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
 def test_rows_without_an_event_time_are_not_counted(spark, feed, tmp_path):
     feed.add((1, 1, None, 5.0), "broken", (1, 1, T0, 1.0))
     assert flat(run(op.total_consumption(feed.stream()), tmp_path)) == [(T0, 1.0)]
