@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from meterflow.functions.bands import PROFILE_BANDS, season_factor
 from meterflow.functions.clock import calendar_parts
 from meterflow.schemas import BAND
-from meterflow.shared import written_table
+from meterflow.shared import scratch_path, written_table
 
 
 def detect_rollback(
@@ -34,7 +34,8 @@ def detect_rollback(
     order = ["meterID", *order_by]
     reports = readings.dropna(subset=[register, *order])
     ranges = written_table(
-        reports.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "report-ranges"
+        reports.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()),
+        scratch_path(readings.sparkSession, "report-ranges"),
     )
     report = F.struct(F.col("meterID").alias("meter"), F.col(register).alias("reading"))
     carried = (

@@ -140,7 +140,7 @@ def reconcile_hourly(spark, sf_dir):
 
 def reconcile_latest(spark, sf_dir):
     """Falling totals, where only the newest partial is right."""
-    falling = tables.hourly_partials(spark, sf_dir).withColumn(TOTAL, -F.col(TOTAL))
+    falling = tables.hourly_partials(spark, sf_dir).withColumn(TOTAL, 0 - F.col(TOTAL))
     return _windows(op.reconcile(falling, how="latest", order_by="emitted"))
 
 
@@ -166,7 +166,7 @@ def compact_latest(spark, sf_dir):
 def hourly_store_merge(spark, sf_dir):
     """Three overlapping runs into one store, the last one a repetition, and the store read back."""
     path = scratch_path(spark, "hourly-store")
-    partials = written_table(tables.hourly_partials(spark, sf_dir), "partials")
+    partials = written_table(tables.hourly_partials(spark, sf_dir), scratch_path(spark, "partials"))
     first = op.build_hourly_store(partials.where("emitted % 3600 < 2400"))
     second = op.build_hourly_store(partials.where("emitted % 3600 >= 600"))
     for run in (first, second, second):

@@ -163,7 +163,7 @@ ORACLE = {
     "reconcile_hourly": _reconciled,
     "reconcile_latest": _with(
         _R, _HOURLY,
-        select="""SELECT * REPLACE (-"aggregatedActiveDelta" AS "aggregatedActiveDelta") FROM hourly""",
+        select="""SELECT * REPLACE (0 - "aggregatedActiveDelta" AS "aggregatedActiveDelta") FROM hourly""",
     ),
     "store_rows_from_messages": _reconciled,
     "compact_latest": """

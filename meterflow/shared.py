@@ -29,13 +29,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/meterflow/{name}-{uuid.uuid4().hex}"
 
 
-def written_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and return the written table.
+def written_table(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a path in the shared folder and return the written table.
 
     It cuts the lineage: later steps see the same rows whatever the source does, and a
     lost executor costs a re-read.
     """
-    path = path or scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -56,8 +56,7 @@ def write_hourly_store(df: DataFrame, path: str, mode: str = "merge", how: str =
     else:
         # Read the source once: a second read could hold hours whose directories were not looked up.
         incoming = f"{_merge_dir(spark, path)}-incoming"
-        written_table(keyed, "incoming", incoming)
-        _merge(spark, spark.read.schema(HOURLY_STORE).parquet(incoming), path, how)
+        _merge(spark, written_table(keyed, incoming), path, how)
         remove_path(spark, incoming)
     return WriteReport(seen.get["rows"], seen.get["without_key"])
 
@@ -89,7 +88,7 @@ def _merge(spark: SparkSession, incoming: DataFrame, path: str, how: str) -> Non
     final = merged.groupBy(*HOURLY_KEYS).agg(
         value.alias(TOTAL), *[F.max(name).alias(name) for name in calendar]
     )
-    written_table(final.select(*HOURLY_STORE.fieldNames()), "merged", _merge_dir(spark, path))
+    written_table(final.select(*HOURLY_STORE.fieldNames()), _merge_dir(spark, path))
     _finish_merge(spark, path)
 
 

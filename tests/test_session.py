@@ -49,7 +49,7 @@ def test_the_shared_folder_comes_from_the_session(monkeypatch, tmp_path):
 
 def test_written_tables_have_paths_of_their_own(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
-    table = written_table(spark.range(3), "numbers")
+    table = written_table(spark.range(3), scratch_path(spark, "numbers"))
     assert table.count() == 3
     assert "Range" not in table._jdf.queryExecution().analyzed().toString()
 
