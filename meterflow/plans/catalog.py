@@ -40,6 +40,13 @@ def _rounded(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({name: F.round(name, 5) for name in cols or (TOTAL,)})
 
 
+def _averaged(df: DataFrame, *cols: str) -> DataFrame:
+    """Averages often lie exactly between two roundings, so they are rounded as decimals."""
+    return df.withColumns({
+        name: F.round(F.col(name).cast("decimal(38,8)"), 5).cast("double") for name in cols
+    })
+
+
 def _windows(df: DataFrame) -> DataFrame:
     return _rounded(op.flat_window(df))
 
@@ -209,27 +216,25 @@ def yearly_by_meter(spark, sf_dir):
 
 
 def yearly_average(spark, sf_dir):
-    return _rounded(op.yearly_average(tables.history(spark, sf_dir, with_city=False)), "averageYearlyConsumption")
+    return _averaged(op.yearly_average(tables.history(spark, sf_dir, with_city=False)), "averageYearlyConsumption")
+
+
+def _compared(df):
+    return _averaged(_rounded(df, "totalConsumptionInYear"), "averageYearlyConsumption")
 
 
 def above_average(spark, sf_dir):
     hist = tables.history(spark, sf_dir, with_city=False, year=YEAR)
-    return _rounded(
-        op.above_average_consumers(hist, YEAR), "totalConsumptionInYear", "averageYearlyConsumption"
-    )
+    return _compared(op.above_average_consumers(hist, YEAR))
 
 
 def above_average_sql(spark, sf_dir):
     hist = tables.history(spark, sf_dir, with_city=False, year=YEAR)
-    return _rounded(op.above_average_sql(hist, YEAR), "totalConsumptionInYear", "averageYearlyConsumption")
+    return _compared(op.above_average_sql(hist, YEAR))
 
 
 def above_average_by_year(spark, sf_dir):
-    return _rounded(
-        op.above_average_consumers(tables.history(spark, sf_dir, with_city=False)),
-        "totalConsumptionInYear",
-        "averageYearlyConsumption",
-    )
+    return _compared(op.above_average_consumers(tables.history(spark, sf_dir, with_city=False)))
 
 
 def top_consumers(spark, sf_dir):
@@ -243,11 +248,11 @@ def top_consumers_per_year(spark, sf_dir):
 
 def season_hour_profile(spark, sf_dir):
     profile = op.season_hour_profile(tables.history(spark, sf_dir, with_city=False))
-    return _rounded(profile, "Winter", "Spring", "Summer", "Fall")
+    return _averaged(profile, "Winter", "Spring", "Summer", "Fall")
 
 
 def daily_average(spark, sf_dir):
-    return _rounded(op.daily_average(tables.history(spark, sf_dir, with_city=False)), "averageActiveDelta")
+    return _averaged(op.daily_average(tables.history(spark, sf_dir, with_city=False)), "averageActiveDelta")
 
 
 def daily_by_meter(spark, sf_dir):
@@ -255,7 +260,8 @@ def daily_by_meter(spark, sf_dir):
 
 
 def daypart_profile(spark, sf_dir):
-    return _rounded(op.daypart_profile(tables.history(spark, sf_dir, with_city=False)), "total", "average")
+    profile = op.daypart_profile(tables.history(spark, sf_dir, with_city=False))
+    return _averaged(_rounded(profile, "total"), "average")
 
 
 # points and dashboard --------------------------------------------------------------------

@@ -70,6 +70,11 @@ _PARTS = """parts AS (
 )"""
 
 
+def _half_up(average: str) -> str:
+    """Five digits, rounded as a decimal: averages often lie exactly between two roundings."""
+    return f"CAST(round(CAST({average} AS DECIMAL(38, 8)), 5) AS DOUBLE)"
+
+
 def _with(*ctes: str, select: str) -> str:
     return f"WITH {', '.join(ctes)} {select}"
 
@@ -94,7 +99,7 @@ _city_points = _with(_R, _C, _CITY_TOTALS, _CITY_POINTS, select="SELECT * FROM p
 _above_average = _with(
     _H,
     select=f"""SELECT t1."meterID", round(sum(t1.total), 5) AS "totalConsumptionInYear",
-                      round(t2.average, 5) AS "averageYearlyConsumption"
+                      {_half_up('t2.average')} AS "averageYearlyConsumption"
                FROM h AS t1 CROSS JOIN (SELECT avg(total) AS average FROM ({_yearly}) WHERE "year" = 1997) AS t2
                WHERE t1."year" = 1997
                GROUP BY t1."meterID", t2.average
@@ -181,7 +186,7 @@ ORACLE = {
     ),
     "yearly_average": _with(
         _H,
-        select=f"""SELECT "year", round(avg(total), 5) AS "averageYearlyConsumption"
+        select=f"""SELECT "year", {_half_up('avg(total)')} AS "averageYearlyConsumption"
                    FROM ({_yearly}) GROUP BY ALL""",
     ),
     "above_average": _above_average,
@@ -189,7 +194,7 @@ ORACLE = {
     "above_average_by_year": _with(
         _H,
         select=f"""SELECT "year", "meterID", round(total, 5) AS "totalConsumptionInYear",
-                          round(average, 5) AS "averageYearlyConsumption"
+                          {_half_up('average')} AS "averageYearlyConsumption"
                    FROM (SELECT *, avg(total) OVER (PARTITION BY "year") AS average FROM ({_yearly}))
                    WHERE total >= average""",
     ),
@@ -207,15 +212,15 @@ ORACLE = {
     ),
     "season_hour_profile": _with(
         _H,
-        select="""SELECT "hour", round(avg(total) FILTER (WHERE "month" BETWEEN 1 AND 3), 5) AS "Winter",
-                         round(avg(total) FILTER (WHERE "month" BETWEEN 4 AND 6), 5) AS "Spring",
-                         round(avg(total) FILTER (WHERE "month" BETWEEN 7 AND 8), 5) AS "Summer",
-                         round(avg(total) FILTER (WHERE "month" BETWEEN 9 AND 12), 5) AS "Fall"
+        select=f"""SELECT "hour", {_half_up('avg(total) FILTER (WHERE "month" BETWEEN 1 AND 3)')} AS "Winter",
+                         {_half_up('avg(total) FILTER (WHERE "month" BETWEEN 4 AND 6)')} AS "Spring",
+                         {_half_up('avg(total) FILTER (WHERE "month" BETWEEN 7 AND 8)')} AS "Summer",
+                         {_half_up('avg(total) FILTER (WHERE "month" BETWEEN 9 AND 12)')} AS "Fall"
                   FROM h GROUP BY "hour" ORDER BY "hour" """,
     ),
     "daily_average": _with(
         _H,
-        select="""SELECT CAST(day("date") AS INTEGER) AS "day", round(avg(total), 5) AS "averageActiveDelta"
+        select=f"""SELECT CAST(day("date") AS INTEGER) AS "day", {_half_up('avg(total)')} AS "averageActiveDelta"
                   FROM h GROUP BY ALL""",
     ),
     "daily_by_meter": _with(
@@ -226,7 +231,7 @@ ORACLE = {
     ),
     "daypart_profile": _with(
         _H, _PARTS,
-        select="""SELECT season, daypart, round(sum(total), 5) AS total, round(avg(total), 5) AS average,
+        select=f"""SELECT season, daypart, round(sum(total), 5) AS total, {_half_up('avg(total)')} AS average,
                          count(total) AS n
                   FROM parts GROUP BY ALL""",
     ),
