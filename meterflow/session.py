@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,6 +80,22 @@ def make_adaptive(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def adaptive_execution(spark: SparkSession) -> Iterator[None]:
+    """AQE for the queries inside, whatever the session says.
+
+    Without it Spark ignores a ``rebalance`` hint: many small partitions would not be joined
+    into few files, and a large folder would not be split.
+    """
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def register(df: DataFrame, name: str) -> DataFrame:
     """Expose ``df`` to SQL text under ``name``."""
     df.createOrReplaceTempView(name)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from meterflow.operators.reconcile import HOURLY_KEYS
 from meterflow.schemas import HOURLY_STORE, TOTAL
+from meterflow.session import adaptive_execution
 from meterflow.shared import path_exists, remove_path, shared_dir, written_table
 
 PARTITIONS = ("year", "month", "cityID")
@@ -52,7 +53,8 @@ def write_hourly_store(df: DataFrame, path: str, mode: str = "merge", how: str =
         .where(~no_key)
     )
     if mode == "append":
-        _clustered(keyed).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+        with adaptive_execution(spark):
+            _clustered(keyed).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
     else:
         # Read the source once: a second read could hold hours whose directories were not looked up.
         incoming = f"{_merge_dir(spark, path)}-incoming"
@@ -100,11 +102,12 @@ def _finish_merge(spark: SparkSession, path: str) -> None:
     """
     staged = _merge_dir(spark, path)
     if path_exists(spark, f"{staged}/_SUCCESS"):
-        (
-            _clustered(spark.read.schema(HOURLY_STORE).parquet(staged))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*PARTITIONS)
-            .parquet(path)
-        )
+        with adaptive_execution(spark):
+            (
+                _clustered(spark.read.schema(HOURLY_STORE).parquet(staged))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*PARTITIONS)
+                .parquet(path)
+            )
         remove_path(spark, staged)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from meterflow.functions.clock import as_instant
 from meterflow.schemas import POINT
+from meterflow.session import adaptive_execution
 from meterflow.shared import path_exists
 
 # Order of the rows that batches left behind: later generations, then later batches.
@@ -66,22 +66,6 @@ def write_console(
     return triggered(writer, available_now).start()
 
 
-@contextmanager
-def _adaptive(spark: SparkSession) -> Iterator[None]:
-    """AQE for the write of a batch, which Spark turns off for the session of a stateful stream.
-
-    The batch itself is computed as it was planned. With AQE its many state partitions are
-    joined into few files and a large folder is split; without, ``rebalance`` does nothing.
-    """
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def write_batches(
     df: DataFrame,
     path: str,
@@ -104,7 +88,8 @@ def write_batches(
         raise ValueError(f"{target} was written with another checkpoint; use a higher generation")
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        with _adaptive(batch.sparkSession):
+        # Spark turns AQE off in the session of a stateful stream; this concerns the write only.
+        with adaptive_execution(batch.sparkSession):
             (
                 batch.hint("rebalance", *partition_by)
                 .write.mode("overwrite")

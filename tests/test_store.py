@@ -134,6 +134,17 @@ def test_a_large_directory_is_split_between_tasks(spark, path, tmp_path):
     assert read_hourly_store(spark, path).count() == 400_000
 
 
+def test_one_file_per_small_directory_also_without_aqe(spark, path, tmp_path):
+    data = [(m, c, MAY + 3600 * h, 1.0) for m in range(20) for c in (1, 2) for h in range(3)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_hourly_store(op.build_hourly_store(partials(spark, data)), path)
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(list(tmp_path.glob("store/year=*/month=*/cityID=*/*.parquet"))) == 4
+
+
 def test_snapshots_and_city_table(spark, tmp_path):
     df = spark.createDataFrame([(1, 2.5), (2, None)], "a long, b double")
     for fmt in ("json", "parquet"):

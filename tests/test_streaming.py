@@ -237,9 +237,12 @@ def test_one_failed_query_ends_the_job(spark, feed, tmp_path):
     assert not any(query.isActive for query in queries.values())
 
 
-def test_console(spark, feed, capfd):
-    feed.add((1, 1, T0, 1.0))
-    sinks.write_console(feed.stream(), mode="append", available_now=True).awaitTermination()
+def test_console(spark, feed):
+    feed.add((1, 1, T0, 1.0), (1, 1, T0, 2.0))
+    query = sinks.write_console(feed.stream(), mode="append", available_now=True)
+    query.awaitTermination()
+    assert query.exception() is None
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 2
 
 
 class Recorder:
