@@ -9,8 +9,13 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from llm.decontamination import leaks
 from llm.jaccard_join import jaccard_classes
+from llm.line_dedup import line_report
+from llm.mixing import mixed_sizes
+from llm.quality import LEVEL, judged, train
 
 _SHIPPED: set[str] = set()
 
@@ -45,14 +50,77 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
+def toxicity_grades(labels: DataFrame) -> DataFrame:
+    """(doc_id, grade): 0 toxic, 1 of low quality, 2 neither; null without both ratings."""
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("toxic") == 0, F.lit(2))
+    return labels.select("doc_id", F.when(F.col("quality").isNotNull(), grade).alias("grade"))
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document."""
+    return mixed_sizes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents with near sets of five-word shingles."""
     return jaccard_classes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the classifier selects, with their expected grade and tail probability."""
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, toxicity_grades(table(spark, sf_dir, "labels")))
+    return judged(docs, model).where(F.col("tail_probability") >= LEVEL).withColumnRenamed("id", "doc_id")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document loses of repeated chunks of lines."""
+    return line_report(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items found in documents, and where."""
+    return (
+        leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+        .withColumnRenamed("id", "doc_id")
+        .withColumnRenamed("item", "item_id")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _shipped(f) for f in (op4_jaccard_join,)
+    f.__name__: _shipped(f) for f in (
+        op2_source_mixing,
+        op4_jaccard_join,
+        op5_quality_classifier,
+        op6_line_dedup,
+        op8_benchmark_decontamination,
+    )
 }
 
 #: SQL for DuckDB where it can express a query.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_source_mixing": r"""
+        WITH sized AS (
+            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+            FROM documents),
+        sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size, 3.0::DOUBLE * sum(size)::DOUBLE AS bound,
+                   (1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::DOUBLE AS weight
+            FROM sized GROUP BY source),
+        levels AS (
+            SELECT max((t.total - coalesce(
+                       (SELECT sum(b.bound) FROM sources b WHERE b.bound / b.weight < a.bound / a.weight), 0.0))
+                   / (SELECT sum(b.weight) FROM sources b WHERE b.bound / b.weight >= a.bound / a.weight)) AS level
+            FROM sources a, (SELECT sum(source_size)::DOUBLE AS total FROM sources) t),
+        rates AS (
+            SELECT source, source_size, least(bound, level * weight) AS target,
+                   CASE WHEN source_size > 0 THEN least(least(bound, level * weight) / source_size, 3.0) ELSE 1.0 END AS rate
+            FROM sources, levels),
+        drawn AS (
+            SELECT doc_id, size, source_size, target, rate,
+                   ('0x' || substr(md5('1' || coalesce(':' || doc_id, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
+            FROM sized JOIN rates ON sized.source IS NOT DISTINCT FROM rates.source)
+        SELECT doc_id, size, source_size, target,
+               (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+        FROM drawn""",
+}
