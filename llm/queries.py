@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 from llm.decontamination import leaks
 from llm.jaccard_join import jaccard_classes
+from llm.licenses import scan
 from llm.line_dedup import line_report
 from llm.mixing import mixed_sizes
 from llm.quality import LEVEL, judged, train
+from llm.tool_calls import SCHEMAS, linked_calls, turns_as_calls
+from llm.url_filter import judged_urls
 
 _SHIPPED: set[str] = set()
 
@@ -56,6 +59,11 @@ def toxicity_grades(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", F.when(F.col("quality").isNotNull(), grade).alias("grade"))
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on each page's URL."""
+    return judged_urls(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of each document."""
     return mixed_sizes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -78,6 +86,14 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of the documents, read as files: 64 to a directory below their source, short ones named COPYING."""
+    docs = table(spark, sf_dir, "documents")
+    name = F.when(F.length("text") < 1000, F.concat(F.lit("COPYING."), "doc_id")).otherwise(F.concat("doc_id", F.lit(".txt")))
+    path = F.concat_ws("/", F.lit(""), "source", F.floor(F.col("doc_id") / 64).cast("string"), name)
+    return scan(docs.select("doc_id", "text", path.alias("path"))).withColumnRenamed("id", "doc_id")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items found in documents, and where."""
     return (
@@ -87,13 +103,22 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of the conversations as tool calls with their results."""
+    calls, results = turns_as_calls(table(spark, sf_dir, "conversations"))
+    return linked_calls(calls, results, SCHEMAS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
+        op1_url_filter,
         op2_source_mixing,
         op4_jaccard_join,
         op5_quality_classifier,
         op6_line_dedup,
+        op7_license_scan,
         op8_benchmark_decontamination,
+        op9_chat_formatting,
     )
 }
 
