@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.decontamination import leaks
+from llm.embedding_dedup import embedding_classes
 from llm.jaccard_join import jaccard_classes
 from llm.licenses import scan
 from llm.line_dedup import line_report
@@ -109,6 +110,11 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_calls(calls, results, SCHEMAS)
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates among the embeddings of each label."""
+    return embedding_classes(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
         op1_url_filter,
@@ -119,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_license_scan,
         op8_benchmark_decontamination,
         op9_chat_formatting,
+        op10_embedding_dedup,
     )
 }
 
