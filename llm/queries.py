@@ -18,6 +18,7 @@ from llm.licenses import scan
 from llm.line_dedup import line_report
 from llm.mixing import mixed_sizes
 from llm.quality import LEVEL, judged, train
+from llm.substring_dedup import repeated_words
 from llm.tool_calls import SCHEMAS, linked_calls, turns_as_calls
 from llm.url_filter import judged_urls
 
@@ -70,6 +71,11 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document loses of passages of 50 words that an earlier one has."""
+    return repeated_words(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents with near sets of five-word shingles."""
     return jaccard_classes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -119,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
         op1_url_filter,
         op2_source_mixing,
+        op3_substring_dedup,
         op4_jaccard_join,
         op5_quality_classifier,
         op6_line_dedup,
