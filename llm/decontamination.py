@@ -132,9 +132,9 @@ class Searcher:
             out.append(key)
         return np.concatenate(out, axis=1)
 
-    def _windows(self, hashes: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and items of the windows that have a piece of an item in its place."""
-        start, item = [], []
+    def _windows(self, hashes: np.ndarray, end: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """(start, item, document) of the windows that have a piece of an item in its place."""
+        found = [np.zeros((0, 3), dtype=np.int64)]
         at = np.flatnonzero(self.first[(hashes & _MASK).astype(np.int64)])
         after = np.minimum(at + 1, max(0, len(hashes) - 1))
         at = at[self.second[(hashes[after] & _MASK).astype(np.int64)]]
@@ -145,12 +145,9 @@ class Searcher:
             some = np.flatnonzero(hi > lo)
             times = (hi - lo)[some]
             k = np.repeat(lo[some], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            start.append(np.repeat(here[some], times) - offset[k])
-            item.append(own[k])
-        if not start:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        both = np.unique(np.stack([np.concatenate(start), np.concatenate(item)], axis=1), axis=0)
-        return both[:, 0], both[:, 1]
+            place = np.repeat(here[some], times)
+            found.append(np.stack([place - offset[k], own[k], owner[place]], axis=1))
+        return np.unique(np.concatenate(found), axis=0)
 
     def hits(self, some: words.Words) -> list[tuple[int, int, int, int]]:
         """(document, item, first word, edits) of every leak, the best place of each item in each document."""
@@ -158,17 +155,12 @@ class Searcher:
         if not len(hashes) or not self.pieces:
             return []
         owner = np.repeat(np.arange(len(some)), some.counts())
-        start, item = self._windows(hashes, offsets[1:][owner])
-        if not len(start):
-            return []
+        start, item, doc = self._windows(hashes, offsets[1:][owner], owner).T
         size = np.array([len(x) for x in self.items])[item]
-        most = np.array(self.edits)[item]
-        middle = np.clip(start + size // 2, 0, len(hashes) - 1)
-        # a window that only partly lies in its document is moved inwards; its piece tells the document
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        doc = self._owner_of(start, size, item, owner, offsets, hashes, middle)
         for n in np.unique(size).tolist():
             of = np.flatnonzero(size == n)
+            # a window that only partly lies in its document is moved inwards
             low, high = offsets[doc[of]], offsets[doc[of] + 1]
             begin = np.clip(start[of], low, np.maximum(low, high - n))
             inside = np.minimum(n, high - begin)
@@ -187,7 +179,7 @@ class Searcher:
                 name = (int(doc[of[r]]), k)
                 text_from = max(int(low[r]), int(begin[r]) - self.edits[k])
                 text = hashes[text_from : min(int(high[r]), int(begin[r]) + n + self.edits[k])]
-                if (hashes[begin[r] : begin[r] + n] == self.items[k][: inside[r]]).all() and inside[r] == n:
+                if inside[r] == n and (hashes[begin[r] : begin[r] + n] == self.items[k]).all():
                     found = (0, int(begin[r]))
                 else:
                     cost, end = edit_distance(self.items[k], text)
@@ -196,12 +188,6 @@ class Searcher:
                     best[name] = found
         return [(d, k, s - int(offsets[d]), cost) for (d, k), (cost, s) in sorted(best.items())]
 
-    def _owner_of(self, start, size, item, owner, offsets, hashes, middle) -> np.ndarray:
-        """The document of each window: that of its middle word, if the window lies in one document, else of most of it."""
-        lo, hi = np.clip(start, 0, len(hashes) - 1), np.clip(start + size - 1, 0, len(hashes) - 1)
-        first, last, mid = owner[lo], owner[hi], owner[middle]
-        return np.where(first == last, first, mid)
-
 
 def _leaks(searcher: Searcher, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
