@@ -13,9 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.graph import kept
+from llm.graph import as_struct, kept
 
 WINDOW = 2
+#: Up to so many removed chunks (8 bytes each, and some tens for a document) are broadcast; more are joined by a shuffle.
+BROADCAST_SPANS = 1_000_000
 SPACING = 4
 
 
@@ -105,20 +107,21 @@ def repeated_spans(
     return per_doc.select("id", "whole", F.array_union("others", firsts).alias("spans")).where(F.size("spans") > 0)
 
 
-def _joined(docs: DataFrame, id: str, text: str, window: int, spacing: int) -> DataFrame:
+def _cut(docs: DataFrame, id: str, text: str, window: int, spacing: int) -> DataFrame:
+    """doc, lines, removed (places, or null) and kept: the text without them, left as it is if it loses nothing."""
     spans = kept(repeated_spans(docs, id, text, window, spacing), "spans").select(
-        F.col("id").alias("_id"), F.col("whole").alias("_whole"), F.col("spans").alias("_removed")
+        F.col("id").alias("of"), "whole", F.col("spans").alias("removed")
     )
-    here = F.xxhash64(F.col(text))
-    return docs.join(spans, (here == F.col("_whole")) & F.col(id).eqNullSafe(F.col("_id")), "left")
-
-
-def _without(frame: DataFrame, text: str, window: int, spacing: int) -> DataFrame:
-    """With ``_kept``: the text without its removed chunks; a text that loses nothing is left as it is."""
-    chunked = line_chunks(frame, text, window, spacing)
-    lines = F.flatten(F.transform(F.array_except("_spans", "_removed"), lambda s: _slice(F.col("_lines"), s)))
-    kept_text = F.when(F.col("_removed").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
-    return chunked.withColumn("_kept", kept_text)
+    if (spans.agg(F.sum(F.size("removed"))).first()[0] or 0) <= BROADCAST_SPANS:
+        spans = F.broadcast(spans)
+    else:
+        spans = spans.hint("merge")
+    body = F.col(f"doc.{text}")
+    same = (F.xxhash64(body) == F.col("whole")) & F.col(f"doc.{id}").eqNullSafe(F.col("of"))
+    joined = as_struct(docs, "doc").join(spans, same, "left").select("doc", "removed", body.alias("body"))
+    lines = F.flatten(F.transform(F.array_except("_spans", "removed"), lambda s: _slice(F.col("_lines"), s)))
+    left = F.when(F.col("removed").isNull(), F.col("body")).otherwise(F.array_join(lines, "\n"))
+    return line_chunks(joined, "body", window, spacing).select("doc", F.col("_lines").alias("lines"), "removed", left.alias("kept"))
 
 
 def deduplicated_lines(
@@ -128,23 +131,23 @@ def deduplicated_lines(
 
     No row is dropped: a document that loses all its lines has an empty text. A null text stays null.
     """
-    frame = _without(_joined(docs, id, text, window, spacing), text, window, spacing)
-    return frame.select(*[F.col("_kept").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    frame = _cut(docs, id, text, window, spacing)
+    return frame.select(*[F.col("kept").alias(c) if c == text else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 
 def line_report(
     docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW, spacing: int = SPACING
 ) -> DataFrame:
     """One row per document: id, its lines, how many of them go, and the SHA-256 of the text that stays."""
-    frame = _without(_joined(docs, id, text, window, spacing), text, window, spacing)
+    frame = _cut(docs.select(F.col(id).alias("id"), F.col(text).alias("text")), "id", "text", window, spacing)
     gone = F.aggregate(
-        F.coalesce(F.col("_removed"), F.array().cast("array<bigint>")),
+        F.coalesce("removed", F.array().cast("array<bigint>")),
         F.lit(0).cast("long"),
         lambda n, s: n + s.bitwiseAND(F.lit((1 << 32) - 1)),
     )
     return frame.select(
-        F.col(id).alias("id"),
-        F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
+        "doc.id",
+        F.when(F.col("doc.text").isNull(), F.lit(0)).otherwise(F.size("lines")).cast("long").alias("n_lines"),
         gone.alias("n_removed"),
-        F.sha2("_kept", 256).alias("kept_sha256"),
+        F.sha2("kept", 256).alias("kept_sha256"),
     )
