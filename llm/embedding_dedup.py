@@ -64,32 +64,38 @@ def rotation(v: np.ndarray, draw: np.random.Generator, rounds: int = 30) -> np.n
     return r
 
 
-def learn(x: np.ndarray, near: float, recall: float, key_bits: int, seed: int = 1) -> Codes:
-    """Codes for data like the sample ``x`` of vectors: as many tables as ``recall`` takes at the cosine ``near``."""
-    draw = np.random.default_rng(seed)
+def learn(x: np.ndarray, near: float, recall: float, key_bits: int, seed: int = 1, most: int = 64) -> Codes:
+    """Codes for data like the sample ``x`` of vectors: as many tables as ``recall`` takes at the cosine ``near``.
+
+    Recall is measured on pairs made from the sample: half of them have that cosine, the others are
+    nearer. Where vectors lie closely around the centre, no codes that are balanced about it find
+    them; if ``most`` rotations don't reach the recall, the origin takes the centre's place.
+    """
     x = unit(x.astype(np.float64))
-    centre = x.mean(axis=0)
-    _, _, axes = np.linalg.svd(x - centre, full_matrices=True)
-    wide = min(CODE_BITS, x.shape[1])
-    axes = axes[:wide].T
-    v = (x - centre) @ axes
-    bits = max(1, min(key_bits, wide))
-    each = wide // bits
-    step = draw.standard_normal(x.shape)
-    step = unit(step - (step * x).sum(axis=1, keepdims=True) * x)
-    moved = (near * x + math.sqrt(max(0.0, 1 - near * near)) * step - centre) @ axes
-    projections, tables, miss = [], [], 1.0
-    while miss > 1 - recall and len(projections) < 64:
-        r = rotation(v, draw)
-        same = (v @ r > 0) == (moved @ r > 0)
-        order = draw.permutation(wide)  # substrings of any axes
-        projections.append((axes @ r)[:, order])
-        same = same[:, order]
-        for k in range(each):
-            tables.append((len(projections) - 1, k * bits, bits))
-            miss *= 1 - same[:, k * bits : (k + 1) * bits].all(axis=1).mean()
-            if miss <= 1 - recall:
-                break
+    for centre in (x.mean(axis=0), np.zeros(x.shape[1])):
+        draw = np.random.default_rng(seed)
+        _, _, axes = np.linalg.svd(x - centre, full_matrices=True)
+        wide = min(CODE_BITS, x.shape[1])
+        axes = axes[:wide].T
+        pairs = np.tile(x, (-(-2000 // len(x)), 1))
+        step = draw.standard_normal(pairs.shape)
+        step = unit(step - (step * pairs).sum(axis=1, keepdims=True) * pairs)
+        angle = math.acos(near) * np.where(draw.random(len(pairs)) < 0.5, 1.0, 10.0 ** draw.uniform(-2, 0, len(pairs)))
+        moved = (np.cos(angle)[:, None] * pairs + np.sin(angle)[:, None] * step - centre) @ axes
+        still = (pairs - centre) @ axes
+        bits = max(1, min(key_bits, wide))
+        projections, tables, missed = [], [], np.ones(len(pairs), dtype=bool)
+        while missed.mean() > 1 - recall and len(projections) < most:
+            r = rotation((x - centre) @ axes, draw)[:, draw.permutation(wide)]  # substrings of any axes
+            projections.append(axes @ r)
+            same = (still @ r > 0) == (moved @ r > 0)
+            for k in range(wide // bits):
+                tables.append((len(projections) - 1, k * bits, bits))
+                missed &= ~same[:, k * bits : (k + 1) * bits].all(axis=1)
+                if missed.mean() <= 1 - recall:
+                    break
+        if missed.mean() <= 1 - recall:
+            break
     return Codes(centre, projections, tables)
 
 
