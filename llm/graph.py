@@ -19,6 +19,11 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return written_table(df, scratch_path(df.sparkSession, name))
 
 
+def as_struct(df: DataFrame, name: str) -> DataFrame:
+    """All columns in one, so that no other name can clash with theirs."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For links between ids: the ids that are not the smallest of their component, and that smallest id."""
     ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)

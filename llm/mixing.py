@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.graph import kept
+from llm.graph import as_struct, kept
 from llm.words import WORD
 
 #: Weights of the sources in the order of their names, repeating.
@@ -74,17 +74,14 @@ def copies(rate: Column, id: Column, seed: int) -> Column:
 
 
 def _rated(docs: DataFrame, targets: DataFrame, source: str, most: float) -> DataFrame:
-    """``docs`` with ``_size``, ``_target`` and ``_rate`` of their sources."""
+    """``docs`` with ``source_size``, ``target`` and ``rate`` of their sources."""
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most))))
     rates = targets.select(
-        F.col("source").alias("_source"),
-        F.col("source_size").alias("_size"),
-        F.col("target").alias("_target"),
-        F.coalesce(rate, F.lit(1.0)).alias("_rate"),
+        F.col("source").alias("rated_source"), "source_size", "target", F.coalesce(rate, F.lit(1.0)).alias("rate")
     )
     if rates.count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
-    return docs.join(rates, F.col(source).eqNullSafe(F.col("_source")), "left").drop("_source")
+    return docs.join(rates, F.col(source).eqNullSafe(F.col("rated_source")), "left")
 
 
 def mixed_sizes(
@@ -99,11 +96,7 @@ def mixed_sizes(
     sized = kept(docs.select(F.col(id).alias("id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")), "sized")
     targets = kept(source_targets(sized, weights, most), "targets")
     return _rated(sized, targets, "source", most).select(
-        "id",
-        "size",
-        F.col("_size").alias("source_size"),
-        F.col("_target").alias("target"),
-        (F.col("size") * copies(F.col("_rate"), F.col("id"), seed)).alias("taken"),
+        "id", "size", "source_size", "target", (F.col("size") * copies(F.col("rate"), F.col("id"), seed)).alias("taken")
     )
 
 
@@ -117,9 +110,6 @@ def mixed_documents(
     """
     sized = docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
     targets = kept(source_targets(sized, weights, most), "targets")
-    times = copies(F.col("_rate"), F.col(id), seed).cast("int")
-    return (
-        _rated(docs, targets, source, most)
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times)))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+    times = copies(F.col("rate"), F.col(f"doc.{id}"), seed).cast("int")
+    rated = _rated(as_struct(docs, "doc"), targets, f"doc.{source}", most)
+    return rated.select("doc", F.explode(F.array_repeat(F.lit(0), times)).alias("copy")).select("doc.*")

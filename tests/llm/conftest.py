@@ -1,0 +1,34 @@
+"""Small tables with everything that may go wrong in a column."""
+
+import pytest
+
+from llm.queries import ship
+
+A = "the quick brown fox jumps over the lazy dog and runs far away from home today"
+LONG = " ".join(f"w{i}" for i in range(3000))
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shipped(spark):
+    return ship(spark)
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls in every column, empty and long texts, repeated rows, columns with clashing names."""
+    rows = [
+        (1, A, "s1", 1, "x"),
+        (2, A, "s1", 2, "x"),
+        (2, A, "s1", 2, "x"),
+        (3, A.replace("dog", "cat"), "s2", 3, None),
+        (4, None, "s2", 4, "x"),
+        (5, "", None, 5, "x"),
+        (6, "  \n\t ", "s3", 6, "x"),
+        (None, A, "s3", 7, "x"),
+        (None, None, None, None, None),
+        (8, LONG, "s1", 8, "x"),
+        (9, LONG + " end", "s1", 9, "x"),
+        (10, "one", "s4", 10, "x"),
+        (11, "one", "s4", 11, "x"),
+    ]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, id long, size string")
