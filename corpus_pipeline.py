@@ -15,6 +15,9 @@ from llm.mixing import mixed_documents
 from llm.quality import selected, train
 from llm.queries import ship, table, toxicity_grades
 
+#: Up to so many ids of near copies are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier expects to be of the highest grade."""
@@ -31,8 +34,9 @@ def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document that names its class of near copies; rows without an id stay."""
     ship(spark)
     classes = jaccard_classes(docs)
-    gone = classes.where("component_id <> id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(kept(gone, "near-copies"), "doc_id", "left_anti").select(*docs.columns)
+    gone = kept(classes.where("component_id <> id").select(F.col("id").alias("doc_id")).distinct(), "near-copies")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone.hint("merge")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def _benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
