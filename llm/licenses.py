@@ -89,7 +89,10 @@ class _Vectors:
 
         norm = F.sqrt(total(lambda p: p.x * p.x))
         every = [
-            F.struct((-F.round(total(lambda p, u=u: p.x * self._weight(p.w, u, 0.0)) / norm, 9)).alias("far"), F.lit(name).alias("name"))
+            F.struct(
+                (-F.round(F.try_divide(total(lambda p, u=u: p.x * self._weight(p.w, u, 0.0)), norm), 9)).alias("far"),
+                F.lit(name).alias("name"),
+            )
             for name, u in self.units
         ]
         return F.array_min(F.array(*every))

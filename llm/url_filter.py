@@ -119,9 +119,11 @@ def _level(scores: DataFrame) -> float:
     )
     below = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    wrong = F.coalesce(F.sum("allow").over(below), F.lit(0)) / F.sum("allow").over(everything) + (
-        1 - F.coalesce(F.sum("block").over(below), F.lit(0)) / F.sum("block").over(everything)
-    )
+
+    def share(kind: str) -> Column:
+        return F.try_divide(F.coalesce(F.sum(kind).over(below), F.lit(0)), F.sum(kind).over(everything))
+
+    wrong = share("allow") + 1 - share("block")
     best = bins.withColumn("wrong", wrong).where("wrong IS NOT NULL").orderBy("wrong", F.abs("step"), "step").first()
     return best["step"] / LEVELS if best else 0.0
 

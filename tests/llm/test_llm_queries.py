@@ -1,0 +1,81 @@
+"""The registered queries, their SQL twins, and the pipeline stage by stage."""
+
+import math
+import os
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from llm.queries import ORACLE, QUERIES
+
+SF_DIR = os.environ.get("METERFLOW_TEST_SF_DIR", "/root/testdata/sf0.01")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+def canonical(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+
+    def cell(value):
+        if isinstance(value, float):
+            return "nan" if math.isnan(value) else repr(value + 0.0)
+        return str(value)
+
+    return [columns[i] for i in order], sorted(tuple(cell(row[i]) for i in order) for row in rows)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_twins(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
+    df = QUERIES[name](spark, SF_DIR)
+    found = con.execute(ORACLE[name])
+    assert canonical(df.columns, df.collect()) == canonical([d[0] for d in found.description], found.fetchall())
+
+
+def test_names():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality classifier", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "mixing sources"
+    ]
+
+
+def test_pipeline_stage_by_stage(spark):
+    """Each stage against what its operator says by itself, or brute force, on the stage's own input."""
+    from test_llm_maps import brute_leaks
+    from test_llm_near import brute_classes
+
+    small = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    columns, before = docs.columns, {r.doc_id: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, small)
+        assert out.columns == columns
+        rows = out.collect()
+        if name == "quality classifier":
+            assert {r.doc_id for r in rows} <= set(before)
+        elif name == "line dedup":
+            assert {r.doc_id for r in rows} == set(before)
+            assert all(len(r.text) <= len(before[r.doc_id].text) for r in rows)
+        elif name == "n-gram Jaccard join":
+            wanted = brute_classes([(r.doc_id, r.text) for r in before.values()])
+            assert {r.doc_id for r in rows} == {i for i, (_, c) in wanted.items() if c == i}
+        elif name == "benchmark decontamination":
+            items = [tuple(r) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+            leaked = {d for d, _ in brute_leaks([(r.doc_id, r.text) for r in before.values()], items)}
+            assert leaked and {r.doc_id for r in rows} == set(before) - leaked
+        else:
+            assert {r.doc_id for r in rows} <= set(before) and len(rows) > 0
+            assert all(tuple(before[r.doc_id]) == tuple(r) for r in rows)
+        docs = spark.createDataFrame(rows, out.schema)
+        before = {r.doc_id: r for r in rows}
+
+
+def test_pipeline_odd_rows(spark, odd_docs):
+    docs = odd_docs.selectExpr("doc_id", "text", "'en' AS lang", "source", "id AS n_chars")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, "/root/testdata/sf0.001").columns == docs.columns
+        assert stage(spark, docs.limit(0), "/root/testdata/sf0.001").count() == 0
+    texts = {r.text for r in corpus_pipeline.STAGES[2][1](spark, docs, "/root/testdata/sf0.001").collect()}
+    assert len(texts) == 7
