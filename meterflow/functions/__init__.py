@@ -7,7 +7,6 @@ from meterflow.functions.clock import (
     local_midnight,
     time_shift,
     unix_window,
-    unix_window_sql,
 )
 from meterflow.functions.columns import drop_columns, rename_by_regex
 from meterflow.functions.messages import encode_json, message_key, parse_messages

@@ -72,14 +72,6 @@ def unix_window(window: Column | str = "window") -> Column:
     )
 
 
-def unix_window_sql(window: str = "window") -> str:
-    """:func:`unix_window` for SQL text."""
-    return (
-        f"named_struct('start', to_unix_timestamp({window}.start),"
-        f" 'end', to_unix_timestamp({window}.end))"
-    )
-
-
 def time_shift(df: DataFrame, col: str, by: int | str | timedelta) -> DataFrame:
     """Move ``col`` by a constant, for example ``"-1 hour"``."""
     return df.withColumn(col, F.col(col) + F.expr(f"INTERVAL '{duration(by)}'"))

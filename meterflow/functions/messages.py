@@ -27,22 +27,22 @@ def parse_messages(
     schema: T.StructType,
     quarantine: bool = False,
     keep: Sequence[str] = (),
-) -> DataFrame | tuple[DataFrame, DataFrame]:
+) -> DataFrame:
     """Decode the JSON in ``value`` and flatten it; ``keep`` carries source columns along.
 
     A malformed message becomes an all-null row, and a field of the wrong type becomes
-    null while its row survives. With ``quarantine`` the result is a pair: rows with every
-    field present, and the untouched source rows of all the others.
+    null while its row survives. With ``quarantine`` every row also says whether it is
+    ``complete``, that is has every field, and brings its untouched ``value``: one pass over
+    the source, whatever is then done with the two kinds.
     """
     # The one-element explode is a fence. Without it the optimizer copies from_json into every
     # filter on a parsed field, and each message is parsed several times.
     decoded = F.from_json(F.col("value").cast("string"), schema)
     parsed = df.withColumn(_PARSED, F.explode(F.array(decoded)))
     flat = [*keep, f"{_PARSED}.*"]
-    if not quarantine:
-        return parsed.select(*flat)
-    complete = _all_present(_PARSED, schema)
-    return parsed.where(complete).select(*flat), parsed.where(~complete).drop(_PARSED)
+    if quarantine:
+        flat += [_all_present(_PARSED, schema).alias("complete"), "value"]
+    return parsed.select(*flat)
 
 
 def message_key(cols: str | Sequence[str]) -> Column:

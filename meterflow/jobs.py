@@ -3,7 +3,8 @@
 * ``stream`` keeps the three result topics up to date,
 * ``hourly`` moves final hourly values from their topic into the hourly store,
 * ``points`` keeps the point table up to date from the city and country topics,
-* ``consumers`` prints the consumers at or above the average of a year.
+* ``compact`` settles a closed month of the hourly store, or a day of points, into few files,
+* ``consumers`` writes all consumers at or above the average of a year.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from meterflow.functions.messages import parse_messages
@@ -20,10 +22,11 @@ from meterflow.operators.points import to_city_points, to_country_points
 from meterflow.operators.reconcile import build_hourly_store
 from meterflow.schemas import CITY_MESSAGE, COUNTRY_MESSAGE, HOURLY_MESSAGE
 from meterflow.session import build_session, preview
+from meterflow.sources.files import write_snapshot
 from meterflow.sources.kafka import read_kafka_batch, read_kafka_stream
-from meterflow.sources.store import WriteReport, read_hourly_store, write_hourly_store
+from meterflow.sources.store import WriteReport, compact_hourly_store, read_hourly_store, write_hourly_store
 from meterflow.streaming.job import BY_CITY, COUNTRY, HOURLY, TOPICS, StreamConfig, await_any, run_streams
-from meterflow.streaming.sinks import upsert_points
+from meterflow.streaming.sinks import checkpointed, compact_points, triggered, upsert_points
 
 
 def store_rows(messages: DataFrame, tz: str = "UTC", how: str = "max") -> DataFrame:
@@ -61,7 +64,22 @@ def run_hourly(
     how: str = "max",
 ) -> WriteReport:
     """Everything the hourly topic holds, into the store. May be repeated at any time."""
-    return write_hourly_store(store_rows(read_kafka_batch(spark, servers, topic), tz, how), store, mode, how)
+    return write_hourly_store(store_rows(read_kafka_batch(spark, servers, topic), tz, how), store, mode)
+
+
+def stream_hourly(
+    messages: DataFrame, store: str, checkpoint: str, tz: str = "UTC", how: str = "max", available_now: bool = True
+) -> StreamingQuery:
+    """What is new in the hourly topic, into the store: goes on where the last run stopped.
+
+    A micro-batch is a run of the store, numbered like the batch, so a repeated batch says the
+    same again. A new checkpoint begins with number 0 and needs a new store, or ``how="max"``.
+    """
+
+    def save(batch: DataFrame, number: int) -> None:
+        write_hourly_store(store_rows(batch, tz, how), store, run=number)
+
+    return triggered(checkpointed(messages.writeStream, checkpoint), available_now).foreachBatch(save).start()
 
 
 def run_points(spark: SparkSession, servers: str, path: str, checkpoint_root: str) -> None:
@@ -74,6 +92,15 @@ def run_points(spark: SparkSession, servers: str, path: str, checkpoint_root: st
     await_any(spark, queries)
 
 
+def run_consumers(
+    spark: SparkSession, store: str, output: str, year: int | None, fmt: str = "parquet", how: str = "max", rows: int = 0
+) -> None:
+    """All consumers at or above the average, written; ``rows`` of them are also printed."""
+    write_snapshot(above_average_consumers(read_hourly_store(spark, store, how), year), output, fmt)
+    if rows:
+        preview(spark.read.format(fmt).load(output), rows, truncate=False)
+
+
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="meterflow", description=__doc__.splitlines()[0])
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -86,26 +113,45 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
 
     job("stream", "servers", "city-path", "checkpoint-root")
     hourly = job("hourly", "servers", "store")
+    hourly.add_argument("--checkpoint", help="go on from here instead of reading the whole topic")
     hourly.add_argument("--tz", default="UTC")
     hourly.add_argument("--mode", default="merge", choices=["merge", "append"])
     hourly.add_argument("--how", default="max", choices=["max", "latest"])
     job("points", "servers", "path", "checkpoint-root")
-    consumers = job("consumers", "store")
+    compact = job("compact")
+    compact.add_argument("--store")
+    compact.add_argument("--month", help="YYYY-MM, with --store")
+    compact.add_argument("--points")
+    compact.add_argument("--day", help="YYYY-MM-DD, with --points")
+    compact.add_argument("--how", default="max", choices=["max", "latest"])
+    consumers = job("consumers", "store", "output")
     consumers.add_argument("--year", type=int)
+    consumers.add_argument("--format", default="parquet", choices=["json", "parquet"])
+    consumers.add_argument("--how", default="max", choices=["max", "latest"])
+    consumers.add_argument("--preview", type=int, default=0, metavar="N", help="also print N rows")
     return parser.parse_args(argv)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = _arguments(argv)
-    spark = build_session(f"meterflow-{args.job}", large_state=args.job == "stream")
+    spark = build_session(f"meterflow-{args.job}", large_state=args.job == "stream", fair_scheduling=args.job == "stream")
     if args.job == "stream":
         run_streams(spark, StreamConfig(args.servers, args.city_path, args.checkpoint_root))
+    elif args.job == "hourly" and args.checkpoint:
+        messages = read_kafka_stream(spark, args.servers, TOPICS[HOURLY], startingOffsets="earliest")
+        stream_hourly(messages, args.store, args.checkpoint, args.tz, args.how).awaitTermination()
     elif args.job == "hourly":
         print(run_hourly(spark, args.servers, args.store, tz=args.tz, mode=args.mode, how=args.how))
     elif args.job == "points":
         run_points(spark, args.servers, args.path, args.checkpoint_root)
+    elif args.job == "compact":
+        if args.store:
+            year, month = map(int, args.month.split("-"))
+            print(compact_hourly_store(spark, args.store, year, month, args.how))
+        if args.points:
+            print(compact_points(spark, args.points, args.day))
     else:
-        preview(above_average_consumers(read_hourly_store(spark, args.store), args.year))
+        run_consumers(spark, args.store, args.output, args.year, args.format, args.how, args.preview)
 
 
 if __name__ == "__main__":

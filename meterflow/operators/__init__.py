@@ -32,4 +32,5 @@ from meterflow.operators.windows import (
     total_by_city,
     total_consumption,
     windowed_sum,
+    windowed_sum_sql,
 )

@@ -32,7 +32,9 @@ def lookup_join(df: DataFrame, dim: DataFrame, key: str, *, salts: int = 32) ->
     Spark broadcasts a table within ``spark.sql.autoBroadcastJoinThreshold``. Beyond that a
     batch is left to the adaptive skew join, which splits a hot key by what it finds at run
     time. A stream has no such help: there both sides are shuffled by the key and a salt,
-    with a copy of the table per salt, and a hot key is spread over ``salts`` tasks.
+    with a copy of the table per salt in every micro-batch, and a hot key is spread over
+    ``salts`` tasks. Both ways give the same rows; which one a stream takes is settled by
+    Spark's size estimate when it is started.
     """
     if not df.isStreaming or _broadcast_by_spark(dim):
         return df.join(dim, key)

@@ -10,46 +10,43 @@ from pyspark.sql import functions as F
 from meterflow.functions.bands import PROFILE_BANDS, season_factor
 from meterflow.functions.clock import calendar_parts
 from meterflow.schemas import BAND
-from meterflow.shared import scratch_path, written_table
 
 
 def detect_rollback(
-    readings: DataFrame, register: str | None = None, order_by: Sequence[str] = ("timestamp",)
+    readings: DataFrame,
+    register: str | None = None,
+    order_by: Sequence[str] = ("timestamp",),
+    span: int = 86_400,
 ) -> DataFrame:
     """Reports that go backwards.
 
     Without ``register``: negative deltas, row by row, also on a stream. With ``register``
     (batch only): reports whose cumulative reading is below the one before it of the same
-    meter, which comes along as ``previous``. ``order_by`` should have no ties within a
-    meter. Reports without a reading or a time have no place in the order and are left out.
+    meter, which comes along as ``previous``. ``order_by`` begins with the time and should have
+    no ties within a meter. Reports without a reading or a time have no place in the order
+    and are left out.
 
-    One meter may hold a large part of all reports, so a meter is not a group here. The
-    reports are cut into even ranges of (meter, ``order_by``) and compared inside a range;
-    the first report of a range is compared with the last one of the range before. Only
-    those last reports, one row per range, are brought together. The ranges are written
-    out once, so that both uses see the same cuts.
+    One meter may hold a large part of all reports, so a meter is not a group here: reports
+    are compared within a meter's stretch of ``span`` seconds. The first report of a stretch is
+    compared with the last one of the stretch before; for that each stretch is one row, first
+    and last, combined before it is shuffled. Nothing is written.
     """
     if register is None:
         return readings.where(F.col("activeDelta") < 0)
-    order = ["meterID", *order_by]
-    reports = readings.dropna(subset=[register, *order])
-    ranges = written_table(
-        reports.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()),
-        scratch_path(readings.sparkSession, "report-ranges"),
-    )
-    report = F.struct(F.col("meterID").alias("meter"), F.col(register).alias("reading"))
-    carried = (
-        ranges.groupBy("_range")
-        .agg(F.max_by(report, F.struct(*order)).alias("_last"))
-        .select("_range", F.lag("_last").over(Window.orderBy("_range")).alias("_carried"))
+    order = F.struct(*order_by)
+    reports = readings.dropna(subset=[register, "meterID", *order_by]).withColumn(
+        "_stretch", F.floor(F.unix_seconds(order_by[0]) / span)
     )
-    inside = ranges.withColumn("_inside", F.lag(report).over(Window.partitionBy("_range").orderBy(*order)))
-    return (
-        inside.join(F.broadcast(carried), "_range")
-        .withColumn("_before", F.coalesce("_inside", "_carried"))
-        .where((F.col("_before.meter") == F.col("meterID")) & (F.col(register) < F.col("_before.reading")))
-        .select(*readings.columns, F.col("_before.reading").alias("previous"))
+    stretch = Window.partitionBy("meterID", "_stretch").orderBy(*order_by)
+    inside = reports.withColumn("previous", F.lag(register).over(stretch))
+    ends = reports.groupBy("meterID", "_stretch").agg(
+        F.min_by(F.struct(*readings.columns), order).alias("_first"),
+        F.max_by(F.col(register), order).alias("_last"),
     )
+    begun = ends.withColumn("previous", F.lag("_last").over(Window.partitionBy("meterID").orderBy("_stretch")))
+    columns = [*readings.columns, "previous"]
+    both = inside.select(*columns).unionByName(begun.select("_first.*", "previous").select(*columns))
+    return both.where(F.col(register) < F.col("previous"))
 
 
 def hourly_bounds(bands: DataFrame) -> DataFrame:

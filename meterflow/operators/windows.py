@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.functions.clock import duration, interval_micros, unix_window
@@ -51,6 +51,27 @@ def windowed_sum(
     return sums.select(*keys, bounds.alias("unix_window"), TOTAL)
 
 
+def windowed_sum_sql(
+    spark: SparkSession,
+    view: str,
+    keys: Sequence[str],
+    seconds: int,
+    *,
+    time: str = "timestamp",
+    value: str = "activeDelta",
+) -> DataFrame:
+    """:func:`windowed_sum` of a registered batch table, as a pipeline of SQL steps."""
+    named = ", ".join(keys)
+    return spark.sql(f"""
+        FROM {view}
+        |> WHERE {time} IS NOT NULL
+        |> EXTEND unix_seconds({time}) AS second
+        |> EXTEND second - pmod(second, {int(seconds)}) AS opened
+        |> AGGREGATE sum({value}) AS {TOTAL} GROUP BY {named}, opened
+        |> SELECT {named}, struct(opened AS start, opened + {int(seconds)} AS end) AS unix_window, {TOTAL}
+    """)
+
+
 def hourly_by_meter(readings: DataFrame, window: int | str = "1 hour", watermark: int | str = "30 minutes") -> DataFrame:
     """Consumption per meter, city and hour."""
     return windowed_sum(readings, ["meterID", "cityID"], window, watermark)

@@ -13,25 +13,33 @@ from meterflow.functions.clock import (
     as_instant,
     epoch_to_timestamp,
     local_midnight,
-    unix_window_sql,
 )
 from meterflow.functions.columns import rename_by_regex
 from meterflow.functions.messages import encode_json, parse_messages
 from meterflow.operators.series import DASHBOARD_TZ
 from meterflow.plans import tables
-from meterflow.schemas import CITY_MESSAGE, HOURLY_MESSAGE, READING, TOTAL
+from meterflow.schemas import CITY_MESSAGE, COUNTRY_MESSAGE, HOURLY_MESSAGE, READING, TOTAL
 from meterflow.session import register
 from meterflow.shared import scratch_path, written_table
 from meterflow.sources.files import read_city_dim, read_json_dump, write_snapshot
-from meterflow.sources.store import read_hourly_store, write_hourly_store
+from meterflow.sources.store import compact_hourly_store, read_hourly_store, write_hourly_store
 from meterflow.streaming import job
-from meterflow.streaming.sinks import BATCH_ORDER, read_batches, read_points, upsert_points, write_batches
+from meterflow.streaming.sinks import (
+    BATCH_ORDER,
+    compact_points,
+    read_batches,
+    read_points,
+    upsert_points,
+    write_batches,
+)
 
 # The dashboard is looked at in the evening of this day.
 AS_OF = as_instant("2024-01-15T18:30:00")
 CITY = "NATION_7"
 YEAR = 1997
 
+CITY_KEYS = ["cityID", "cityName", "latitude", "longitude", "unix_window"]
+
 # Event values are larger than meter deltas, and so are the bands they are checked with.
 EVENT_BANDS = [(0, 6, 1.0, 20.0), (7, 8, 2.0, 30.0), (9, 16, 1.5, 25.0), (17, 23, 2.0, 40.0)]
 
@@ -81,10 +89,7 @@ def meter_window_sum(spark, sf_dir):
 def unix_window_sql_text(spark, sf_dir):
     """The hourly sum per meter as SQL text over a registered table."""
     register(tables.readings(spark, sf_dir, with_city=False), "meter_readings")
-    return _windows(spark.sql(
-        f"SELECT meterID, {unix_window_sql()} AS unix_window, SUM(activeDelta) AS {TOTAL}"
-        " FROM meter_readings GROUP BY meterID, window(timestamp, '1 hour')"
-    ))
+    return _windows(op.windowed_sum_sql(spark, "meter_readings", ["meterID"], 3600))
 
 
 # messages --------------------------------------------------------------------------------
@@ -116,13 +121,9 @@ def parse_readings(spark, sf_dir):
 
 def parse_quarantine(spark, sf_dir):
     messages = _reading_messages(spark, sf_dir, "event_type")
-    good, bad = parse_messages(messages, READING, quarantine=True, keep=["event_type"])
-    return (
-        good.select("event_type", F.lit("good").alias("status"))
-        .unionAll(bad.select("event_type", F.lit("bad").alias("status")))
-        .groupBy("event_type", "status")
-        .agg(F.count("*").alias("n"))
-    )
+    parsed = parse_messages(messages, READING, quarantine=True, keep=["event_type"])
+    status = F.when(F.col("complete"), "good").otherwise("bad").alias("status")
+    return parsed.groupBy("event_type", status).agg(F.count("*").alias("n"))
 
 
 def hourly_messages(spark, sf_dir):
@@ -176,8 +177,20 @@ def hourly_store_merge(spark, sf_dir):
     partials = written_table(tables.hourly_partials(spark, sf_dir), scratch_path(spark, "partials"))
     first = op.build_hourly_store(partials.where("emitted % 3600 < 2400"))
     second = op.build_hourly_store(partials.where("emitted % 3600 >= 600"))
-    for run in (first, second, second):
-        write_hourly_store(run, path)
+    for number, run in enumerate((first, second, second)):
+        write_hourly_store(run, path, run=number)
+    return _windows(read_hourly_store(spark, path)).drop("date")
+
+
+def hourly_store_compacted(spark, sf_dir):
+    """Overlapping runs, settled month by month, and one more run on top."""
+    path = scratch_path(spark, "compacted-store")
+    partials = written_table(tables.hourly_partials(spark, sf_dir), scratch_path(spark, "partials"))
+    write_hourly_store(op.build_hourly_store(partials.where("emitted % 3600 < 2400")), path, run=0)
+    write_hourly_store(op.build_hourly_store(partials.where("emitted % 3600 < 3000")), path, run=1)
+    for month in (1, 2):
+        compact_hourly_store(spark, path, 2024, month)
+    write_hourly_store(op.build_hourly_store(partials.where("emitted % 3600 >= 600")), path, run=2)
     return _windows(read_hourly_store(spark, path)).drop("date")
 
 
@@ -380,16 +393,28 @@ def diff_aggregates(spark, sf_dir):
 # streams ---------------------------------------------------------------------------------
 
 
+def _file_sink(base: str) -> job.Sink:
+    return lambda name, df, checkpoint: write_batches(df, f"{base}/{name}", checkpoint, available_now=True)
+
+
+def _emitted(queries: dict, results: dict[str, DataFrame], base: str) -> dict[str, DataFrame]:
+    """All that the queries emit up to the end of their input, which takes them several micro-batches."""
+    for query in queries.values():
+        query.awaitTermination()
+    out = {}
+    for name, df in results.items():
+        out[name] = read_batches(df.sparkSession, f"{base}/{name}", df.schema)
+        if out[name].select("batch").distinct().count() < 2:
+            raise RuntimeError(f"{name} came in a single micro-batch")
+    return out
+
+
 def _streamed(spark: SparkSession, results: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Run each result to the end of its input and return all that it emitted."""
     base = scratch_path(spark, "stream")
-    queries = {
-        name: write_batches(df, f"{base}/{name}", f"{base}/checkpoints/{name}", available_now=True)
-        for name, df in results.items()
-    }
-    for query in queries.values():
-        query.awaitTermination()
-    return {name: read_batches(spark, f"{base}/{name}", df.schema) for name, df in results.items()}
+    start = _file_sink(base)
+    queries = {name: start(name, df, f"{base}/checkpoints/{name}") for name, df in results.items()}
+    return _emitted(queries, results, base)
 
 
 def stream_hourly(spark, sf_dir):
@@ -399,8 +424,7 @@ def stream_hourly(spark, sf_dir):
 
 def stream_city(spark, sf_dir):
     totals = op.total_by_city(tables.readings_stream(spark, sf_dir), tables.cities(spark, sf_dir))
-    keys = ["cityID", "cityName", "latitude", "longitude", "unix_window"]
-    return _windows(op.reconcile(_streamed(spark, {"city": totals})["city"], keys))
+    return _windows(op.reconcile(_streamed(spark, {"city": totals})["city"], CITY_KEYS))
 
 
 def stream_country(spark, sf_dir):
@@ -409,23 +433,89 @@ def stream_country(spark, sf_dir):
     return _windows(op.reconcile(emitted, ["unix_window"], "latest", order_by=BATCH_ORDER))
 
 
-def _stored_points(spark, sf_dir, start=None, stop=None):
-    """City totals streamed into a point table, and the points of a range read back."""
+def stream_signed(spark, sf_dir):
+    """Hourly totals that rise and fall: of what the batches emit only the newest is right."""
+    readings = tables.readings_stream(spark, sf_dir, with_city=False)
+    signed = readings.withColumn("activeDelta", F.col("activeDelta") - 20)
+    emitted = _streamed(spark, {"signed": op.total_consumption(signed, "6 days", "6 days")})["signed"]
+    if not emitted.groupBy("unix_window").count().where("count > 1").take(1):
+        raise RuntimeError("no window was emitted twice")
+    return _windows(op.reconcile(emitted, ["unix_window"], "latest", order_by=BATCH_ORDER))
+
+
+def stream_late_rows(spark, sf_dir):
+    """Country totals where every tenth event of the first 24 days comes after all others.
+
+    Events arrive by eights of days. When the fifth part comes, rows are late whose window ended
+    5 s or more before the last time seen two parts earlier: the watermark of a batch is that of
+    the times before it, and what it evicts is held against the rows of the next one.
+    """
+    day = F.dayofmonth("ts")
+    late = (F.col("event_id") % 10 == 0) & (day <= 24)
+    arrival = F.when(late, 4).otherwise(F.least(F.floor((day - 1) / 8), F.lit(3)))
+    readings = tables.readings_stream(spark, sf_dir, with_city=False, slices=5, arrival=arrival)
+    emitted = _streamed(spark, {"late": op.total_consumption(readings)})["late"]
+    return _windows(op.reconcile(emitted, ["unix_window"]))
+
+
+def _job_results(spark, sf_dir, name):
+    """The whole streaming job, three queries side by side, and what one of them emitted."""
+    base = scratch_path(spark, "job")
+    readings, cities = tables.readings_stream(spark, sf_dir), tables.cities(spark, sf_dir)
+    queries = job.start_queries(readings, cities, f"{base}/checkpoints", _file_sink(base))
+    return _emitted(queries, job.aggregates(readings, cities), base)[name]
+
+
+def stream_job_hourly(spark, sf_dir):
+    return _windows(op.reconcile(_job_results(spark, sf_dir, job.HOURLY)))
+
+
+def stream_job_city(spark, sf_dir):
+    return _windows(op.reconcile(_job_results(spark, sf_dir, job.BY_CITY), CITY_KEYS))
+
+
+def stream_job_country(spark, sf_dir):
+    """As messages and back, as the job sends them."""
+    emitted = _job_results(spark, sf_dir, job.COUNTRY)
+    messages = encode_json(emitted.drop(*BATCH_ORDER), job.MESSAGE_KEYS[job.COUNTRY])
+    return _windows(op.reconcile(parse_messages(messages, COUNTRY_MESSAGE), ["unix_window"]))
+
+
+def _stored_points(points: DataFrame) -> str:
+    """Points streamed into a point table."""
+    base = scratch_path(points.sparkSession, "points")
+    upsert_points(points, f"{base}/points", f"{base}/checkpoint", available_now=True).awaitTermination()
+    return f"{base}/points"
+
+
+def _streamed_city_points(spark, sf_dir):
     totals = op.total_by_city(tables.readings_stream(spark, sf_dir), tables.cities(spark, sf_dir))
-    base = scratch_path(spark, "points")
-    upsert_points(
-        op.to_city_points(totals), f"{base}/points", f"{base}/checkpoint", available_now=True
-    ).awaitTermination()
-    return op.unpivot_fields(read_points(spark, f"{base}/points", start, stop))
+    return _stored_points(op.to_city_points(totals))
 
 
 def stream_points(spark, sf_dir):
-    return _series(_stored_points(spark, sf_dir))
+    return _series(op.unpivot_fields(read_points(spark, _streamed_city_points(spark, sf_dir))))
+
+
+def stream_country_points(spark, sf_dir):
+    totals = op.total_consumption(tables.readings_stream(spark, sf_dir, with_city=False))
+    points = read_points(spark, _stored_points(op.to_country_points(totals)))
+    return _series(op.unpivot_fields(points)).drop("cityID", "cityName")
+
+
+def points_compacted(spark, sf_dir):
+    """Some days settled, one of them twice, the others as the batches left them."""
+    path = _streamed_city_points(spark, sf_dir)
+    for day in ("2024-01-03", "2024-01-15", "2024-01-15"):
+        if not compact_points(spark, path, day):
+            raise RuntimeError(f"no points on {day}")
+    return _series(op.unpivot_fields(read_points(spark, path)))
 
 
 def stream_city_bars(spark, sf_dir):
     """From the stream through the point table to the bars of the dashboard."""
-    points = _stored_points(spark, sf_dir, local_midnight(AS_OF, DASHBOARD_TZ), AS_OF)
+    path = _streamed_city_points(spark, sf_dir)
+    points = op.unpivot_fields(read_points(spark, path, local_midnight(AS_OF, DASHBOARD_TZ), AS_OF))
     return _series(op.city_hourly_bars(points, AS_OF)).drop("measurement", "field")
 
 
@@ -448,6 +538,7 @@ QUERIES = {
         store_rows_from_messages,
         compact_latest,
         hourly_store_merge,
+        hourly_store_compacted,
         hourly_store_append,
         json_snapshot,
         parquet_snapshot,
@@ -480,7 +571,14 @@ QUERIES = {
         stream_hourly,
         stream_city,
         stream_country,
+        stream_signed,
+        stream_late_rows,
+        stream_job_hourly,
+        stream_job_city,
+        stream_job_country,
         stream_points,
+        stream_country_points,
+        points_compacted,
         stream_city_bars,
     )
 }

@@ -98,12 +98,10 @@ _city_points = _with(_R, _C, _CITY_TOTALS, _CITY_POINTS, select="SELECT * FROM p
 
 _above_average = _with(
     _H,
-    select=f"""SELECT t1."meterID", round(sum(t1.total), 5) AS "totalConsumptionInYear",
-                      {_half_up('t2.average')} AS "averageYearlyConsumption"
-               FROM h AS t1 CROSS JOIN (SELECT avg(total) AS average FROM ({_yearly}) WHERE "year" = 1997) AS t2
-               WHERE t1."year" = 1997
-               GROUP BY t1."meterID", t2.average
-               HAVING sum(t1.total) >= t2.average""",
+    f"""totals AS (SELECT "meterID", total FROM ({_yearly}) WHERE "year" = 1997)""",
+    select=f"""SELECT "meterID", round(total, 5) AS "totalConsumptionInYear",
+                      (SELECT {_half_up('avg(total)')} FROM totals) AS "averageYearlyConsumption"
+               FROM totals WHERE total >= (SELECT avg(total) FROM totals)""",
 )
 _city_hourly_bars = _with(
     _R, _C, _CITY_TOTALS, _CITY_POINTS, _DAY,
@@ -174,6 +172,7 @@ ORACLE = {
     "compact_latest": """
         SELECT CAST(user_id AS VARCHAR) AS key, arg_max(value, event_id) AS value FROM events GROUP BY ALL""",
     "hourly_store_merge": _reconciled,
+    "hourly_store_compacted": _reconciled,
     "hourly_store_append": f"""SELECT * FROM ({_reconciled}) WHERE "year" = 2024""",
     "json_snapshot": _hourly_by_meter,
     "parquet_snapshot": _total_consumption,
@@ -322,6 +321,21 @@ ORACLE = {
     "stream_hourly": _hourly_by_meter,
     "stream_city": _total_by_city,
     "stream_country": _total_consumption,
+    "stream_signed": """
+        SELECT sec // 518400 * 518400 AS window_start, sec // 518400 * 518400 + 518400 AS window_end,
+               round(sum(value - 20), 5) AS "aggregatedActiveDelta"
+        FROM (SELECT epoch_us(ts) // 1000000 AS sec, value FROM events) GROUP BY ALL""",
+    "stream_late_rows": """
+        WITH e AS (SELECT epoch_us(ts) AS us, value, day(ts) AS d, event_id % 10 = 0 AND day(ts) <= 24 AS late FROM events),
+             seen AS (SELECT max(us) // 1000 - 5000 AS mark FROM e WHERE NOT late AND d <= 24)
+        SELECT us // 3000000 * 3 AS window_start, us // 3000000 * 3 + 3 AS window_end,
+               round(sum(value), 5) AS "aggregatedActiveDelta"
+        FROM e, seen WHERE NOT late OR (us // 3000000 * 3 + 3) * 1000 > mark GROUP BY ALL""",
+    "stream_job_hourly": _hourly_by_meter,
+    "stream_job_city": _total_by_city,
+    "stream_job_country": _total_consumption,
+    "stream_country_points": _with(_COUNTRY_TOTALS, _COUNTRY_POINTS, select="SELECT * FROM points"),
+    "points_compacted": _city_points,
     "stream_points": _city_points,
     "stream_city_bars": _city_hourly_bars,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from meterflow.functions.clock import calendar_parts, unix_window
 from meterflow.operators.enrich import lookup_join
 from meterflow.schemas import CITY, TOTAL
+from meterflow.shared import order_files, scratch_path
 
 # Naming the types spares the job that would read them from a file.
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -65,13 +66,25 @@ def readings(
     return _as_readings(events, _meters(spark, sf_dir) if with_city else None)
 
 
-def readings_stream(spark: SparkSession, sf_dir: str, with_city: bool = True) -> DataFrame:
-    """The same readings as a stream.
+#: Files, and so micro-batches, that a stream of the given events comes in.
+SLICES = 4
 
-    The glob lets the table be one file or a folder of files, which a plain path would not.
+
+def readings_stream(
+    spark: SparkSession, sf_dir: str, with_city: bool = True, slices: int = SLICES, arrival: Column | None = None
+) -> DataFrame:
+    """The same readings as a stream that arrives in ``slices`` parts, a micro-batch each.
+
+    The events are laid out in the shared folder in the order of their times, or of ``arrival``, by
+    one shuffle; each part is a file that is taken after the one before it.
     """
-    events = spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
-    return _as_readings(events, _meters(spark, sf_dir) if with_city else None)
+    path = scratch_path(spark, "event-slices")
+    events = table(spark, sf_dir, "events")
+    order = F.col("ts") if arrival is None else arrival
+    events.repartitionByRange(slices, order).write.parquet(path)
+    order_files(spark, path)
+    arriving = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
+    return _as_readings(arriving, _meters(spark, sf_dir) if with_city else None)
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:

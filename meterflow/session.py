@@ -24,14 +24,17 @@ def session_conf(
     tz: str = "UTC",
     large_state: bool = False,
     single_stateful_operator: bool = False,
+    initial_partitions: int | None = None,
     fair_scheduling: bool = False,
     s3a_endpoint: str | None = None,
 ) -> dict[str, str]:
     """Settings for a batch or streaming session.
 
-    ``shuffle_partitions`` falls back to ``METERFLOW_SHUFFLE_PARTITIONS``. A batch
-    job can leave it unset, as AQE sizes its shuffles; a stream cannot, since its
-    first checkpoint freezes the number. ``large_state`` moves window state out of
+    ``shuffle_partitions`` falls back to ``METERFLOW_SHUFFLE_PARTITIONS``; a stream's first
+    checkpoint freezes the number. Batches begin with ``initial_partitions`` (or
+    ``METERFLOW_INITIAL_PARTITIONS``), which AQE only ever merges: make it so large that a
+    partition of the largest shuffle fits into a task. ``fair_scheduling`` lets the pools in which
+    the queries of the streaming job run take turns. ``large_state`` moves window state out of
     the executor heap. ``single_stateful_operator`` drops rows behind the watermark
     in the very next batch instead of one batch later. Storage credentials are
     never set here: S3A finds them in its own provider chain.
@@ -46,6 +49,9 @@ def session_conf(
     partitions = shuffle_partitions or os.environ.get("METERFLOW_SHUFFLE_PARTITIONS")
     if partitions:
         conf["spark.sql.shuffle.partitions"] = str(int(partitions))
+    initial = initial_partitions or os.environ.get("METERFLOW_INITIAL_PARTITIONS")
+    if initial:
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(int(initial))
     if large_state:
         conf["spark.sql.streaming.stateStore.providerClass"] = (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

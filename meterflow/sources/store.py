@@ -1,21 +1,34 @@
-"""The hourly store: Parquet in directories by year, month and city."""
+"""The hourly store: Parquet in directories by year, month and city, to which runs only add.
+
+Every run appends its rows with its number; nothing is rewritten, so a run costs what it
+brings, however much is stored. Which row of an hour counts is settled when the store is
+read. Compaction replaces the files of a month by fewer; it first adds the settled rows, under
+the numbers they came with, and then removes the files it has read, so that the store says
+the same at every moment in between and a run that was lost is simply repeated.
+"""
 
 from __future__ import annotations
 
-import hashlib
+import time
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterflow.operators.reconcile import HOURLY_KEYS
 from meterflow.schemas import HOURLY_STORE, TOTAL
 from meterflow.session import adaptive_execution
-from meterflow.shared import path_exists, remove_path, shared_dir, written_table
+from meterflow.shared import file_names, path_exists, remove_path
 
 PARTITIONS = ("year", "month", "cityID")
-_MONTH_NUMBER = "year * 12 + month"
-_MAX_BROADCAST_DIRECTORIES = 100_000
+#: Number of the run that brought a row; null for rows that are kept as they are.
+RUN = "run"
+_STORED = T.StructType([
+    *[f for f in HOURLY_STORE.fields if f.name not in PARTITIONS],
+    T.StructField(RUN, T.LongType()),
+    *[f for f in HOURLY_STORE.fields if f.name in PARTITIONS],
+])
 
 
 class WriteReport(NamedTuple):
@@ -25,26 +38,47 @@ class WriteReport(NamedTuple):
     without_key: int
 
 
-def read_hourly_store(spark: SparkSession, path: str) -> DataFrame:
-    """The store; a filter on year, month or cityID reads only those directories."""
-    return spark.read.schema(HOURLY_STORE).parquet(path)
+def _check(how: str) -> None:
+    if how not in ("max", "latest"):
+        raise ValueError(f"how must be 'max' or 'latest', not {how!r}")
 
 
-def write_hourly_store(df: DataFrame, path: str, mode: str = "merge", how: str = "max") -> WriteReport:
-    """Write final hourly values (see ``build_hourly_store``); rows without a key are dropped and counted.
+def _settled(stored: DataFrame, how: str) -> DataFrame:
+    """One row per hour, meter and city; its calendar columns follow from them."""
+    calendar = ("date", "hour", "year", "month")
+    value = F.max(TOTAL) if how == "max" else F.max_by(TOTAL, RUN)
+    others = [F.max(name).alias(name) for name in ("date", "hour", RUN)]
+    # year and month are grouping keys so that filters on them reach the directories
+    keys = [*HOURLY_KEYS, *[name for name in calendar if name in PARTITIONS]]
+    return stored.groupBy(*keys).agg(value.alias(TOTAL), *others)
 
-    ``merge`` may be repeated: hours that this run does not hold stay, and only touched
-    (year, month, city) directories are rewritten. Of an hour that is already stored the
-    larger value counts, or with ``how="latest"`` the incoming one. There must be one
-    writer per store, always with the same calendar zone. ``append`` adds the rows as they
-    are, so a second run doubles them.
+
+def read_hourly_store(spark: SparkSession, path: str, how: str = "max") -> DataFrame:
+    """The store; a filter on year, month or cityID reads only those directories.
+
+    Of an hour that several runs brought the larger value counts, or with ``how="latest"`` that of
+    the last run. Rows that were appended as they are come as often as they are there.
+    """
+    _check(how)
+    stored = spark.read.schema(_STORED).parquet(path)
+    columns = HOURLY_STORE.fieldNames()
+    merged = _settled(stored.where(F.col(RUN).isNotNull()), how).select(*columns)
+    return merged.unionByName(stored.where(F.col(RUN).isNull()).select(*columns))
+
+
+def write_hourly_store(
+    df: DataFrame, path: str, mode: str = "merge", *, run: int | None = None
+) -> WriteReport:
+    """Add final hourly values (see ``build_hourly_store``); rows without a key are dropped and counted.
+
+    ``merge`` may be repeated: the rows carry the number of the ``run`` (by default the driver's
+    clock in milliseconds), and of an hour that is there several times one counts, as the reader
+    says. ``append`` adds rows that all count, so a second run doubles them. The store must
+    always be written with the same calendar zone.
     """
     if mode not in ("merge", "append"):
         raise ValueError(f"mode must be 'merge' or 'append', not {mode!r}")
-    if how not in ("max", "latest"):
-        raise ValueError(f"how must be 'max' or 'latest', not {how!r}")
-    spark = df.sparkSession
-    _finish_merge(spark, path)
+    number = F.lit(time.time_ns() // 1_000_000 if run is None else run) if mode == "merge" else F.lit(None)
     no_key = F.col("meterID").isNull() | F.col("cityID").isNull() | F.col("unix_window.start").isNull()
     seen = Observation()
     keyed = (
@@ -52,62 +86,40 @@ def write_hourly_store(df: DataFrame, path: str, mode: str = "merge", how: str =
         .observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(no_key).alias("without_key"))
         .where(~no_key)
     )
-    if mode == "append":
-        with adaptive_execution(spark):
-            _clustered(keyed).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
-    else:
-        # Read the source once: a second read could hold hours whose directories were not looked up.
-        incoming = f"{_merge_dir(spark, path)}-incoming"
-        _merge(spark, written_table(keyed, incoming), path, how)
-        remove_path(spark, incoming)
+    _append(keyed.withColumn(RUN, number.cast("long")), path)
     return WriteReport(seen.get["rows"], seen.get["without_key"])
 
 
-def _clustered(df: DataFrame) -> DataFrame:
+def _append(df: DataFrame, path: str) -> None:
     """Rows of a directory together; AQE splits a directory that is too large for one task."""
-    return df.hint("rebalance", *PARTITIONS)
-
-
-def _merge_dir(spark: SparkSession, path: str) -> str:
-    return f"{shared_dir(spark)}/meterflow/merge-{hashlib.sha256(path.encode()).hexdigest()[:24]}"
-
-
-def _merge(spark: SparkSession, incoming: DataFrame, path: str, how: str) -> None:
-    touched = incoming.select(*PARTITIONS).distinct()
-    n, first, last = touched.selectExpr("count(*)", f"min({_MONTH_NUMBER})", f"max({_MONTH_NUMBER})").first()
-    if n == 0:
-        return
-    merged = incoming.withColumn("_new", F.lit(1))
-    if path_exists(spark, path):
-        # The month range prunes directories at planning time, the semi join keeps the touched cities.
-        if n <= _MAX_BROADCAST_DIRECTORIES:
-            touched = F.broadcast(touched)
-        stored = read_hourly_store(spark, path).where(f"{_MONTH_NUMBER} BETWEEN {first} AND {last}")
-        kept = stored.join(touched, list(PARTITIONS), "left_semi")
-        merged = merged.unionByName(kept.withColumn("_new", F.lit(0)))
-    calendar = ("date", "hour", "year", "month")
-    value = F.max(TOTAL) if how == "max" else F.max_by(TOTAL, "_new")
-    final = merged.groupBy(*HOURLY_KEYS).agg(
-        value.alias(TOTAL), *[F.max(name).alias(name) for name in calendar]
-    )
-    written_table(final.select(*HOURLY_STORE.fieldNames()), _merge_dir(spark, path))
-    _finish_merge(spark, path)
-
-
-def _finish_merge(spark: SparkSession, path: str) -> None:
-    """Put a completely staged merge into the store.
-
-    Replacing directories is not atomic. The staged rows are removed only afterwards, so
-    a run that follows a lost driver starts by putting them in again.
+    with adaptive_execution(df.sparkSession):
+        (
+            df.select(*_STORED.fieldNames())
+            .hint("rebalance", *PARTITIONS)
+            .write.mode("append")
+            .partitionBy(*PARTITIONS)
+            .parquet(path)
+        )
+
+
+def compact_hourly_store(spark: SparkSession, path: str, year: int, month: int, how: str = "max") -> int:
+    """Settle one month into few files; the number of files that it replaced.
+
+    Meant for months that are closed, or at least while nothing else compacts them: rows that
+    are added meanwhile lie in files that are neither read nor removed. If the job is lost, what
+    it added is settled with the rest, and it may be run again.
     """
-    staged = _merge_dir(spark, path)
-    if path_exists(spark, f"{staged}/_SUCCESS"):
-        with adaptive_execution(spark):
-            (
-                _clustered(spark.read.schema(HOURLY_STORE).parquet(staged))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*PARTITIONS)
-                .parquet(path)
-            )
-        remove_path(spark, staged)
+    _check(how)
+    if not path_exists(spark, f"{path.rstrip('/')}/year={year}/month={month}"):
+        return 0
+    here = (F.col("year") == year) & (F.col("month") == month)
+    files = spark.read.schema(_STORED).parquet(path).where(here & F.col(RUN).isNotNull())
+    names = file_names(files)
+    if not names:
+        return 0
+    # a file holds rows of one kind only, as each comes from one run
+    read = spark.read.schema(_STORED).option("basePath", path).parquet(*names)
+    _append(_settled(read, how), path)
+    for name in names:
+        remove_path(spark, name)
+    return len(names)

@@ -63,11 +63,17 @@ def aggregates(readings: DataFrame, cities: DataFrame) -> dict[str, DataFrame]:
 def start_queries(
     readings: DataFrame, cities: DataFrame, checkpoint_root: str, sink: Sink
 ) -> dict[str, StreamingQuery]:
-    """Start one query per result, each with its own checkpoint; they run side by side."""
+    """Start one query per result, each with its own checkpoint and scheduler pool; they run side by side."""
     root = checkpoint_root.rstrip("/")
-    return {
-        name: sink(name, result, f"{root}/{name}") for name, result in aggregates(readings, cities).items()
-    }
+    context = readings.sparkSession.sparkContext
+    started = {}
+    try:
+        for name, result in aggregates(readings, cities).items():
+            context.setLocalProperty("spark.scheduler.pool", name)  # a query keeps that of its start
+            started[name] = sink(name, result, f"{root}/{name}")
+    finally:
+        context.setLocalProperty("spark.scheduler.pool", None)
+    return started
 
 
 def kafka_sink(config: StreamConfig) -> Sink:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from meterflow.functions.clock import as_instant
 from meterflow.schemas import POINT
 from meterflow.session import adaptive_execution
-from meterflow.shared import path_exists
+from meterflow.shared import file_names, path_exists, remove_path
 
 # Order of the rows that batches left behind: later generations, then later batches.
 BATCH_ORDER = ("generation", "batch")
@@ -22,7 +22,9 @@ _BATCH_COLUMNS = T.StructType([
     T.StructField("generation", T.IntegerType()),
     T.StructField("batch", T.LongType()),
 ])
-_POINT_BATCH_COLUMNS = T.StructType([
+_STORED_POINT = T.StructType([
+    T.StructField("series", T.StringType()),
+    *POINT.fields,
     *_BATCH_COLUMNS.fields,
     T.StructField("date", T.DateType()),
 ])
@@ -107,23 +109,53 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(T.StructType([*schema.fields, *_BATCH_COLUMNS.fields])).parquet(path)
 
 
+def _series_key() -> Column:
+    """Measurement and tags as one text, whatever the order of the tags."""
+    return F.to_json(F.struct("measurement", F.array_sort(F.map_entries("tags")).alias("tags")))
+
+
+def _add_points(points: DataFrame, path: str) -> None:
+    with adaptive_execution(points.sparkSession):
+        (
+            points.select(*_STORED_POINT.fieldNames())
+            .hint("rebalance", "date")
+            .write.mode("append")
+            .partitionBy("date")
+            .parquet(path)
+        )
+
+
 def upsert_points(
     points: DataFrame, path: str, checkpoint: str, *, generation: int = 0, available_now: bool = False
 ) -> StreamingQuery:
     """Store a stream of points; a later point of the same series and time replaces an earlier one.
 
-    Batches only add files, in folders by measurement and day, and :func:`read_points`
-    settles which point counts. Progress is committed after the write, so a point may be
-    written again but is never lost.
+    Batches only add files to the folders of their days, with the numbers of generation and batch
+    in each row, and :func:`read_points` settles which point counts. Progress is committed after
+    the write: a batch that is repeated adds the same points again, which changes nothing.
+    Batch numbers begin again with a new checkpoint: raise ``generation`` then, else older points
+    would win. :func:`compact_points` keeps the days small.
     """
-    dated = points.withColumn("date", F.to_date("time"))
-    return write_batches(
-        dated,
-        path,
-        checkpoint,
-        partition_by=("measurement", "date"),
-        generation=generation,
-        available_now=available_now,
+
+    def save(batch: DataFrame, number: int) -> None:
+        stored = batch.withColumns({
+            "series": _series_key(),
+            "generation": F.lit(generation),
+            "batch": F.lit(number).cast("long"),
+            "date": F.date_from_unix_date(F.floor(F.unix_seconds("time") / 86400).cast("int")),
+        })
+        _add_points(stored, path)
+
+    return triggered(checkpointed(points.writeStream.outputMode("update"), checkpoint).foreachBatch(save), available_now).start()
+
+
+def _newest(stored: DataFrame) -> DataFrame:
+    """Of each series and time the point of the last batch. Grouped by a text, so that no map is sorted."""
+    whole = F.struct(*BATCH_ORDER, "measurement", "tags", "fields")
+    return (
+        stored.groupBy("series", "time", "date")
+        .agg(F.max_by(whole, F.struct(*BATCH_ORDER)).alias("point"))
+        .select("series", "time", "date", "point.*")
     )
 
 
@@ -132,16 +164,33 @@ def read_points(
 ) -> DataFrame:
     """The newest version of every stored point in ``[start, stop)``.
 
-    The range also prunes the folders of other days (folder days are in the session zone,
-    so a day of slack is left on both sides).
+    The range opens the folders of its days (in UTC) only; points without a day are never left out
+    for it.
     """
-    schema = T.StructType([*POINT.fields, *_POINT_BATCH_COLUMNS.fields])
-    stored = spark.read.schema(schema).parquet(path)
+    stored = spark.read.schema(_STORED_POINT).parquet(path)
+    unknown = F.col("date").isNull()
     if start is not None:
-        start = F.lit(as_instant(start))
-        stored = stored.where((F.col("time") >= start) & (F.col("date") >= F.date_sub(F.to_date(start), 1)))
+        start = as_instant(start)
+        stored = stored.where((F.col("time") >= F.lit(start)) & (unknown | (F.col("date") >= F.lit(start.date()))))
     if stop is not None:
-        stop = F.lit(as_instant(stop))
-        stored = stored.where((F.col("time") < stop) & (F.col("date") <= F.date_add(F.to_date(stop), 1)))
-    newest = F.max_by("fields", F.struct(*BATCH_ORDER)).alias("fields")
-    return stored.groupBy("measurement", "tags", "time").agg(newest).select(*POINT.fieldNames())
+        stop = as_instant(stop)
+        stored = stored.where((F.col("time") < F.lit(stop)) & (unknown | (F.col("date") <= F.lit(stop.date()))))
+    return _newest(stored).select(*POINT.fieldNames())
+
+
+def compact_points(spark: SparkSession, path: str, day: date | str) -> int:
+    """Settle one day into few files; the number of files that it replaced.
+
+    The settled points are added, with the numbers of their batches, before the files that were
+    read are removed: the table says the same at every moment, also if the job is lost in between.
+    """
+    day = date.fromisoformat(day) if isinstance(day, str) else day
+    if not path_exists(spark, f"{path.rstrip('/')}/date={day}"):
+        return 0
+    here = spark.read.schema(_STORED_POINT).parquet(path).where(F.col("date") == F.lit(day))
+    names = file_names(here)
+    if names:
+        _add_points(_newest(spark.read.schema(_STORED_POINT).option("basePath", path).parquet(*names)), path)
+    for name in names:
+        remove_path(spark, name)
+    return len(names)

@@ -115,25 +115,26 @@ def test_malformed_messages_become_nulls(spark):
 def test_quarantine_splits_off_incomplete_messages(spark):
     wrong = '{"meterID": "x", "cityID": 1, "timestamp": 5, "activeDelta": 2}'
     df = messages(spark, GOOD, "bad", None, wrong)
-    good, bad = parse_messages(df, READING, quarantine=True)
-    assert rows(good) == [(1, 2, 100, 1.5)]
-    assert sorted((bytes(r.value) if r.value else b"") for r in bad.collect()) == sorted([b"bad", b"", wrong.encode()])
+    parsed = parse_messages(df, READING, quarantine=True)
+    assert rows(parsed.where("complete").drop("complete", "value")) == [(1, 2, 100, 1.5)]
+    bad = parsed.where("NOT complete").collect()
+    assert sorted((bytes(r.value) if r.value else b"") for r in bad) == sorted([b"bad", b"", wrong.encode()])
 
 
 def test_quarantine_looks_into_nested_fields(spark):
     text = '{"meterID": 1, "cityID": 1, "aggregatedActiveDelta": 2.0, "unix_window": {"start": 0%s}}'
     df = messages(spark, text % "", text % ', "end": 3600')
-    good, bad = parse_messages(df, HOURLY_MESSAGE, quarantine=True)
-    assert good.count() == 1
-    assert bad.count() == 1
+    parsed = parse_messages(df, HOURLY_MESSAGE, quarantine=True)
+    assert sorted(r.complete for r in parsed.collect()) == [False, True]
 
 
 def test_json_is_parsed_once_per_message(spark):
     """Whatever is then asked of the fields."""
     df = messages(spark, GOOD)
-    good, bad = parse_messages(df, READING, quarantine=True)
+    parsed = parse_messages(df, READING, quarantine=True)
+    kinds = parsed.groupBy("complete").count()
     used = epoch_to_timestamp(parse_messages(df, READING)).where("timestamp IS NOT NULL AND activeDelta > 1")
-    for result in (good, bad, used):
+    for result in (parsed.where("complete"), parsed.where("NOT complete"), kinds, used):
         assert result._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
 
 

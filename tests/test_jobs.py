@@ -4,6 +4,7 @@ import pytest
 from helpers import epoch, rows
 
 from meterflow import jobs
+from meterflow.operators import above_average_consumers
 from meterflow.sources.store import read_hourly_store, write_hourly_store
 
 HOUR = epoch("2022-05-31 22:00:00")
@@ -61,6 +62,52 @@ def test_the_consumers_job(spark, tmp_path, monkeypatch, capsys):
     path = str(tmp_path / "store")
     write_hourly_store(jobs.store_rows(frame(spark, hourly(1, 1.0), hourly(2, 5.0))), path)
     monkeypatch.setattr(jobs, "build_session", lambda *_, **__: spark)
-    jobs.main(["consumers", "--store", path, "--year", "2022"])
-    printed = capsys.readouterr().out
-    assert "|      2|" in printed and "|      1|" not in printed
+    output = str(tmp_path / "out")
+    jobs.main(["consumers", "--store", path, "--year", "2022", "--output", output])
+    assert capsys.readouterr().out == ""
+    assert rows(spark.read.parquet(output).select("meterID")) == [(2,)]
+    jobs.main(["consumers", "--store", path, "--output", output, "--format", "json", "--preview", "5"])
+    assert rows(spark.read.json(output).select("meterID")) == [(2,)]
+    assert "|2      |" in capsys.readouterr().out
+
+
+def test_all_consumers_are_written(spark, tmp_path, monkeypatch):
+    path, output = str(tmp_path / "store"), str(tmp_path / "out")
+    totals = [hourly(m, float(m % 50)) for m in range(200)]
+    write_hourly_store(jobs.store_rows(frame(spark, *totals)), path)
+    jobs.run_consumers(spark, path, output, 2022)
+    wanted = above_average_consumers(read_hourly_store(spark, path), 2022)
+    assert rows(spark.read.parquet(output)) == rows(wanted) and wanted.count() == 100
+
+
+def test_the_hourly_job_goes_on_from_its_checkpoint(spark, tmp_path):
+    """A folder stands in for the topic, a file for each round."""
+    path, topic = str(tmp_path / "store"), tmp_path / "topic"
+    topic.mkdir()
+
+    def add(name, *messages):
+        (topic / name).write_text("\n".join(json.dumps(m) for m in messages) + "\n")
+
+    def run():
+        messages = spark.readStream.text(str(topic))
+        query = jobs.stream_hourly(messages, path, str(tmp_path / "checkpoint"))
+        query.awaitTermination()
+        return sum(p["numInputRows"] for p in query.recentProgress)
+
+    add("a", hourly(1, 1.0), hourly(1, 3.0))
+    assert run() == 2
+    add("b", hourly(1, 2.0), hourly(2, 7.0, HOUR + 3600))
+    assert run() == 2 and run() == 0
+    assert rows(read_hourly_store(spark, path).select("meterID", "aggregatedActiveDelta")) == [(1, 3.0), (2, 7.0)]
+    newest = read_hourly_store(spark, path, "latest").select("meterID", "aggregatedActiveDelta")
+    assert rows(newest) == [(1, 2.0), (2, 7.0)]
+
+
+def test_the_compact_job(spark, tmp_path, monkeypatch, capsys):
+    path = str(tmp_path / "store")
+    for total in (1.0, 5.0):
+        write_hourly_store(jobs.store_rows(frame(spark, hourly(1, total))), path)
+    monkeypatch.setattr(jobs, "build_session", lambda *_, **__: spark)
+    jobs.main(["compact", "--store", path, "--month", "2022-05"])
+    assert capsys.readouterr().out.strip() == "2"
+    assert rows(read_hourly_store(spark, path).select("aggregatedActiveDelta")) == [(5.0,)]

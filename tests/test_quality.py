@@ -1,5 +1,6 @@
 import random
 from contextlib import contextmanager
+from pathlib import Path
 
 from helpers import epoch, partials, readings, rows
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from meterflow import operators as op
 from meterflow.operators.enrich import lookup_join
 from meterflow.operators.quality import hourly_bounds
 from meterflow.schemas import BAND
+from meterflow.shared import shared_dir
 
 
 def test_negative_deltas(spark):
@@ -30,23 +32,21 @@ def test_rollback_equals_brute_force_with_one_hot_meter(spark):
         if meter in last and total < last[meter]:
             expected.append((i, total, last[meter]))
         last[meter] = total
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        for partitions in (1, 7, 64):
-            spark.conf.set("spark.sql.shuffle.partitions", partitions)
-            got = op.detect_rollback(df.repartition(9), "total", ["timestamp", "id"])
-            assert rows(got.select("id", "total", "previous")) == sorted(expected, key=repr)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for span in (60, 300, 10**6):
+        got = op.detect_rollback(df.repartition(9), "total", ["timestamp", "id"], span)
+        assert rows(got.select("id", "total", "previous")) == sorted(expected, key=repr)
 
 
-def test_the_hot_meter_is_cut_into_several_ranges(spark):
+def test_rollback_over_stretches_and_without_files(spark):
     df = spark.range(0, 200_000, 1, 8).selectExpr(
-        "id", "if(id % 3 > 0, 7L, id) AS meterID", "timestamp_seconds(id) AS timestamp", "cast(id AS double) AS total"
+        "id", "if(id % 3 > 0, 7L, id) AS meterID", "timestamp_seconds(id) AS timestamp",
+        "if(id % 50000 = 1, -1D, cast(id AS double)) AS total",
     )
-    ranges = df.repartitionByRange(8, "meterID", "timestamp", "id").withColumn("r", F.spark_partition_id())
-    assert ranges.where("meterID = 7").select("r").distinct().count() >= 5
-    assert op.detect_rollback(df, "total", ["timestamp", "id"]).count() == 0
+    before = set(Path(shared_dir(spark)).rglob("*"))
+    for span in (10, 3600, 86_400, 10**9):
+        got = op.detect_rollback(df, "total", ["timestamp", "id"], span)
+        assert sorted(r.id for r in got.collect()) == [i for i in (50_001, 100_001, 150_001) if i % 3 > 0]
+    assert set(Path(shared_dir(spark)).rglob("*")) == before
 
 
 def test_out_of_profile(spark):

@@ -12,13 +12,14 @@ def test_settings():
     assert "spark.sql.shuffle.partitions" not in session_conf()
     conf = session_conf(
         shuffle_partitions=3, tz="Europe/Sarajevo", large_state=True, single_stateful_operator=True,
-        fair_scheduling=True, s3a_endpoint="http://store:9000",
+        initial_partitions=5000, fair_scheduling=True, s3a_endpoint="http://store:9000",
     )
     assert conf["spark.sql.shuffle.partitions"] == "3"
     assert conf["spark.sql.session.timeZone"] == "Europe/Sarajevo"
     assert "RocksDB" in conf["spark.sql.streaming.stateStore.providerClass"]
     assert conf["spark.sql.streaming.statefulOperator.allowMultiple"] == "false"
     assert conf["spark.scheduler.mode"] == "FAIR"
+    assert conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "5000"
     assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
     assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
     assert not any("key" in name for name in conf)
@@ -27,9 +28,11 @@ def test_settings():
 def test_settings_from_the_environment(monkeypatch):
     monkeypatch.setenv("METERFLOW_SHUFFLE_PARTITIONS", "12")
     monkeypatch.setenv("METERFLOW_S3A_ENDPOINT", "https://store")
+    monkeypatch.setenv("METERFLOW_INITIAL_PARTITIONS", "4096")
     conf = session_conf()
     assert conf["spark.sql.shuffle.partitions"] == "12"
     assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "true"
+    assert conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "4096"
 
 
 def fake_session(master, folder=None):

@@ -4,7 +4,7 @@ from helpers import epoch, partials, rows
 from meterflow import operators as op
 from meterflow.sources import store
 from meterflow.sources.files import read_city_dim, read_json_dump, write_snapshot
-from meterflow.sources.store import read_hourly_store, write_hourly_store
+from meterflow.sources.store import compact_hourly_store, read_hourly_store, write_hourly_store
 
 MAY = epoch("2022-05-31 22:00:00")
 JUNE = epoch("2022-06-01 00:00:00")
@@ -63,18 +63,64 @@ def test_merge_keeps_older_hours_and_larger_values(spark, path):
     ], key=repr)
 
 
-def test_merge_can_take_the_incoming_value(spark, path):
-    write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 5.0)])), path)
-    write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 4.0)])), path, how="latest")
-    assert values(read_hourly_store(spark, path)) == [(1, 1, MAY, 4.0)]
+def test_the_last_run_can_count(spark, path):
+    write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 5.0)])), path, run=7)
+    write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 4.0)])), path, run=8)
+    write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 4.5)])), path, run=6)
+    assert values(read_hourly_store(spark, path, "latest")) == [(1, 1, MAY, 4.0)]
+    assert values(read_hourly_store(spark, path)) == [(1, 1, MAY, 5.0)]
+    with pytest.raises(ValueError):
+        read_hourly_store(spark, path, "min")
+
+
+def files(tmp_path):
+    return {f: f.stat().st_mtime_ns for f in tmp_path.glob("store/year=*/month=*/cityID=*/*.parquet")}
 
 
-def test_untouched_directories_are_not_rewritten(spark, path, tmp_path):
-    write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 2.0), (1, 2, MAY, 1.0)])), path)
-    kept = {f: f.stat().st_mtime_ns for f in tmp_path.glob("store/year=2022/month=5/cityID=2/*.parquet")}
+def test_a_run_only_adds_files(spark, path, tmp_path):
+    write_hourly_store(op.build_hourly_store(partials(spark, [(m, 1, MAY, 2.0) for m in range(50)])), path)
+    before = files(tmp_path)
     write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 3.0)])), path)
-    assert {f: f.stat().st_mtime_ns for f in tmp_path.glob("store/year=2022/month=5/cityID=2/*.parquet")} == kept
-    assert values(read_hourly_store(spark, path)) == [(1, 1, MAY, 3.0), (1, 2, MAY, 1.0)]
+    after = files(tmp_path)
+    assert {f: after[f] for f in before} == before and len(after) == len(before) + 1
+    assert values(read_hourly_store(spark, path).where("meterID < 3")) == [(0, 1, MAY, 2.0), (1, 1, MAY, 3.0), (2, 1, MAY, 2.0)]
+
+
+@pytest.mark.parametrize("how", ["max", "latest"])
+def test_compaction(spark, path, tmp_path, how):
+    for run, total in enumerate([2.0, 9.0, 4.0]):
+        write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, total), (2, 2, MAY, 1.0), (1, 1, JUNE, total)])), f"{path}/", run=run)
+    write_hourly_store(op.build_hourly_store(partials(spark, [(5, 1, MAY, 1.0)])), path, "append")
+    before, june = values(read_hourly_store(spark, path, how)), set(tmp_path.glob("store/year=2022/month=6/*/*"))
+    assert compact_hourly_store(spark, path, 2022, 5, how) == 6
+    assert values(read_hourly_store(spark, path, how)) == before
+    assert set(tmp_path.glob("store/year=2022/month=6/*/*")) == june
+    assert len([f for f in files(tmp_path) if "month=5" in str(f)]) == 3
+    write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 3.0)])), path, run=1)
+    assert values(read_hourly_store(spark, path, how)) == before
+    assert compact_hourly_store(spark, path, 2022, 5, how) == 3
+    assert values(read_hourly_store(spark, path, how)) == before
+    assert compact_hourly_store(spark, path, 1999, 1) == 0
+
+
+def test_a_lost_compaction_changes_nothing(spark, path, monkeypatch):
+    for run in range(2):
+        write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 2.0 + run), (2, 1, MAY, 3.0)])), path, run=run)
+    before = values(read_hourly_store(spark, path))
+
+    class Lost(Exception):
+        pass
+
+    def lost(*_):
+        raise Lost
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "remove_path", lost)
+        with pytest.raises(Lost):
+            compact_hourly_store(spark, path, 2022, 5)
+    assert values(read_hourly_store(spark, path)) == before
+    assert compact_hourly_store(spark, path, 2022, 5) == 3
+    assert values(read_hourly_store(spark, path)) == before
 
 
 def test_rows_without_a_key_are_dropped_and_counted(spark, path):
@@ -96,29 +142,11 @@ def test_append_doubles(spark, path):
         write_hourly_store(run, path, mode="replace")
 
 
-def test_a_merge_cut_short_is_completed_by_the_next_run(spark, path, monkeypatch):
-    write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 2.0), (2, 1, MAY, 3.0)])), path)
-
-    class Lost(Exception):
-        pass
-
-    def lose_directory(*_):
-        store.remove_path(spark, f"{path}/year=2022/month=5/cityID=1")
-        raise Lost
-
-    with monkeypatch.context() as m:
-        m.setattr(store, "_clustered", lose_directory)
-        with pytest.raises(Lost):
-            write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 4.0)])), path)
-    write_hourly_store(op.build_hourly_store(partials(spark, [(9, 9, JUNE, 1.0)])), path)
-    assert values(read_hourly_store(spark, path)) == [(1, 1, MAY, 4.0), (2, 1, MAY, 3.0), (9, 9, JUNE, 1.0)]
-
-
 def test_reading_prunes_directories(spark, path):
     write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 2.0), (1, 1, JUNE, 3.0)])), path)
     plan = op.for_year(read_hourly_store(spark, path), 2022)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
-    assert "PushedFilters: []" in plan
+    assert "PushedFilters: [IsNotNull(run)]" in plan and "PushedFilters: [IsNull(run)]" in plan
 
 
 def test_a_large_directory_is_split_between_tasks(spark, path, tmp_path):

@@ -13,7 +13,14 @@ from meterflow.operators.enrich import lookup_join
 from meterflow.schemas import POINT, READING
 from meterflow.sources.kafka import read_kafka_batch, read_kafka_stream
 from meterflow.streaming import job, sinks
-from meterflow.streaming.sinks import BATCH_ORDER, read_batches, read_points, upsert_points, write_batches
+from meterflow.streaming.sinks import (
+    BATCH_ORDER,
+    compact_points,
+    read_batches,
+    read_points,
+    upsert_points,
+    write_batches,
+)
 
 T0 = epoch("2024-01-01 10:00:00")
 
@@ -163,9 +170,28 @@ def test_stored_points_are_replaced_by_later_batches(spark, feed, tmp_path):
     assert seen(stored) == [("A", T0 + 3, 1.5), ("A", T0 + 86403, 3.0), ("B", T0 + 3, 7.0)]
     assert seen(read_points(spark, path, start="2024-01-02T00:00:00")) == [("A", T0 + 86403, 3.0)]
     assert seen(read_points(spark, path, stop="2024-01-02T00:00:00")) == [("A", T0 + 3, 1.5), ("B", T0 + 3, 7.0)]
-    plan = read_points(spark, path, start="2024-01-02T00:00:00").where("measurement = 'x'")._jdf.queryExecution().executedPlan().toString()
+    for name in ("2024-01-01", "2024-01-02"):
+        assert (tmp_path / "points" / f"date={name}").is_dir()
+    later = read_points(spark, path, start="2024-01-02T00:00:00")
+    assert {f.split("/")[-2] for f in later.inputFiles()} >= {"date=2024-01-02"}
+    plan = later._jdf.queryExecution().executedPlan().toString()
     assert "date" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
-    assert "measurement" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    before = seen(stored)
+    assert compact_points(spark, path, "2024-01-01") == 2
+    assert len(list((tmp_path / "points" / "date=2024-01-01").glob("*.parquet"))) == 1
+    assert seen(read_points(spark, path)) == before
+    assert seen(read_points(spark, path, stop="2024-01-02T00:00:00")) == [("A", T0 + 3, 1.5), ("B", T0 + 3, 7.0)]
+    assert compact_points(spark, path, "1999-01-01") == 0
+
+
+def test_points_without_a_day_are_in_every_range(spark, tmp_path):
+    """Also files that someone has rewritten without the folders of the days."""
+    path = str(tmp_path / "points")
+    frame = spark.sql("SELECT 'm' AS measurement, map('a', 'b') AS tags, map('v', 1.0D) AS fields, timestamp_seconds(100) AS time")
+    frame.selectExpr("'s' AS series", "*", "0 AS generation", "0L AS batch").write.parquet(path)
+    assert read_points(spark, path).count() == 1
+    assert read_points(spark, path, "1970-01-01T00:00:00", "1970-01-02T00:00:00").count() == 1
+    assert read_points(spark, path, "1970-01-01T00:02:00").count() == 0
 
 
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from meterflow import operators as op
 from meterflow.session import register
-from meterflow.functions import unix_window_sql
 
 
 def flat(df):
@@ -68,10 +67,7 @@ def test_nulls_in_the_value_do_not_count(spark):
 
 def test_sql_text_gives_the_same(spark):
     register(readings(spark), "some_readings")
-    by_sql = spark.sql(
-        f"SELECT meterID, {unix_window_sql()} AS unix_window, SUM(activeDelta) AS aggregatedActiveDelta"
-        " FROM some_readings GROUP BY meterID, window(timestamp, '3 seconds')"
-    )
+    by_sql = op.windowed_sum_sql(spark, "some_readings", ["meterID"], 3)
     assert flat(by_sql) == flat(op.windowed_sum(readings(spark), ["meterID"], 3))
 
 
