@@ -28,7 +28,7 @@ from llm import words
 from llm.graph import LINKS, components, dealt, forest, kept, packed, text_bytes, unpacked
 
 #: Runs that one task holds at a time.
-BUCKET_RUNS = 2_000_000
+BUCKET_RUNS = 1_000_000
 #: Shared runs of the points of a region that one task joins by itself.
 REGION_RUNS = 1_000_000
 #: Pivots of a region that is split.
@@ -64,39 +64,51 @@ def _points(width: int):
     return run
 
 
-def _dealt_runs(width: int, buckets: int):
-    """Rows of a bucket of runs: the runs, the points that have them, and how many each has."""
+def _dealt_runs(width: int, buckets: int, most: int = 1_000_000):
+    """Rows of a bucket of runs: the runs, the points that have them, and how many each has; about ``most`` runs at a time."""
+
+    def deal(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        size = np.concatenate([x[1] for x in parts])
+        node = np.concatenate([x[2] for x in parts])
+        runs, owner = np.concatenate([x[0] for x in parts]), np.repeat(np.arange(len(node), dtype=np.int32), size)
+        order, bounds = dealt(runs >> np.uint64(20), buckets)
+        runs, owner = runs[order], owner[order]
+        rows: tuple[list, list, list, list] = ([], [], [], [])
+        for k in np.flatnonzero(np.diff(bounds)).tolist():
+            lo, hi = bounds[k], bounds[k + 1]
+            new = np.ones(hi - lo, dtype=bool)  # the order is stable: a point's runs are side by side
+            new[1:] = owner[lo + 1 : hi] != owner[lo : hi - 1]
+            first = np.flatnonzero(new)
+            count = np.diff(np.append(first, hi - lo)).astype(np.int32)
+            for x, y in zip(rows, (k, packed(runs[lo:hi]), packed(node[owner[lo:hi][first]]), packed(count)), strict=True):
+                x.append(y)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows[0], pa.int32()), *(pa.array(x, pa.binary()) for x in rows[1:])],
+            ["bucket", "runs", "nodes", "counts"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held = 0
         for batch in batches:
             for _, _, some in words.chunks(batch.column(0), lower=True):
                 runs, offsets = words.shingle_sets(some, width)
-                node = _node(runs, offsets)
+                node, size = _node(runs, offsets), np.diff(offsets)
                 new = np.zeros(len(node), dtype=bool)  # equal sets of a task are sent once
                 for i, x in enumerate(node.tolist()):
-                    if offsets[i] < offsets[i + 1] and x not in seen:
+                    if size[i] and x not in seen:
                         new[i] = True
                         if len(seen) < 1_000_000:
                             seen.add(x)
-                owner = np.repeat(np.arange(len(node)), np.diff(offsets))
-                chosen = new[owner]
-                runs, owner = runs[chosen], owner[chosen]
-                order, bounds = dealt(runs >> np.uint64(20), buckets)
-                runs, owner = runs[order], owner[order]
-                rows: tuple[list, list, list, list] = ([], [], [], [])
-                for k in range(buckets):
-                    lo, hi = bounds[k], bounds[k + 1]
-                    if lo < hi:
-                        own, count = np.unique(owner[lo:hi], return_counts=True)
-                        for x, y in zip(
-                            rows, (k, packed(runs[lo:hi]), packed(node[own]), packed(count.astype(np.int32))), strict=True
-                        ):
-                            x.append(y)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[0], pa.int32()), *(pa.array(x, pa.binary()) for x in rows[1:])],
-                    ["bucket", "runs", "nodes", "counts"],
-                )
+                runs = runs[np.repeat(new, size)]
+                parts.append((runs, size[new], node[new]))
+                held += len(runs)
+                if held >= most:
+                    yield deal(parts)
+                    parts, held = [], 0
+        if held:
+            yield deal(parts)
 
     return run
 

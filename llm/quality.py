@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from llm import words
 
 #: Labelled documents that a model is fitted on at most, the same ones at every run.
-FIT_ROWS = 12_000
+FIT_ROWS = 8_000
 #: Feature space.
 BITS = 18
 #: The least probability of the highest grade with which a document is selected.
@@ -101,7 +101,8 @@ def fit(
     names = np.flatnonzero(chosen)
     column = np.cumsum(chosen) - 1
     used = chosen[feature]
-    row, col = doc[used], column[feature[used]]
+    row, col = doc[used], column[feature[used]].astype(np.int32)
+    del doc, feature, used
     share = 1 / n
     w, cut, gap = np.zeros(len(names)), 0.0, np.zeros(max(0, k - 2))
     first = [np.zeros_like(w), np.zeros(k - 1)]
@@ -168,8 +169,9 @@ def train(
     if len(set(grades.tolist())) < 2:
         return None
     sets = [np.frombuffer(r[1], np.int32) for r in found]
-    doc = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    return fit(doc, np.concatenate(sets).astype(np.int64), grades)
+    del found
+    doc = np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in sets])
+    return fit(doc, np.concatenate(sets), grades)
 
 
 def _judged(model: OrdinalModel | None, level: float, column: int, keep: bool):

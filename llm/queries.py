@@ -23,11 +23,14 @@ from llm.tool_calls import SCHEMAS, linked_calls, turns_as_calls
 from llm.url_filter import judged_urls
 
 _SHIPPED: set[str] = set()
+#: Text that a Python task is handed at a time: 10,000 rows, Spark's own bound, may be long documents.
+BATCH_BYTES = "8m"
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send the modules that tasks import to the executors, once for each application."""
+    """Send the modules that tasks import to the executors, once for each application, and bound their batches."""
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if context.applicationId not in _SHIPPED:
         top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         archive = os.path.join(tempfile.mkdtemp(prefix="modules-"), "corpus_modules.zip")

@@ -111,11 +111,25 @@ class _Once:
         return out
 
 
-def _anchors(width: int, run: int, buckets: int):
-    """Rows of a bucket of anchors: the anchors, and the documents that have them."""
+def _anchors(width: int, run: int, buckets: int, most: int = 500_000):
+    """Rows of a bucket of anchors: the anchors, and the documents that have them; about ``most`` at a time."""
+
+    def deal(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        anchor, node = (np.concatenate([x[i] for x in parts]) for i in range(2))
+        order, bounds = dealt(anchor >> np.uint64(20), buckets)
+        rows: tuple[list, list, list] = ([], [], [])
+        for k in np.flatnonzero(np.diff(bounds)).tolist():
+            at = order[bounds[k] : bounds[k + 1]]
+            for x, y in zip(rows, (k, packed(anchor[at]), packed(node[at])), strict=True):
+                x.append(y)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows[0], pa.int32()), *(pa.array(x, pa.binary()) for x in rows[1:])], ["bucket", "anchors", "nodes"]
+        )
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = _Once()
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
         for batch in batches:
             ids = _numbers(batch.column(0))
             for first, last, some in words.chunks(batch.column(1)):
@@ -125,17 +139,13 @@ def _anchors(width: int, run: int, buckets: int):
                 change = np.ones(len(doc), dtype=bool)
                 change[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1])
                 change &= new[doc]
-                doc, anchor = doc[change], anchor[change]
-                order, bounds = dealt(anchor >> np.uint64(20), buckets)
-                rows: tuple[list, list, list] = ([], [], [])
-                for k in np.flatnonzero(np.diff(bounds)).tolist():
-                    at = order[bounds[k] : bounds[k + 1]]
-                    for x, y in zip(rows, (k, packed(anchor[at]), packed(node[doc[at]])), strict=True):
-                        x.append(y)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[0], pa.int32()), *(pa.array(x, pa.binary()) for x in rows[1:])],
-                    ["bucket", "anchors", "nodes"],
-                )
+                parts.append((anchor[change], node[doc[change]]))
+                held += int(change.sum())
+                if held >= most:
+                    yield deal(parts)
+                    parts, held = [], 0
+        if held:
+            yield deal(parts)
 
     return emit
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents are worked on in chunks of about this many bytes; a longer document is its own chunk.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
