@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import words
+from llm.common import SAMPLE, SHARE, common_values, member
 from llm.graph import LINKS, components, dealt, forest, kept, packed, text_bytes, unpacked
 
 #: Runs that one task holds at a time.
@@ -64,14 +65,27 @@ def _points(width: int):
     return run
 
 
-def _dealt_runs(width: int, buckets: int, most: int = 1_000_000):
-    """Rows of a bucket of runs: the runs, the points that have them, and how many each has; about ``most`` runs at a time."""
+def _set_runs(width: int):
+    def run(some: words.Words) -> tuple[np.ndarray, np.ndarray]:
+        runs, offsets = words.shingle_sets(some, width)
+        return runs, np.repeat(np.arange(len(some)), np.diff(offsets))
+
+    return run
+
+
+def _dealt_runs(width: int, buckets: int, common: np.ndarray, most: int = 1_000_000):
+    """Rows of a bucket of runs: the runs, the points that have them, and how many each has; about ``most`` runs at a time.
+
+    Common runs, known to be shared, go straight to their points' buckets, numbered after those of the runs.
+    """
 
     def deal(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         size = np.concatenate([x[1] for x in parts])
         node = np.concatenate([x[2] for x in parts])
         runs, owner = np.concatenate([x[0] for x in parts]), np.repeat(np.arange(len(node), dtype=np.int32), size)
-        order, bounds = dealt(runs >> np.uint64(20), buckets)
+        own = (node.view(np.uint64) % np.uint64(buckets))[owner] + np.uint64(buckets)
+        bucket = np.where(member(runs, common), own, (runs >> np.uint64(20)) % np.uint64(buckets))
+        order, bounds = dealt(bucket, 2 * buckets)
         runs, owner = runs[order], owner[order]
         rows: tuple[list, list, list, list] = ([], [], [], [])
         for k in np.flatnonzero(np.diff(bounds)).tolist():
@@ -114,9 +128,22 @@ def _dealt_runs(width: int, buckets: int, most: int = 1_000_000):
 
 
 def _shared(doc_buckets: int):
-    """Of a bucket of runs, those that several points have, dealt out again by point; a run comes with its count."""
+    """Of a bucket of runs, those that several points have, dealt out again by point; a run comes with its count.
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
+    Common runs are with their points already; they count as the most frequent ones everywhere.
+    """
+
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        if key[0] >= doc_buckets:
+            runs = unpacked(frame["runs"], np.uint64)
+            node = np.repeat(unpacked(frame["nodes"], np.int64), unpacked(frame["counts"], np.int32))
+            order = np.lexsort((runs, node))
+            runs, node = runs[order], node[order]
+            new = np.ones(len(runs), dtype=bool)
+            new[1:] = (runs[1:] != runs[:-1]) | (node[1:] != node[:-1])
+            count = np.full(int(new.sum()), 2**31 - 1, dtype=np.int32)
+            row = (key[0] - doc_buckets, packed(runs[new]), packed(node[new]), packed(count))
+            return pd.DataFrame([row], columns=["bucket", "runs", "nodes", "counts"])
         runs = unpacked(frame["runs"], np.uint64)
         node = np.repeat(unpacked(frame["nodes"], np.int64), unpacked(frame["counts"], np.int32))
         order = np.argsort(runs, kind="stable")
@@ -143,7 +170,7 @@ def _shared(doc_buckets: int):
             at = order[bounds[k] : bounds[k + 1]]
             if len(at):
                 at = at[np.argsort(node[at], kind="stable")]
-                rows.append((k, packed(runs[at]), packed(node[at]), packed(np.minimum(count[at], 2**31 - 1).astype(np.int32))))
+                rows.append((k, packed(runs[at]), packed(node[at]), packed(np.minimum(count[at], 2**31 - 2).astype(np.int32))))
         return pd.DataFrame(rows, columns=["bucket", "runs", "nodes", "counts"])
 
     return run
@@ -308,7 +335,7 @@ def _joined_regions(members: DataFrame, near: tuple[int, int], most: int, pivots
         large = kept(members.join(weights.where(F.col("weight") > most), "region"), "large")
         if before is not None and largest > 0.7 * before:
             return links.unionByName(_tiled(large, near, most))
-        before = largest
+        before, volume = largest, large.agg(F.sum(runs)).first()[0]
         draw = F.pmod(F.xxhash64("node", F.lit(int(largest))), F.lit(1_000_000)) / 1_000_000
         chosen = large.where(draw < F.lit(float(pivots)) / F.col("n"))
         salts = int(largest / most) + 1
@@ -317,6 +344,8 @@ def _joined_regions(members: DataFrame, near: tuple[int, int], most: int, pivots
         points = large.withColumn("salt", spread).groupBy("region", "salt")
         centres = chosen.withColumn("salt", copies).groupBy("region", "salt")
         members = kept(points.cogroup(centres).applyInPandas(_with_home(near), _MEMBER), "cells")
+        if members.agg(F.sum(runs)).first()[0] > 4 * volume:  # everything is near the boundary of everything
+            return links.unionByName(_tiled(large, near, most))
 
 
 def _with_home(near: tuple[int, int]):
@@ -364,6 +393,8 @@ def jaccard_classes(
     region_runs: int = REGION_RUNS,
     bucket_runs: int = BUCKET_RUNS,
     pivots: int = PIVOTS,
+    common_share: float = SHARE,
+    common_sample: int = SAMPLE,
 ) -> DataFrame:
     """One row (id, n_shingles, component_id) per document, links as described in the module.
 
@@ -376,7 +407,8 @@ def jaccard_classes(
     expected = text_bytes(docs, text) // 6
     buckets = max(8, expected // bucket_runs + 1)
     blocks = "bucket int, runs binary, nodes binary, counts binary"
-    runs = docs.select(F.col(text).alias("text")).mapInArrow(_dealt_runs(width, buckets), blocks)
+    common = common_values(docs, id, text, _set_runs(width), True, common_share, common_sample)
+    runs = docs.select(F.col(text).alias("text")).mapInArrow(_dealt_runs(width, buckets, common), blocks)
     shared = runs.groupBy("bucket").applyInPandas(_shared(buckets), blocks)
     nodes = points.where("node IS NOT NULL").select("node", "n_shingles").distinct()
     # the remainder of the name as an unsigned number, as in dealt()

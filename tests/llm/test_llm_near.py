@@ -9,8 +9,9 @@ import numpy as np
 import pytest
 
 from llm import words
+from llm.common import common_values
 from llm.embedding_dedup import embedding_classes
-from llm.jaccard_join import jaccard_classes
+from llm.jaccard_join import _set_runs, jaccard_classes
 from llm.substring_dedup import repeated_words
 
 SMALL = "/root/testdata/sf0.001"
@@ -81,6 +82,16 @@ def test_jaccard_in_drifting_texts(spark, options):
     check_classes(spark, chain(60, 5) + [(1000 + i, t) for i, t in chain(30, 6)], **options)
 
 
+def test_common_runs_are_told_from_a_sample(spark):
+    rows = chain(60, 5)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = common_values(df, "doc_id", "text", _set_runs(5), True, share=0.3, sample=50)
+    sets = [shingles(t) for _, t in rows]
+    assert len(found) == len(set(found.tolist())) > 0
+    assert len(found) <= len({s for x in sets for s in x if sum(s in y for y in sets) >= 10})
+    assert len(common_values(df, "doc_id", "text", _set_runs(5), True, sample=100)) == 0
+
+
 def test_jaccard_odd_rows(spark, odd_docs):
     got = sorted((repr(r.id), r.n_shingles, r.component_id) for r in jaccard_classes(odd_docs).collect())
     assert got == sorted(
