@@ -74,9 +74,9 @@ def learn(x: np.ndarray, near: float, recall: float, key_bits: int, seed: int =
     x = unit(x.astype(np.float64))
     for centre in (x.mean(axis=0), np.zeros(x.shape[1])):
         draw = np.random.default_rng(seed)
-        _, _, axes = np.linalg.svd(x - centre, full_matrices=True)
+        _, axes = np.linalg.eigh((x - centre).T @ (x - centre))
         wide = min(CODE_BITS, x.shape[1])
-        axes = axes[:wide].T
+        axes = axes[:, ::-1][:, :wide]
         pairs = np.tile(x, (-(-2000 // len(x)), 1))
         step = draw.standard_normal(pairs.shape)
         step = unit(step - (step * pairs).sum(axis=1, keepdims=True) * pairs)
