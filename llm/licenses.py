@@ -139,11 +139,12 @@ def scan(
         ),
         "scanned",
     )
-    files = (
+    files = kept(
         scanned.where("is_file AND own_license IS NOT NULL")
         .groupBy(F.col("directory").alias("above"))
         .agg(F.min(F.struct("path", "own_license")).alias("file"))
-        .select("above", F.col("file.own_license").alias("above_license"))
+        .select("above", F.col("file.own_license").alias("above_license")),
+        "files",
     )
     parts = F.split("directory", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
