@@ -26,9 +26,23 @@ def shared_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/meterflow/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses, until :func:`drop_scratch`."""
+    path = f"{shared_dir(spark)}/meterflow/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove what this process has in the shared folder, once the results that read it are written; how many paths."""
+    paths = [path for path in _scratch if path_exists(spark, path)]
+    _scratch.clear()
+    for path in paths:
+        remove_path(spark, path)
+    return len(paths)
 
 
 def written_table(df: DataFrame, path: str) -> DataFrame:

@@ -57,6 +57,15 @@ def test_written_tables_have_paths_of_their_own(spark):
     assert "Range" not in table._jdf.queryExecution().analyzed().toString()
 
 
+def test_scratch_tables_can_be_dropped(spark, monkeypatch):
+    monkeypatch.setattr(shared, "_scratch", [])
+    path = scratch_path(spark, "gone")
+    written_table(spark.range(3), path)
+    scratch_path(spark, "never-written")
+    assert shared.drop_scratch(spark) == 1 and not shared.path_exists(spark, path)
+    assert shared.drop_scratch(spark) == 0
+
+
 def test_register_and_preview(spark, capsys):
     register(spark.range(3), "three")
     assert spark.sql("SELECT sum(id) AS s FROM three").first().s == 3
