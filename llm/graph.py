@@ -51,28 +51,28 @@ def _contract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"a": a, "b": b})
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether each node has one link to a smaller one, or only links from larger ones."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("down")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("down"))
+    )
+    seen = ends.groupBy("node").agg(F.sum("down").alias("down"), F.min("down").alias("least"))
+    return not seen.where("down > 1 OR (down = 1 AND least = 0)").take(1)
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b); a component is named by its smallest node.
 
-    Large-star and small-star rounds in turn until nothing changes, over links that each task
-    has first made into a forest. A node with very many links is joined on both sides of a
+    Large-star and small-star rounds in turn until all links lead straight to the smallest node,
+    over links that each task has first made into a forest. A node with very many links is joined on both sides of a
     shuffle that Spark can split, and minima combine before they are shuffled. Links with a
     null end and from a node to itself are left out; without links the result is empty.
     """
     links = links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     edges = kept(links.select("a", "b").mapInPandas(_contract, LINKS).distinct(), "forest")
-    before = _mark(edges)
-    while before[0]:
+    while not _settled(edges):
         edges = kept(_star(edges, large=True), "large-star")
         edges = kept(_star(edges, large=False), "small-star")
-        now = _mark(edges)
-        if now == before:
-            break
-        before = now
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 

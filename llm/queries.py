@@ -165,4 +165,56 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, size, source_size, target,
                (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
         FROM drawn""",
+    "op3_substring_dedup": r"""
+        WITH words AS (
+            SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+        stretches AS (
+            SELECT doc_id, unnest(range(1, len(w) - 48)) AS i, w FROM words WHERE len(w) >= 50),
+        named AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS name FROM stretches),
+        firsts AS (SELECT name, min(doc_id) AS first FROM named GROUP BY name),
+        hits AS (SELECT doc_id, i FROM named JOIN firsts USING (name) WHERE first < doc_id),
+        places AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM words),
+        marked AS (
+            SELECT doc_id, i, word, bool_or(hits.i IS NOT NULL) OVER (
+                       PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+            FROM places LEFT JOIN hits USING (doc_id, i)),
+        results AS (
+            SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+                   string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS left_over
+            FROM marked GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(left_over, '')) AS kept_sha256
+        FROM words LEFT JOIN results USING (doc_id)""",
+    "op4_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, coalesce(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+'), []) AS w
+            FROM documents),
+        places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0),
+        runs AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS run FROM places),
+        sizes AS (SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id),
+        common AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+            FROM runs x JOIN runs y ON x.run = y.run AND x.doc_id <> y.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * common.n >= 75 * (x.n + y.n - common.n)),
+        reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other)
+        SELECT doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(other) AS component_id
+        FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""",
+    "op10_embedding_dedup": """
+        WITH RECURSIVE vectors AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+        links AS (
+            SELECT x.vec_id AS a, y.vec_id AS b
+            FROM vectors x JOIN vectors y ON x.label = y.label AND x.vec_id <> y.vec_id
+            WHERE list_cosine_similarity(x.v, y.v) >= 0.98),
+        counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a),
+        reached AS (
+            SELECT vec_id, vec_id AS other FROM vectors
+            UNION SELECT reached.vec_id, links.b FROM reached JOIN links ON links.a = reached.other)
+        SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
+        FROM reached LEFT JOIN counts USING (vec_id) GROUP BY vec_id""",
 }

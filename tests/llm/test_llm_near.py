@@ -11,6 +11,7 @@ import pytest
 from llm import words
 from llm.common import common_values
 from llm.embedding_dedup import embedding_classes
+from llm.graph import components
 from llm.jaccard_join import _set_runs, jaccard_classes
 from llm.substring_dedup import repeated_words
 
@@ -82,6 +83,18 @@ def test_jaccard_in_drifting_texts(spark, options):
     check_classes(spark, chain(60, 5) + [(1000 + i, t) for i, t in chain(30, 6)], **options)
 
 
+def test_components(spark):
+    rng = random.Random(9)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(330)]
+    links += [(k, k + 1) for k in range(1000, 1100)] + [(2000, k) for k in range(1900, 2100)] + [(3, 3), (None, 4), (5, None)]
+    rng.shuffle(links)
+    df = spark.createDataFrame(links, "a long, b long").repartition(7)
+    real = [(a, b) for a, b in links if a is not None and b is not None and a != b]
+    got = {r.node: r.component for r in components(df).collect()}
+    assert got == roots({x for link in real for x in link}, real)
+    assert components(df.limit(0)).count() == 0
+
+
 def test_common_runs_are_told_from_a_sample(spark):
     rows = chain(60, 5)
     df = spark.createDataFrame(rows, "doc_id long, text string")
