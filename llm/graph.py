@@ -68,8 +68,9 @@ def components(links: DataFrame) -> DataFrame:
     shuffle that Spark can split, and minima combine before they are shuffled. Links with a
     null end and from a node to itself are left out; without links the result is empty.
     """
-    links = links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    edges = kept(links.select("a", "b").mapInPandas(_contract, LINKS).distinct(), "forest")
+    # written first, so that a task has one Python worker, not one for the links and one for the forest
+    links = kept(links.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL AND a <> b"), "links")
+    edges = kept(links.mapInPandas(_contract, LINKS).distinct(), "forest")
     while not _settled(edges):
         edges = kept(_star(edges, large=True), "large-star")
         edges = kept(_star(edges, large=False), "small-star")

@@ -108,6 +108,7 @@ def chunks(texts: pa.Array, lower: bool = False, size: int = CHUNK_BYTES) -> Ite
         last = max(first + 1, int(np.searchsorted(ends, ends[first] + size, side="right")) - 1)
         yield first, last, Words(data[ends[first] : ends[last]], ends[first : last + 1] - ends[first], lower)
         first = last
+    pa.default_memory_pool().release_unused()  # a worker lives on for later tasks
 
 
 def windows(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
