@@ -31,6 +31,8 @@ FIT_ROWS = 10_000
 CODE_BITS = 64
 #: Entries of a tile: at least, and at most.
 TILE = (256, 4096)
+#: Entries that are compared in one call, about, small groups of them together.
+PART = 8192
 
 
 @dataclass
@@ -109,29 +111,42 @@ def _keyed(codes: Codes):
     return run
 
 
+_GROUP = ["label", "table", "key", "left", "right"]
+
+
 def _compared(near: float):
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        """Links between the entries of two tiles (or within one), as counts and a forest."""
-        table, left, right = key[1], key[3], key[4]
+    """Links between the entries of two tiles (or within one), as counts and a forest, for many pairs of tiles."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
         x = unit(np.stack(frame["vector"].to_numpy()).astype(np.float64))
         node, times, keys = frame["node"].to_numpy(), frame["times"].to_numpy(), np.stack(frame["keys"].to_numpy())
-        own = frame["own"].to_numpy()
-        rows = np.flatnonzero(own == left)
-        columns = np.flatnonzero(own == right)
-        links = x[rows] @ x[columns].T >= near
-        for t in range(table):  # counted where they met first
-            links &= keys[rows, t][:, None] != keys[columns, t][None, :]
-        links &= node[rows][:, None] != node[columns][None, :]
+        own, table = frame["own"].to_numpy(), frame["table"].to_numpy()
+        left, right = frame["left"].to_numpy(), frame["right"].to_numpy()
+        found = [(np.zeros(0, np.int64),) * 2]
         count = np.zeros(len(node), dtype=np.int64)
-        count[rows] += links @ times[columns]
-        if left != right:
-            count[columns] += links.T @ times[rows]
-        i, j = np.nonzero(links)
-        a, b = forest(node[rows[i]], node[columns[j]])
+        for at in frame.groupby(_GROUP, sort=False).indices.values():
+            rows, columns = at[own[at] == left[at[0]]], at[own[at] == right[at[0]]]
+            if not len(rows) or not len(columns):
+                continue
+            links = x[rows] @ x[columns].T >= near
+            links &= node[rows][:, None] != node[columns][None, :]
+            if not links.any():
+                continue
+            for t in range(table[at[0]]):  # counted where they met first
+                links &= keys[rows, t][:, None] != keys[columns, t][None, :]
+            count[rows] += links @ times[columns]
+            if left[at[0]] != right[at[0]]:
+                count[columns] += links.T @ times[rows]
+            i, j = np.nonzero(links)
+            if len(i):
+                found.append(forest(node[rows[i]], node[columns[j]]))
+        a, b = (np.concatenate([f[i] for f in found]) for i in range(2))
         some = count > 0
-        return pd.DataFrame(
-            {"a": np.concatenate([a, node[some]]), "b": np.concatenate([b, node[some]]), "n": np.concatenate([np.zeros(len(a), np.int64), count[some]])}
-        )
+        return pd.DataFrame({
+            "a": np.concatenate([a, node[some]]),
+            "b": np.concatenate([b, node[some]]),
+            "n": np.concatenate([np.zeros(len(a), np.int64), count[some]]),
+        })
 
     return run
 
@@ -214,9 +229,11 @@ def embedding_classes(
             "vector",
             "keys",
         )
+        # small groups share a task; a group has two tiles at most
+        entries_in_all = buckets.agg(F.sum(F.col("size") * F.ceil(F.col("size") / in_tile))).first()[0] or 0
+        part = F.pmod(F.xxhash64(*_GROUP), F.lit(int(entries_in_all // PART) + 1))
         links = kept(
-            pairs.groupBy("label", "table", "key", "left", "right").applyInPandas(_compared(near), "a long, b long, n long"),
-            "links",
+            pairs.withColumn("part", part).groupBy("part").applyInPandas(_compared(near), "a long, b long, n long"), "links"
         )
     if links is None:
         joined = classes.select("node", F.col("first").alias("component_id"), (F.col("times") - 1).alias("n_links"))
