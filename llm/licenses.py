@@ -122,20 +122,25 @@ def scan(
     lines = F.filter(
         F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), _tokens), lambda t: F.arrays_overlap(t, vectors.strong)
     )
-    found = slim.withColumn("lines", lines).withColumn(
-        "own", F.array_min(F.transform("lines", lambda t: vectors.best(t)))
+    # The one-element explodes are fences: without them the optimizer would copy the search into each of its uses.
+    found = slim.withColumn("lines", F.explode(F.array(lines)))
+    hits = found.select("id", "path", "lines", F.when(F.size("lines") > 0, _tokens(F.col("text"))).alias("tokens"))
+    best = F.struct(
+        F.array_min(F.transform("lines", lambda t: vectors.best(t))).alias("own"),
+        F.when(F.col("tokens").isNotNull(), vectors.best(F.col("tokens"))).alias("whole"),
     )
-    whole = F.when(F.size("lines") > 0, vectors.best(_tokens(F.col("text"))))
-    own = F.when(F.col("own.far") <= -near, F.col("own"))
+    judged = kept(hits, "licence-lines").withColumn("best", F.explode(F.array(best)))
+    own = F.when(F.col("best.own.far") <= -near, F.col("best.own"))
     name = F.regexp_extract(F.coalesce("path", F.lit("")), r"([^/]*)$", 1)
+    is_file = (own.isNotNull() & name.rlike(_LICENCE_FILE)) | (F.col("best.whole.far") <= -near)
     scanned = kept(
-        found.select(
+        judged.select(
             "id",
             "path",
             F.when(F.col("path").contains("/"), F.regexp_replace("path", r"/[^/]*$", "")).alias("directory"),
             own["name"].alias("own_license"),
             F.coalesce(-own["far"], F.lit(0.0)).alias("cosine"),
-            F.coalesce((own.isNotNull() & name.rlike(_LICENCE_FILE)) | (whole["far"] <= -near), F.lit(False)).alias("is_file"),
+            F.coalesce(is_file, F.lit(False)).alias("is_file"),
         ),
         "scanned",
     )
