@@ -53,18 +53,22 @@ def _frequencies(docs: DataFrame, text: str, vocabulary: list[str]) -> tuple[int
     return docs.count(), {w: counts.get(w, 0) for w in vocabulary}
 
 
+def _table(weights: dict[str, float]) -> Column:
+    return F.create_map(*[F.lit(x) for p in sorted(weights.items()) for x in p])
+
+
 class _Vectors:
     """Templates as unit vectors, and the cosine of a column of words to each."""
 
     def __init__(self, templates: dict[str, list[str]], idf: dict[str, float], near: float) -> None:
-        self.idf, self.near, self.units = idf, near, []
+        self.idf, self.units = _table(idf), []
         strong: set[str] = set()
         for name, texts in templates.items():
             for text in texts:
                 raw = {w: n * idf[w] for w, n in _words(text).items()}
                 norm = math.sqrt(sum(x * x for x in raw.values()))
                 unit = {w: x / norm for w, x in raw.items()}
-                self.units.append((name, unit))
+                self.units.append((name, _table(unit)))
                 # by Cauchy and Schwarz a line with none of these words stays below ``near``
                 left = 0.0
                 for w, x in sorted(unit.items(), key=lambda p: (p[1], p[0])):
@@ -72,25 +76,40 @@ class _Vectors:
                     if left >= near * near:
                         strong.add(w)
         self.strong = F.array(*[F.lit(w) for w in sorted(strong)])
+        self.vocabulary = F.array(*[F.lit(w) for w in sorted(idf)])
 
-    def _weight(self, word: Column, weights: dict[str, float], other: float) -> Column:
-        table = F.create_map(*[F.lit(x) for p in sorted(weights.items()) for x in p])
+    def _weight(self, word: Column, table: Column, other: float) -> Column:
         return F.coalesce(F.try_element_at(table, word), F.lit(other))
 
-    def best(self, tokens: Column) -> Column:
-        """(cosine, name) of the nearest template; the first in name order of equally near ones."""
-        counted = F.transform(
-            F.array_distinct(tokens),
-            lambda w: F.struct(w.alias("w"), (F.size(F.filter(tokens, lambda x: x == w)) * self._weight(w, self.idf, OTHER)).alias("x")),
+    def bag(self, tokens: Column, known: Column) -> Column:
+        """(counts of the templates' words, sum of the squared counts of all others), from words and those ``known``."""
+        counts = F.transform(
+            F.array_distinct(known),
+            lambda w: F.struct(w.alias("w"), F.size(F.filter(known, lambda x: x == w)).cast("double").alias("n")),
         )
 
+        def add(state: Column, word: Column) -> Column:
+            # one more of the same word adds (n + 1) squared less n squared
+            run = F.when(state.word == word, state.run + 1).otherwise(F.lit(1.0))
+            return F.struct(word.alias("word"), run.alias("run"), (state.squares + 2 * run - 1).alias("squares"))
+
+        start = F.struct(F.lit("").alias("word"), F.lit(0.0).alias("run"), F.lit(0.0).alias("squares"))
+        others = F.array_sort(F.filter(tokens, lambda x: ~F.array_contains(self.vocabulary, x)))
+        return F.struct(counts.alias("counts"), F.aggregate(others, start, add, lambda s: s.squares).alias("others"))
+
+    def known(self, tokens: Column) -> Column:
+        return F.filter(tokens, lambda x: F.array_contains(self.vocabulary, x))
+
+    def best(self, bag: Column) -> Column:
+        """(cosine, name) of the nearest template; the first in name order of equally near ones."""
+
         def total(of) -> Column:
-            return F.aggregate(counted, F.lit(0.0), lambda a, p: a + of(p))
+            return F.aggregate(bag.counts, F.lit(0.0), lambda a, p: a + of(p.n * self._weight(p.w, self.idf, OTHER), p.w))
 
-        norm = F.sqrt(total(lambda p: p.x * p.x))
+        norm = F.sqrt(total(lambda x, w: x * x) + OTHER * OTHER * bag.others)
         every = [
             F.struct(
-                (-F.round(F.try_divide(total(lambda p, u=u: p.x * self._weight(p.w, u, 0.0)), norm), 9)).alias("far"),
+                (-F.round(F.try_divide(total(lambda x, w, u=u: x * self._weight(w, u, 0.0)), norm), 9)).alias("far"),
                 F.lit(name).alias("name"),
             )
             for name, u in self.units
@@ -122,14 +141,22 @@ def scan(
     lines = F.filter(
         F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), _tokens), lambda t: F.arrays_overlap(t, vectors.strong)
     )
-    # The one-element explodes are fences: without them the optimizer would copy the search into each of its uses.
-    found = slim.withColumn("lines", F.explode(F.array(lines)))
-    hits = found.select("id", "path", "lines", F.when(F.size("lines") > 0, _tokens(F.col("text"))).alias("tokens"))
+    # The one-element explodes are fences: without them the optimizer would copy a step into each of its uses.
+    found = slim.select("id", "path", "text", F.explode(F.array(lines)).alias("lines"))
+    tokens = F.when(F.size("lines") > 0, _tokens(F.col("text")))
+    hits = found.select("id", "path", "lines", F.explode(F.array(tokens)).alias("tokens"))
+    hits = hits.select("*", F.explode(F.array(vectors.known(F.col("tokens")))).alias("known"))
+    bags = hits.select(
+        "id",
+        "path",
+        F.transform("lines", lambda t: vectors.bag(t, vectors.known(t))).alias("lines"),
+        F.when(F.col("tokens").isNotNull(), vectors.bag(F.col("tokens"), F.col("known"))).alias("whole"),
+    )
     best = F.struct(
-        F.array_min(F.transform("lines", lambda t: vectors.best(t))).alias("own"),
-        F.when(F.col("tokens").isNotNull(), vectors.best(F.col("tokens"))).alias("whole"),
+        F.array_min(F.transform("lines", lambda bag: vectors.best(bag))).alias("own"),
+        F.when(F.col("whole").isNotNull(), vectors.best(F.col("whole"))).alias("whole"),
     )
-    judged = kept(hits, "licence-lines").withColumn("best", F.explode(F.array(best)))
+    judged = kept(bags, "licence-lines").withColumn("best", F.explode(F.array(best)))
     own = F.when(F.col("best.own.far") <= -near, F.col("best.own"))
     name = F.regexp_extract(F.coalesce("path", F.lit("")), r"([^/]*)$", 1)
     is_file = (own.isNotNull() & name.rlike(_LICENCE_FILE)) | (F.col("best.whole.far") <= -near)
