@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from llm.decontamination import decontaminated
 from llm.graph import kept
 from llm.jaccard_join import jaccard_classes
-from llm.line_dedup import deduplicated_lines
+from llm.line_dedup import DENSE, deduplicated_lines
 from llm.mixing import mixed_documents
 from llm.quality import selected, train
 from llm.queries import ship, table, toxicity_grades
@@ -26,8 +26,8 @@ def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without chunks of lines that an earlier one has."""
-    return deduplicated_lines(docs)
+    """Documents without runs of lines that an earlier one has."""
+    return deduplicated_lines(docs, spacing=DENSE)
 
 
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,9 @@ an earlier document has too is removed, and so is its repetition within a docume
 lines stay. Chunks are equal when their bytes are: a chunk is known by a 128-bit hash, and the
 texts themselves are compared wherever a hash is counted; a hash that two different texts
 share removes nothing.
+
+With ``spacing`` 1 each window of lines ends a chunk and is one itself. Such chunks overlap, and those that are
+repeated make up each repeated run of at least ``window`` lines from its first line to its last.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ WINDOW = 2
 #: Up to so many removed chunks (8 bytes each, and some tens for a document) are broadcast; more are joined by a shuffle.
 BROADCAST_SPANS = 1_000_000
 SPACING = 4
+#: Every window is a chunk: no repeated run is missed.
+DENSE = 1
 
 
 def _ends(hashes: Column, window: int, spacing: int) -> Column:
@@ -52,6 +57,13 @@ def line_chunks(docs: DataFrame, text: str = "text", window: int = WINDOW, spaci
     )
 
 
+def _lone_lines(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with ``_lines`` and ``_spans`` as from :func:`line_chunks`, a place for each line."""
+    return docs.withColumn("_lines", F.split(F.coalesce(F.col(text), F.lit("")), "\n")).withColumn(
+        "_spans", F.transform("_lines", lambda x, i: i.cast("long") * (1 << 32) + 1)
+    )
+
+
 def _slice(lines: Column, span: Column) -> Column:
     return F.slice(lines, (F.shiftright(span, 32) + 1).cast("int"), span.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
 
@@ -70,6 +82,50 @@ def _chunks(docs: DataFrame, id: str, text: str, window: int, spacing: int) -> D
     )
 
 
+def _dense_spans(docs: DataFrame, id: str, text: str, window: int) -> DataFrame:
+    """(id, whole, spans) like :func:`repeated_spans`, a span for each line that is in a repeated window of lines.
+
+    A window stays where the smallest id that has it has it first; in that document its repetitions go
+    that don't overlap this place. A line that two different texts' hash stands for is in no window.
+    """
+    lines = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).withColumn("lines", F.split("text", "\n"))
+    several = lines.where(F.size("lines") >= window)
+    names = ["h1", "h2"]
+    texts = several.select(F.explode("lines").alias("line")).select(
+        F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"), "line"
+    )
+    shared = texts.distinct().groupBy(*names).agg(F.count("*").alias("texts")).where("texts > 1")
+    shared = kept(shared.select(*names), "shared-hashes")
+    hashed = several.select(
+        "id",
+        F.xxhash64("text").alias("whole"),
+        F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("h1"), F.xxhash64(x, F.lit(1)).alias("h2"))).alias("hashes"),
+    )
+    starts = F.size("hashes") - (window - 1)
+    windows = F.arrays_zip(*[F.slice("hashes", j + 1, starts).alias(f"l{j}") for j in range(window)])
+    keys = [f"l{j}_{h}" for j in range(window) for h in names]
+    places = hashed.select("id", "whole", F.posexplode(windows).alias("at", "w")).select(
+        "id", "whole", "at", *[F.col("w")[f"l{j}"][h].alias(f"l{j}_{h}") for j in range(window) for h in names]
+    )
+    if shared.take(1):
+        for j in range(window):
+            places = places.join(shared.select(*[F.col(h).alias(f"l{j}_{h}") for h in names]), keys[2 * j : 2 * j + 2], "left_anti")
+    known = places.groupBy(*keys).agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    known = kept(known.select(*keys, "first"), "windows")
+    own = F.col("first").isNull() | F.col("id").eqNullSafe(F.col("first"))
+    per_window = (
+        places.join(known, keys)
+        .groupBy("id", "whole", own.alias("own"), *keys)
+        .agg(F.collect_set("at").alias("places"), F.min("at").alias("least"))
+    )
+    gone = F.filter("places", lambda at: ~F.col("own") | (at >= F.col("least") + window))
+    spans = F.transform(
+        F.flatten(F.transform(gone, lambda at: F.sequence(at, at + (window - 1)))), lambda at: at.cast("long") * (1 << 32) + 1
+    )
+    per_doc = per_window.groupBy("id", "whole").agg(F.collect_list(spans).alias("spans"))
+    return per_doc.select("id", "whole", F.array_distinct(F.flatten("spans")).alias("spans")).where(F.size("spans") > 0)
+
+
 def repeated_spans(
     docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW, spacing: int = SPACING
 ) -> DataFrame:
@@ -77,8 +133,10 @@ def repeated_spans(
 
     A chunk stays where the smallest id that has it has it first. Documents with one id keep
     their chunks from each other; a document with a null id comes after all others, and keeps what
-    only such documents have.
+    only such documents have. With ``spacing`` 1 the places are those of single lines.
     """
+    if spacing == DENSE:
+        return _dense_spans(docs, id, text, window)
     chunks = _chunks(docs, id, text, window, spacing)
     texts = chunks.groupBy("h1", "h2", "chunk").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     known = (
@@ -121,7 +179,8 @@ def _cut(docs: DataFrame, id: str, text: str, window: int, spacing: int) -> Data
     joined = as_struct(docs, "doc").join(spans, same, "left").select("doc", "removed", body.alias("body"))
     lines = F.flatten(F.transform(F.array_except("_spans", "removed"), lambda s: _slice(F.col("_lines"), s)))
     left = F.when(F.col("removed").isNull(), F.col("body")).otherwise(F.array_join(lines, "\n"))
-    return line_chunks(joined, "body", window, spacing).select("doc", F.col("_lines").alias("lines"), "removed", left.alias("kept"))
+    chunked = _lone_lines(joined, "body") if spacing == DENSE else line_chunks(joined, "body", window, spacing)
+    return chunked.select("doc", F.col("_lines").alias("lines"), "removed", left.alias("kept"))
 
 
 def deduplicated_lines(

@@ -15,7 +15,7 @@ from llm.decontamination import leaks
 from llm.embedding_dedup import embedding_classes
 from llm.jaccard_join import jaccard_classes
 from llm.licenses import scan
-from llm.line_dedup import line_report
+from llm.line_dedup import DENSE, line_report
 from llm.mixing import mixed_sizes
 from llm.quality import LEVEL, judged, train
 from llm.substring_dedup import repeated_words
@@ -92,8 +92,8 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each document loses of repeated chunks of lines."""
-    return line_report(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    """What each document loses of repeated runs of lines."""
+    return line_report(table(spark, sf_dir, "documents"), spacing=DENSE).withColumnRenamed("id", "doc_id")
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -216,6 +216,52 @@ def test_lines_against_brute_force(spark):
     assert line_dedup.deduplicated_lines(df.limit(0)).count() == 0
 
 
+def brute_runs(rows):
+    """The lines that are in a run of two lines or more which a smaller id has, or their own document before it."""
+    gone = [set() for _ in rows]
+    for k, (i, t) in enumerate(rows):
+        a = (t or "").split("\n")
+        for j, (other, u) in enumerate(rows):
+            if j != k and (other is None or other == i or (i is not None and other > i)):
+                continue
+            b = (u or "").split("\n")
+            for x in range(len(a)):
+                for y in range(len(b)):
+                    n = 0
+                    while x + n < len(a) and y + n < len(b) and a[x + n] == b[y + n] and (j != k or y + n < x):
+                        n += 1
+                    if n > 1:
+                        gone[k] |= set(range(x, x + n))
+    return gone
+
+
+def test_runs_of_lines_against_brute_force(spark):
+    rng = random.Random(5)
+    runs = [[f"r{k}.{j}" for j in range(rng.randrange(2, 9))] for k in range(12)]
+    rows = []
+    for i in range(60):
+        parts = [rng.choice([*runs, [f"own {i}.{rng.random()}"], ["one line"]]) for _ in range(rng.randrange(1, 7))]
+        rows.append((i, "\n".join(line for part in parts for line in part)))
+    rows += [(None, "\n".join(runs[0])), (None, "nulls\nonly"), (None, "nulls\nonly"), (70, None), (71, "a\na\na"), (72, "b\nb\nb\nb")]
+    rng.shuffle(rows)
+    gone = brute_runs(rows)
+    assert sum(map(len, gone)) > 300 and any(len(g) == 2 for g in gone)
+    wanted = []
+    for (i, t), g in zip(rows, gone, strict=True):
+        left = None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in g)
+        wanted.append((repr(i), len(g), repr(left)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = line_dedup.deduplicated_lines(df, spacing=line_dedup.DENSE).collect()
+    assert sorted((repr(r.doc_id), repr(r.text)) for r in out) == sorted((i, t) for i, _, t in wanted)
+    report = line_dedup.line_report(df, spacing=line_dedup.DENSE).collect()
+    assert sorted((repr(r.id), r.n_removed) for r in report) == sorted((i, n) for i, n, _ in wanted)
+
+
+def test_odd_rows_have_no_runs(spark, odd_docs):
+    assert line_dedup.deduplicated_lines(odd_docs, spacing=line_dedup.DENSE).exceptAll(odd_docs).count() == 0
+    assert line_dedup.line_report(odd_docs.limit(0), spacing=line_dedup.DENSE).count() == 0
+
+
 def test_lines_odd_rows(spark, odd_docs):
     assert line_dedup.deduplicated_lines(odd_docs).exceptAll(odd_docs).count() == 0
     assert line_dedup.line_report(odd_docs).count() == 13
