@@ -7,6 +7,9 @@ a hash table for each: near vectors share at least one substring with the wanted
 is worked out from the flip rate of codes at the least cosine. Vectors of one bucket are
 compared by their original components in double precision.
 
+Each length of vectors has codes of its own. Where a length has few vectors, or no codes reach the
+recall, all its vectors of a label are one bucket.
+
 Equal vectors are one class with a count. A pair that meets in several buckets counts in the
 first table where it meets. A large bucket is cut into tiles and each two of them are
 compared in a task of their own; pairs are only counted and joined, never written out.
@@ -29,6 +32,8 @@ from llm.graph import components, forest, kept
 FIT_ROWS = 10_000
 #: Bits of a code at most.
 CODE_BITS = 64
+#: Classes of a length up to which all are compared with all.
+EXACT = 1_000
 #: Entries of a tile: at least, and at most.
 TILE = (256, 4096)
 #: Entries that are compared in one call, about, small groups of them together.
@@ -66,12 +71,13 @@ def rotation(v: np.ndarray, draw: np.random.Generator, rounds: int = 30) -> np.n
     return r
 
 
-def learn(x: np.ndarray, near: float, recall: float, key_bits: int, seed: int = 1, most: int = 64) -> Codes:
+def learn(x: np.ndarray, near: float, recall: float, key_bits: int, seed: int = 1, most: int = 64) -> Codes | None:
     """Codes for data like the sample ``x`` of vectors: as many tables as ``recall`` takes at the cosine ``near``.
 
     Recall is measured on pairs made from the sample: half of them have that cosine, the others are
     nearer. Where vectors lie closely around the centre, no codes that are balanced about it find
-    them; if ``most`` rotations don't reach the recall, the origin takes the centre's place.
+    them; if ``most`` rotations don't reach the recall, the origin takes the centre's place. None if that
+    doesn't reach it either.
     """
     x = unit(x.astype(np.float64))
     for centre in (x.mean(axis=0), np.zeros(x.shape[1])):
@@ -97,21 +103,25 @@ def learn(x: np.ndarray, near: float, recall: float, key_bits: int, seed: int =
                 if missed.mean() <= 1 - recall:
                     break
         if missed.mean() <= 1 - recall:
-            break
-    return Codes(centre, projections, tables)
+            return Codes(centre, projections, tables)
+    return None
+
 
+def _keyed(codes: dict[int, Codes]):
+    """Keys by the codes of a vector's length; a length without codes has one table with one key."""
 
-def _keyed(codes: Codes):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            if len(frame):
-                x = unit(np.stack(frame["vector"].to_numpy()).astype(np.float64))
-                yield frame.assign(keys=list(codes.keys(x)))
+            for length, part in frame.groupby("length", sort=False):
+                keys = np.zeros((len(part), 1), dtype=np.int64)
+                if length in codes:
+                    keys = codes[length].keys(unit(np.stack(part["vector"].to_numpy()).astype(np.float64)))
+                yield part.assign(keys=list(keys))
 
     return run
 
 
-_GROUP = ["label", "table", "key", "left", "right"]
+_GROUP = ["label", "length", "table", "key", "left", "right"]
 
 
 def _compared(near: float):
@@ -160,14 +170,15 @@ def embedding_classes(
     recall: float = 0.99,
     tile: tuple[int, int] = TILE,
     fit_rows: int = FIT_ROWS,
+    exact: int = EXACT,
 ) -> DataFrame:
     """One row per vector: id, n_links, component_id, kept.
 
     Two vectors are linked when their labels are equal and not null and their cosine is at
-    least ``near``. Vectors that are null, empty or zero, or have null or non-finite components,
-    link with nothing; vectors of another length than the most frequent (the least of equally
-    frequent ones) only with equal ones. Rows with one id count each; a null id counts, but
-    names no component of others. An empty table gives none.
+    least ``near``, which takes equal lengths. Vectors that are null, empty or zero, or have null or
+    non-finite components, link with nothing. All pairs are compared among up to ``exact`` different vectors
+    of a length. Rows with one id count each; a null id counts, but names no component of others.
+    An empty table gives none.
     """
     values = F.col("vector")
     usable = (
@@ -192,33 +203,39 @@ def embedding_classes(
         .withColumn("length", F.size("vector")),
         "classes",
     )
-    usual = classes.groupBy("length").count().orderBy(F.desc("count"), "length").first()
+    lengths = classes.groupBy("length").agg(F.count("*").alias("n"), F.approx_count_distinct("label").alias("labels"))
+    lengths = kept(lengths.where("n > 1"), "lengths")
     links = None
-    if usual and usual["count"] > 1:
-        same = classes.where(F.col("length") == usual["length"])
-        labels = same.agg(F.approx_count_distinct("label")).first()[0]
-        sample = same.select("vector", "node").orderBy(F.xxhash64("node"), "node").limit(fit_rows).collect()
-        bits = max(4, min(40, round(math.log2(max(2, usual["count"] / max(1, labels)))) + 3))
-        codes = learn(np.array([r[0] for r in sample]), near, recall, bits)
+    if lengths.take(1):
+        same = classes.join(lengths.select("length"), "length")
+        codes = {}
+        for length, n, labels in sorted(lengths.where(F.col("n") > exact).collect()):
+            sample = classes.where(F.col("length") == length).select("vector", "node")
+            sample = sample.orderBy(F.xxhash64("node"), "node").limit(fit_rows).collect()
+            bits = max(4, min(40, round(math.log2(max(2, n / max(1, labels)))) + 3))
+            learnt = learn(np.array([r[0] for r in sample]), near, recall, bits)
+            if learnt is not None:
+                codes[length] = learnt
         keyed = kept(
-            same.select("node", "label", "times", "vector").mapInPandas(
-                _keyed(codes), "node long, label string, times long, vector array<double>, keys array<long>"
+            same.select("node", "label", "length", "times", "vector").mapInPandas(
+                _keyed(codes), "node long, label string, length int, times long, vector array<double>, keys array<long>"
             ),
             "codes",
         )
-        entries = keyed.select("node", "label", F.posexplode("keys").alias("table", "key"))
+        entries = keyed.select("node", "label", "length", F.posexplode("keys").alias("table", "key"))
         buckets = kept(
-            entries.groupBy("label", "table", "key").agg(F.count("*").alias("size")).where("size > 1"), "buckets"
+            entries.groupBy("label", "length", "table", "key").agg(F.count("*").alias("size")).where("size > 1"), "buckets"
         )
         in_tile = F.greatest(F.lit(tile[0]), F.least(F.lit(tile[1]), F.ceil(F.col("size") / 16)))
         placed = (
-            entries.join(buckets, ["label", "table", "key"])
+            entries.join(buckets, ["label", "length", "table", "key"])
             .withColumn("tiles", F.ceil(F.col("size") / in_tile).cast("int"))
             .withColumn("own", F.pmod(F.xxhash64("node", "table"), F.col("tiles")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         )
         pairs = placed.join(keyed.select("node", "times", "vector", "keys"), "node").select(
             "label",
+            "length",
             "table",
             "key",
             F.least("own", "other").alias("left"),
@@ -233,7 +250,7 @@ def embedding_classes(
         entries_in_all = buckets.agg(F.sum(F.col("size") * F.ceil(F.col("size") / in_tile))).first()[0] or 0
         part = F.pmod(F.xxhash64(*_GROUP), F.lit(int(entries_in_all // PART) + 1))
         links = kept(
-            pairs.withColumn("part", part).groupBy("part").applyInPandas(_compared(near), "a long, b long, n long"), "links"
+            pairs.withColumn("part", part).groupBy("length", "part").applyInPandas(_compared(near), "a long, b long, n long"), "links"
         )
     if links is None:
         joined = classes.select("node", F.col("first").alias("component_id"), (F.col("times") - 1).alias("n_links"))

@@ -10,7 +10,7 @@ import pytest
 
 from llm import words
 from llm.common import common_values
-from llm.embedding_dedup import embedding_classes
+from llm.embedding_dedup import embedding_classes, learn
 from llm.graph import components
 from llm.jaccard_join import _set_runs, jaccard_classes
 from llm.substring_dedup import repeated_words
@@ -202,6 +202,34 @@ def test_embeddings_recall_and_no_wrong_links(spark):
     assert all(got[i][2] == (got[i][1] == i) for i in got)
 
 
+@pytest.mark.parametrize("exact", [1000, 100])
+def test_embeddings_of_several_lengths(spark, exact):
+    rng = np.random.default_rng(9)
+    vectors = []
+    for length, n in ((32, 300), (16, 120), (8, 2), (5, 2)):
+        vectors += [rng.standard_normal(length).astype(np.float32).tolist() for _ in range(n)]
+        vectors += near_group(rng, rng.standard_normal(length), max(2, n // 10), 0.05)
+    rows = [(i, v, i % 2) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.id: (r.n_links, r.component_id) for r in embedding_classes(df, exact=exact).collect()}
+    wanted = {i: (n, c) for i, n, c in brute_vectors(rows, 0.98)}
+    for length in (32, 16):
+        ids = [i for i, v, _ in rows if len(v) == length]
+        found, most = (sum(x[i][0] for i in ids) for x in (got, wanted))
+        assert 0.95 * most <= found <= most and most > 20 and (exact == 100 or found == most)
+    assert all(got[i] == wanted[i] for i, v, _ in rows if len(v) < 16)
+
+
+def test_vectors_without_good_codes_are_compared_with_all(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    assert learn(rng.standard_normal((50, 64)), 0.5, 0.999, 40, most=1) is None
+    monkeypatch.setattr("llm.embedding_dedup.learn", lambda *a, **b: None)
+    rows = [(i, v, 1) for i, v in enumerate(near_group(rng, rng.standard_normal(16), 200, 0.15))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted((r.id, r.n_links, r.component_id) for r in embedding_classes(df, exact=10, tile=(32, 64)).collect())
+    assert got == sorted(brute_vectors(rows, 0.98))
+
+
 def test_embeddings_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
