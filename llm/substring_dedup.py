@@ -11,6 +11,10 @@ stretches of an anchor go to one shard, so that each is searched in one shard on
 grows with the text. Copies of whole documents are one document, and equal stretches of a group
 of documents are sent once, so that a passage that a third of all documents have comes to its
 shard once for each group.
+
+Around a common passage each document has a context of its own. So a window whose anchor is common goes by the
+hash of all its words instead: it is a stretch by itself, equal wherever it is found. Hashes that are common in
+turn are taken as shared without gathering who has them.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import words
+from llm.common import SAMPLE, SHARE, common_values, member
 from llm.fm_index import least_owners
 from llm.graph import dealt, kept, packed, text_bytes, unpacked
 
@@ -73,6 +78,50 @@ def window_anchors(some: words.Words, width: int, run: int) -> tuple[np.ndarray,
     return owner[whole], whole, least[whole]
 
 
+def window_hashes(some: words.Words, width: int) -> np.ndarray:
+    """A hash of the ``width`` words from each place on."""
+    rolled = np.zeros(max(0, len(some.hashes) - width + 1), dtype=np.uint64)
+    for j in range(width):
+        rolled = rolled * words._BASE + some.hashes[j : j + len(rolled)]
+    return words.mixed(rolled ^ np.uint64(0x51ED270B))
+
+
+def window_keys(some: words.Words, width: int, run: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first word, key) of all windows: the anchor, or the hash of the window where that is ``common``."""
+    doc, at, key = window_anchors(some, width, run)
+    usual = member(key, common)
+    if usual.any():
+        key = np.where(usual, window_hashes(some, width)[at], key)
+    return doc, at, key
+
+
+def _distinct(doc: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((key, doc))
+    doc, key = doc[order], key[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
+    return key[new], doc[new]
+
+
+def _set_anchors(width: int, run: int):
+    def values(some: words.Words) -> tuple[np.ndarray, np.ndarray]:
+        doc, _, anchor = window_anchors(some, width, run)
+        return _distinct(doc, anchor)
+
+    return values
+
+
+def _set_hashes(width: int, run: int, common: np.ndarray):
+    """The hashes of the windows whose anchors are ``common``."""
+
+    def values(some: words.Words) -> tuple[np.ndarray, np.ndarray]:
+        doc, at, anchor = window_anchors(some, width, run)
+        usual = member(anchor, common)
+        return _distinct(doc[usual], window_hashes(some, width)[at[usual]])
+
+    return values
+
+
 def _numbers(column: pa.Array) -> np.ndarray:
     return column.cast(pa.int64()).fill_null(int(_NO_ID)).to_numpy(zero_copy_only=False)
 
@@ -111,8 +160,8 @@ class _Once:
         return out
 
 
-def _anchors(width: int, run: int, buckets: int, most: int = 500_000):
-    """Rows of a bucket of anchors: the anchors, and the documents that have them; about ``most`` at a time."""
+def _anchors(width: int, run: int, buckets: int, common: np.ndarray, given: np.ndarray, most: int = 500_000):
+    """Rows of a bucket of anchors: those not ``given``, and the documents that have them; about ``most`` at a time."""
 
     def deal(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         anchor, node = (np.concatenate([x[i] for x in parts]) for i in range(2))
@@ -135,10 +184,10 @@ def _anchors(width: int, run: int, buckets: int, most: int = 500_000):
             for first, last, some in words.chunks(batch.column(1)):
                 node = sequence_names(some)
                 new = once.new(node, ids[first:last])
-                doc, _, anchor = window_anchors(some, width, run)
+                doc, _, anchor = window_keys(some, width, run, common)
                 change = np.ones(len(doc), dtype=bool)
                 change[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1])
-                change &= new[doc]
+                change &= new[doc] & ~member(anchor, given)
                 parts.append((anchor[change], node[doc[change]]))
                 held += int(change.sum())
                 if held >= most:
@@ -197,12 +246,12 @@ def _grouped_texts(groups: int):
 _STRETCHES = "kind int, bucket int, source int, node long, id long, a binary, b binary, c binary, d binary, text string"
 
 
-def _stretches(width: int, run: int, shards: int):
+def _stretches(width: int, run: int, shards: int, common: np.ndarray, given: np.ndarray):
     """Of a group of documents: their stretches, kind 1, and, dealt out by shard, each different one, kind 0."""
 
     def find(key: tuple, texts: pd.DataFrame, anchors: pd.DataFrame) -> pd.DataFrame:
         columns = ["kind", "bucket", "source", "node", "id", "a", "b", "c", "d", "text"]
-        shared = np.unique(unpacked(anchors["anchors"], np.uint64))
+        shared = np.union1d(unpacked(anchors["anchors"], np.uint64), given)
         texts = texts.sort_values(["node", "id"]).drop_duplicates("node").reset_index(drop=True)
         rows: list[tuple] = []
         known: dict[bytes, int] = {}
@@ -210,7 +259,7 @@ def _stretches(width: int, run: int, shards: int):
         found: list[tuple[int, bytes]] = []
         column = pa.array(texts["text"], pa.string())
         for first, _, some in words.chunks(column) if len(shared) else ():
-            doc, at, anchor = window_anchors(some, width, run)
+            doc, at, anchor = window_keys(some, width, run, common)
             place = np.minimum(np.searchsorted(shared, anchor), len(shared) - 1)
             cut = np.ones(len(doc), dtype=bool)
             cut[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1])
@@ -319,12 +368,15 @@ def repeated_words(
     width: int = WIDTH,
     run: int = RUN,
     group_bytes: int = GROUP_BYTES,
+    common_share: float = SHARE,
+    common_sample: int = SAMPLE,
 ) -> DataFrame:
     """One row per document: id, n_words, n_removed and kept_sha256, the hash of the words that stay.
 
     Ids are whole numbers. A null text has no words. A null id comes after all others; rows with
     one id take nothing from each other. Documents of fewer than ``width`` words lose nothing. Words
-    are compared by 64-bit hashes of ``run`` words in anchors and by 32 bits each in stretches.
+    are compared by 64-bit hashes of ``run`` words in anchors, of all words in windows of a common
+    anchor, and by 32 bits each in stretches.
     """
     run = min(run, width)
     slim = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
@@ -333,14 +385,20 @@ def repeated_words(
     )
     volume = text_bytes(slim, "text")
     groups = max(8, volume // group_bytes + 1)
+    common = common_values(slim, "id", "text", _set_anchors(width, run), False, common_share, common_sample)
+    given = common
+    if len(common):
+        given = common_values(slim, "id", "text", _set_hashes(width, run, common), False, common_share, common_sample)
     shared = (
-        slim.mapInArrow(_anchors(width, run, groups), "bucket int, anchors binary, nodes binary")
+        slim.mapInArrow(_anchors(width, run, groups, common, given), "bucket int, anchors binary, nodes binary")
         .groupBy("bucket")
         .applyInPandas(_several(groups), "bucket int, anchors binary")
     )
     texts = slim.mapInArrow(_grouped_texts(groups), "bucket int, node long, id long, text string")
     stretches = kept(
-        texts.groupBy("bucket").cogroup(shared.groupBy("bucket")).applyInPandas(_stretches(width, run, groups), _STRETCHES),
+        texts.groupBy("bucket").cogroup(shared.groupBy("bucket")).applyInPandas(
+            _stretches(width, run, groups, common, given), _STRETCHES
+        ),
         "stretches",
     )
     shards = stretches.where("kind = 0").select("bucket", "source", "a", "b", "c", "d")

@@ -6,6 +6,8 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from llm import words
@@ -13,7 +15,7 @@ from llm.common import common_values
 from llm.embedding_dedup import embedding_classes, learn
 from llm.graph import components
 from llm.jaccard_join import _set_runs, jaccard_classes
-from llm.substring_dedup import repeated_words
+from llm.substring_dedup import _anchors, _stretches, repeated_words, window_anchors, window_hashes
 
 SMALL = "/root/testdata/sf0.001"
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -158,6 +160,25 @@ def test_repeated_words_with_few_kinds_of_words(spark):
     check_words(spark, rows, 6, run=3, group_bytes=300)
 
 
+def test_common_passages_are_not_gathered(spark):
+    rng = random.Random(12)
+    passage, line = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("p", 30), ("q", 9)))
+    own = lambda: " ".join(rng.choice("abcdefghij") + str(rng.randrange(99)) for _ in range(rng.randrange(3, 20)))
+    rows = [(i, f"{own()} {rng.choice([passage, line, own()])} {own()} {rng.choice(['', line, passage])}") for i in range(300)]
+    rows += [(300, rows[0][1]), (301, rows[1][1] + " end"), (None, passage)]
+    check_words(spark, rows, 8, group_bytes=1 << 10, common_share=0.1, common_sample=200)
+    check_words(spark, rows, 8, run=3, group_bytes=1 << 10, common_share=0.02, common_sample=200)
+    texts = pd.DataFrame({"node": range(300), "id": range(300), "text": [f"{own()} {passage} {own()}" for _ in range(300)]})
+    some = next(words.chunks(pa.array([passage])))[2]
+    none, common = np.zeros(0, np.uint64), np.unique(window_anchors(some, 8, 5)[2])
+    given = np.unique(window_hashes(some, 8))
+    out = _stretches(8, 5, 4, common, given)((0,), texts, pd.DataFrame({"anchors": [none.tobytes()]}))
+    sent = np.concatenate([np.frombuffer(x, np.int32) for x in out[out["kind"] == 0]["b"]])
+    assert len(sent) == 23 and set(sent.tolist()) == {8}  # each window of the passage once, none with a context
+    asked = _anchors(8, 5, 4, common, given)([pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([passage] * 2)], ["id", "text"])])
+    assert not list(asked)
+
+
 def test_repeated_words_odd_rows(spark, odd_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     got = sorted((repr(r.id), r.n_words, r.n_removed, r.kept_sha256) for r in repeated_words(odd_docs, width=8).collect())
