@@ -66,7 +66,7 @@ def toxicity_grades(labels: DataFrame) -> DataFrame:
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on each page's URL."""
-    return judged_urls(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+    return judged_urls(table(spark, sf_dir, "pages"), whole=True).withColumnRenamed("id", "page_id")
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -135,17 +135,20 @@ def judged_urls(
     rules: tuple[tuple[str, str], ...] = RULES,
     order: int = ORDER,
     hot_share: float = HOT_SHARE,
+    whole: bool = False,
 ) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, and score, null where a rule decided.
 
     The longest rule that fits wins; where none does, the models decide. Both models are counted
     over all ruled pages, a repeated page as often as it is there. Without allowed or without
     blocked pages the models say nothing and everything else is allowed. A null URL, or one
-    without ``://``, has an empty host and path and is judged by the models like any other.
+    without ``://``, has an empty host and path and is judged by the models like any other: by
+    host and path, or, if ``whole``, by all of the URL as it is written.
     """
     host, path = host_and_path(F.col(url))
-    text = F.concat("host", "path")
-    parsed = _ruled(pages.select(F.col(id).alias("id"), host.alias("host"), path.alias("path")), rules)
+    named = pages.select(F.col(id).alias("id"), host.alias("host"), path.alias("path"), F.coalesce(F.col(url), F.lit("")).alias("url"))
+    text = F.col("url") if whole else F.concat("host", "path")
+    parsed = _ruled(named, rules)
     hashes = [F.xxhash64(text).alias("h1"), F.xxhash64(text, F.lit(1)).alias("h2")]
     texts = kept(
         parsed.groupBy(text.alias("text")).agg(

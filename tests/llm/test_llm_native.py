@@ -98,6 +98,24 @@ def test_url_scores_against_brute_force(spark, hot_share):
     assert wrong(level) <= min(wrong(k / 64) for k in range(-400, 400)) + 1e-9
 
 
+def test_whole_urls_are_scored(spark):
+    urls = [u for _, u, *_ in URLS] + ["x://free/p?a=1", "x://free/p?b=22", "x://free/p#c", "mailto:someone"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.id: r for r in url_filter.judged_urls(df, whole=True).collect()}
+    texts = defaultdict(lambda: [0, 0])
+    for i, r in got.items():
+        n = texts[urls[i] or ""]
+        if r.rule:
+            n[RULES[r.rule] == "block"] += 1
+    wanted = brute_llr([(t, *n) for t, n in texts.items()], url_filter.ORDER)
+    free = [r for r in got.values() if r.rule is None]
+    assert all(r.score == pytest.approx(wanted[urls[r.id] or ""], abs=1e-5) for r in free)
+    assert len({got[i].score for i in range(len(urls) - 4, len(urls))}) == 4
+    assert {(r.id, r.host, r.path, r.rule) for r in got.values()} == {
+        (r.id, r.host, r.path, r.rule) for r in url_filter.judged_urls(df).collect()
+    }
+
+
 def shares(sizes, weights, most):
     """Shares by pouring: those at their bound stop, the rest take up what is left."""
     target, free, left = {}, set(sizes), float(sum(sizes.values()))
