@@ -11,7 +11,10 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm import bpe
+from llm.centroids import clustered
 from llm.decontamination import leaks
+from llm.divergence import source_divergence
 from llm.embedding_dedup import embedding_classes
 from llm.jaccard_join import jaccard_classes
 from llm.licenses import scan
@@ -124,6 +127,30 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_classes(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each document's ids, and of what they decode to."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents"), path), path)
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ in their words."""
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embeddings in eight clusters."""
+    return clustered(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
         op1_url_filter,
@@ -136,9 +163,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_decontamination,
         op9_chat_formatting,
         op10_embedding_dedup,
+        op11_bpe,
+        op12_source_divergence,
+        op13_centroid_clusters,
     )
 }
 
+
+def _rounds_sql(rounds: int = 10) -> str:
+    """Centroids and assignments of each round, one after the other."""
+    parts = []
+    for k in range(rounds + 1):
+        parts.append(f"""
+        d{k} AS MATERIALIZED (
+            SELECT x.r, c.cluster, sum((x.v - c.v) * (x.v - c.v))::BIGINT AS distance
+            FROM x JOIN c{k} c USING (i) GROUP BY ALL),
+        a{k} AS MATERIALIZED (
+            SELECT r, min(distance) AS distance, arg_min(cluster, {{'d': distance, 'c': cluster}}) AS cluster FROM d{k} GROUP BY r)""")
+        if k < rounds:
+            parts.append(f"""
+        m{k} AS (SELECT cluster, i, sum(v::HUGEINT) AS total, count(*) AS n
+                 FROM x JOIN a{k} USING (r) GROUP BY ALL),
+        c{k + 1} AS MATERIALIZED (
+            SELECT cluster, i, CASE WHEN n IS NULL THEN c.v
+                   ELSE ((total - ((total % n) + n) % n) // n)::BIGINT END AS v
+            FROM c{k} c LEFT JOIN m{k} USING (cluster, i))""")
+    return ",".join(parts)
+
+
 #: SQL for DuckDB where it can express a query.
 ORACLE: dict[str, str] = {
     "op2_source_mixing": r"""
@@ -205,6 +257,53 @@ ORACLE: dict[str, str] = {
             UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other)
         SELECT doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(other) AS component_id
         FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""",
+    "op12_source_divergence": r"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        terms AS (SELECT d, lang, source, unnest(w) AS term FROM texts),
+        vocabulary AS (
+            SELECT lang, term, count(*) AS n FROM terms GROUP BY ALL HAVING count(DISTINCT d) >= 10),
+        languages AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM vocabulary GROUP BY lang),
+        counted AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM terms JOIN vocabulary USING (lang, term) GROUP BY ALL),
+        totals AS (SELECT lang, source, sum(n) AS n FROM counted GROUP BY ALL),
+        groups AS (
+            SELECT DISTINCT t.lang, t.source, coalesce(totals.n, 0)::HUGEINT AS n, v
+            FROM texts t LEFT JOIN totals USING (lang, source) LEFT JOIN languages l ON l.lang = t.lang),
+        shares AS MATERIALIZED (
+            SELECT g.lang, g.source, term, coalesce(c.n, 0) AS n,
+                   (1 + 1000000000 * (coalesce(c.n, 0) + 2) // (g.n + 2 * g.v))::BIGINT AS p,
+                   (1 + 1000000000 * (vocabulary.n + 2)::HUGEINT // (l.n + 2 * g.v))::BIGINT AS q
+            FROM groups g JOIN vocabulary USING (lang) JOIN languages l USING (lang) LEFT JOIN counted c USING (lang, source, term)),
+        sums AS (
+            SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p))::BIGINT AS value
+            FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+        pairs AS (
+            SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0) AS value
+            FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+            LEFT JOIN sums ON sums.lang = x.lang AND sums.source = x.source AND sums.item = y.source),
+        both_parts AS (
+            SELECT * FROM pairs UNION ALL
+            SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value,
+               row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+        FROM both_parts QUALIFY part = 'pair' OR rank <= 10""",
+    "op13_centroid_clusters": f"""
+        WITH usable AS (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+        x AS MATERIALIZED (SELECT r, unnest(range(1, 65)) AS i, unnest(v) AS v FROM usable),
+        firsts AS (SELECT r, row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS cluster FROM usable),
+        c0 AS MATERIALIZED (SELECT cluster, i, v FROM x JOIN firsts USING (r) WHERE cluster < 8),
+        {_rounds_sql()},
+        sums AS (SELECT cluster, sum(distance)::BIGINT AS cluster_inertia FROM a10 GROUP BY cluster),
+        names AS (SELECT cluster, sha256(string_agg(v::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c10 GROUP BY cluster)
+        SELECT vec_id, cluster::INT AS cluster, distance, cluster_inertia, (SELECT sum(cluster_inertia) FROM sums)::BIGINT AS inertia,
+               centroid_sha256
+        FROM a10 JOIN usable USING (r) JOIN sums USING (cluster) JOIN names USING (cluster)""",
     "op10_embedding_dedup": """
         WITH RECURSIVE vectors AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
         links AS (

@@ -13,6 +13,11 @@ def shipped(spark):
     return ship(spark)
 
 
+@pytest.fixture(scope="session")
+def sf_dir():
+    return "/root/testdata/sf0.001"
+
+
 @pytest.fixture(scope="session")
 def odd_docs(spark):
     """Nulls in every column, empty and long texts, repeated rows, columns with clashing names."""

@@ -1,0 +1,89 @@
+"""The divergence audit against plain counting with Python's integers."""
+
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+from hypothesis import given
+from hypothesis import strategies as st
+
+from llm.divergence import PARTS, _runs, scaled, source_divergence
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, least, top):
+    count, docs, groups = defaultdict(Counter), defaultdict(Counter), set()
+    for text, lang, source in rows:
+        words = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+        lang, source = lang or "", source or ""
+        groups.add((lang, source))
+        count[lang, source].update(words)
+        docs[lang].update(set(words))
+    out = []
+    for lang in {g[0] for g in groups}:
+        kept = [t for t, n in docs[lang].items() if n >= least]
+        own = [g for g in groups if g[0] == lang]
+        share = {}
+        for g in own:
+            total = sum(count[g][t] for t in kept) + 2 * len(kept)
+            share[g] = {t: 1 + PARTS * (count[g][t] + 2) // total for t in kept}
+        whole = {t: sum(count[g][t] for g in own) for t in kept}
+        total = sum(whole.values()) + 2 * len(kept)
+        q = {t: 1 + PARTS * (whole[t] + 2) // total for t in kept}
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for g in own:
+            pairs = [(sum(f(share[g][t], share[h][t]) for t in kept), h[1]) for h in own if h != g]
+            terms = [(f(share[g][t], q[t]), t) for t in kept if count[g][t] and share[g][t] > q[t]]
+            for part, found, most in (("pair", pairs, len(pairs)), ("term", terms, top)):
+                order = sorted(found, key=lambda x: (-x[0], x[1].encode()))[:most]
+                out += [(lang, g[1], part, item, value, rank) for rank, (value, item) in enumerate(order, 1)]
+    return sorted(out)
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame([(*r, 1, "x") for r in rows], "text string, lang string, source string, term int, n string")
+
+
+def made(draw, n):
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120)] + ["é", "Über", "ABC", "\U0001f600x"]
+    out = []
+    for i in range(n):
+        some = draw.zipf(1.4, int(draw.integers(0, 60))) % len(words)
+        out.append((" ".join(words[k] for k in some), "en" if i % 3 else "fr", f"s{int(draw.integers(0, 9)) if i % 2 else 0}"))
+    return out
+
+
+def test_against_plain_counting_in_blocks_and_tiles(spark):
+    rows = made(np.random.default_rng(3), 400)
+    for block, tile in ((100_000, 128), (40, 3), (7, 1)):
+        found = source_divergence(docs_of(spark, rows), block=block, tile=tile)
+        assert sorted(tuple(r) for r in found.collect()) == brute(rows, 10, 10)
+
+
+def test_odd_rows(spark):
+    long = "Very LONG words, repeated 12 times. " * 20_000
+    rows = [
+        (None, None, None), ("", "", ""), ("a b", None, "x"), ("a\tA a1a", "", "x"), (None, "de", "x"), ("  12 ._", "de", "y"), ("z", "it", "only"),
+        (long, "en", "s1"), (long, "en", "s2"), ("very very few", "en", "s2"), ("words", "en", None), ("ÀÉ àé", "en", "s3"), ("ÀÉ", "en", "s3"),
+        ("ÀÉ", "en", "s3"),
+    ]
+    for least in (1, 2, 3):
+        found = source_divergence(docs_of(spark, rows), least=least, top=2)
+        assert sorted(tuple(r) for r in found.collect()) == brute(rows, least, 2)
+    empty = source_divergence(docs_of(spark, rows).limit(0))
+    assert empty.columns == ["lang", "source", "part", "item", "value", "rank"] and empty.count() == 0
+
+
+@given(st.integers(0, 10**17), st.integers(0, 10**17))
+def test_shares_are_exact(count, rest):
+    total = count + rest + 2
+    assert scaled(np.array([count]), total).tolist() == [1 + PARTS * (count + 2) // total]
+
+
+def test_runs():
+    import pandas as pd
+
+    frame = pd.DataFrame({"lang": "en", "block": 0, "source": "s", "place": [2, 3, 4, 7], "n": [5, 5, 1, 1]})
+    out = _runs(frame)
+    assert out["starts"][0].tolist() == [0, 2, 4, 5, 7, 8] and out["counts"][0].tolist() == [0, 5, 1, 0, 1, 0]

@@ -35,7 +35,7 @@ def test_twins(spark, name):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "mixing sources"
     ]
