@@ -121,7 +121,8 @@ def _compared(frame: pd.DataFrame) -> pd.DataFrame:
             p = shares[np.searchsorted(starts, bounds, "right") - 1]
             q = others_shares[np.searchsorted(others_starts, bounds, "right") - 1]
             value.append(int((divergence(p, q) * np.diff(np.append(bounds, size))).sum()))
-    return pd.DataFrame({"lang": first["lang"], "a": a, "b": b, "value": np.array(value, dtype=np.int64)})
+    texts = {name: pd.Series(x, dtype=object) for name, x in (("lang", [first["lang"]] * len(a)), ("a", a), ("b", b))}
+    return pd.DataFrame({**texts, "value": np.array(value, dtype=np.int64)})
 
 
 def _pairs(terms: DataFrame, groups: DataFrame, block: int, tile: int) -> DataFrame:
