@@ -13,7 +13,7 @@ from meterflow.operators.consumption import (
 from meterflow.operators.enrich import enrich_city, lookup_join
 from meterflow.operators.points import to_city_points, to_country_points, unpivot_fields
 from meterflow.operators.quality import detect_rollback, out_of_profile
-from meterflow.operators.reconcile import build_hourly_store, compact_latest, diff_aggregates, reconcile
+from meterflow.operators.reconcile import build_hourly_store, compact_latest, diff_aggregates, diff_streams, reconcile
 from meterflow.operators.series import (
     city_hourly_bars,
     city_map_latest,
@@ -26,6 +26,7 @@ from meterflow.operators.series import (
     select_series,
     since_local_midnight,
 )
+from meterflow.operators.stateful import live_city_map, live_hourly_bars, map_now, rollback_stream
 from meterflow.operators.windows import (
     flat_window,
     hourly_by_meter,
@@ -33,4 +34,5 @@ from meterflow.operators.windows import (
     total_consumption,
     windowed_sum,
     windowed_sum_sql,
+    without_repeats,
 )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterflow.functions.bands import PROFILE_BANDS, season_factor
 from meterflow.functions.clock import calendar_parts
+from meterflow.operators.stateful import rollback_stream
 from meterflow.schemas import BAND
 
 
@@ -20,9 +21,10 @@ def detect_rollback(
 ) -> DataFrame:
     """Reports that go backwards.
 
-    Without ``register``: negative deltas, row by row, also on a stream. With ``register``
-    (batch only): reports whose cumulative reading is below the one before it of the same
-    meter, which comes along as ``previous``. ``order_by`` begins with the time and should have
+    Without ``register``: negative deltas, row by row, also on a stream. With ``register``:
+    reports whose cumulative reading is below the one before it of the same
+    meter, which comes along as ``previous``; a stream keeps the last report of each meter
+    (:func:`~meterflow.operators.stateful.rollback_stream`). ``order_by`` begins with the time and should have
     no ties within a meter. Reports without a reading or a time have no place in the order
     and are left out.
 
@@ -33,6 +35,8 @@ def detect_rollback(
     """
     if register is None:
         return readings.where(F.col("activeDelta") < 0)
+    if readings.isStreaming:
+        return rollback_stream(readings, register, order_by)
     order = F.struct(*order_by)
     reports = readings.dropna(subset=[register, "meterID", *order_by]).withColumn(
         "_stretch", F.floor(F.unix_seconds(order_by[0]) / span)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.functions.clock import calendar_parts
+from meterflow.functions.clock import calendar_parts, duration
 from meterflow.schemas import HOURLY_STORE, TOTAL
 
 HOURLY_KEYS = ("meterID", "unix_window", "cityID")
@@ -93,13 +93,50 @@ def diff_aggregates(
         F.bool_or(is_actual).alias("_in_actual"),
         F.bool_or(~is_actual).alias("_in_expected"),
     )
+    return _differences(compared).select(*keys, "actual", "expected", "status")
+
+
+def _differences(compared: DataFrame) -> DataFrame:
     status = (
         F.when(~F.col("_in_expected"), "unexpected")
         .when(~F.col("_in_actual"), "missing")
         .when(~F.col("actual").eqNullSafe(F.col("expected")), "different")
     )
-    return (
-        compared.withColumn("status", status)
-        .where("status IS NOT NULL")
-        .select(*keys, "actual", "expected", "status")
+    return compared.withColumn("status", status).where("status IS NOT NULL")
+
+
+def diff_streams(
+    actual: DataFrame,
+    expected: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    watermark: int | str = "0 seconds",
+    scale: int = 5,
+    *,
+    value: str = TOTAL,
+) -> DataFrame:
+    """:func:`diff_aggregates` of two streams, as their results arrive.
+
+    ``time`` is an event time that belongs to the keys, as the end of a window. Each side brings a key once, as
+    an aggregate in append mode does. Keys that both sides have are compared when the second one
+    comes; a key that only one side has comes out once the watermark of both streams has passed
+    its time, and so does its state. The stream with the older times holds the other one's state back. Keys
+    without a time are compared with nothing. Rows with a time but no other keys may be sent on both sides as
+    a clock's ticks, so that the last keys come out too.
+    """
+    def side(df: DataFrame, name: str) -> DataFrame:
+        marked = df.withWatermark(time, duration(watermark))
+        named = [F.col(k).alias(f"_{name}_{k}") for k in (*keys, time)]
+        return marked.select(*named, F.round(value, scale).alias(name), F.lit(True).alias(f"_in_{name}"))
+
+    same = F.col(f"_actual_{time}") == F.col(f"_expected_{time}")
+    for key in keys:
+        same &= F.col(f"_actual_{key}").eqNullSafe(F.col(f"_expected_{key}"))
+    both = side(actual, "actual").join(side(expected, "expected"), same, "fullouter")
+    compared = both.select(
+        *[F.coalesce(f"_actual_{k}", f"_expected_{k}").alias(k) for k in (*keys, time)],
+        "actual",
+        "expected",
+        *[F.coalesce(f"_in_{name}", F.lit(False)).alias(f"_in_{name}") for name in ("actual", "expected")],
     )
+    return _differences(compared).select(*keys, time, "actual", "expected", "status")

@@ -72,6 +72,20 @@ def windowed_sum_sql(
     """)
 
 
+def without_repeats(
+    readings: DataFrame, keys: Sequence[str], watermark: int | str, *, time: str = "timestamp"
+) -> DataFrame:
+    """Each message of an at-least-once source once, known by its ``keys``.
+
+    On a stream a repetition is recognised as long as the watermark is not past the time of the first one that
+    came by more than ``watermark``, and so long its key is kept. Of repeated
+    messages any one stays, so they should be equal; null keys are equal to each other.
+    """
+    if not readings.isStreaming:
+        return readings.dropDuplicates(list(keys))
+    return readings.withWatermark(time, duration(watermark)).dropDuplicatesWithinWatermark(list(keys))
+
+
 def hourly_by_meter(readings: DataFrame, window: int | str = "1 hour", watermark: int | str = "30 minutes") -> DataFrame:
     """Consumption per meter, city and hour."""
     return windowed_sum(readings, ["meterID", "cityID"], window, watermark)

@@ -120,7 +120,49 @@ _city_hourly_bars = _with(
 )
 
 
+_rollback = """
+        SELECT * FROM (
+          SELECT event_id AS "readingID", user_id AS "meterID", value AS "activeDelta",
+                 lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous
+          FROM events
+        ) WHERE "activeDelta" < previous"""
+
+_city_map = _with(
+        _R, _C, _CITY_TOTALS, _DAY,
+        """windowed AS (
+          SELECT t.*, row_number() OVER (PARTITION BY "cityID" ORDER BY window_end DESC) AS age
+          FROM city_totals t, day WHERE window_end >= as_of - 43200 AND window_end < as_of
+        )""",
+        select="""SELECT CAST("cityID" AS VARCHAR) AS "cityID", "cityName", window_end AS "time",
+                         "aggregatedActiveDelta", round(latitude, 5) AS latitude, round(longitude, 5) AS longitude
+                  FROM windowed JOIN c USING ("cityID") WHERE age = 1""",
+    )
+
+_diff = _with(
+        _R,
+        """utc AS (
+          SELECT "meterID", "cityID", strftime(ts, '%Y-%m-%d') AS "date", round(sum(delta), 5) AS actual
+          FROM r GROUP BY ALL
+        )""",
+        """here AS (
+          SELECT "meterID", "cityID", strftime(ts + INTERVAL 1 HOUR, '%Y-%m-%d') AS "date",
+                 round(sum(delta), 5) AS expected
+          FROM r GROUP BY ALL
+        )""",
+        select="""SELECT *, CASE WHEN expected IS NULL THEN 'unexpected' WHEN actual IS NULL THEN 'missing'
+                                 ELSE 'different' END AS status
+                  FROM utc FULL JOIN here USING ("meterID", "cityID", "date")
+                  WHERE actual IS DISTINCT FROM expected""",
+    )
+
+
 ORACLE = {
+    "hourly_untimed": _with(
+        _R,
+        select="""SELECT "meterID", "cityID", sec // 3600 * 3600 AS window_start, sec // 3600 * 3600 + 3600 AS window_end,
+                         round(sum(delta), 5) AS "aggregatedActiveDelta"
+                  FROM r WHERE "readingID" % 7 <> 0 GROUP BY ALL""",
+    ),
     "hourly_by_meter": _hourly_by_meter,
     "total_by_city": _total_by_city,
     "total_by_city_all": _with(
@@ -259,16 +301,7 @@ ORACLE = {
                          arg_max(value, "time") AS value
                   FROM points GROUP BY ALL""",
     ),
-    "city_map_latest": _with(
-        _R, _C, _CITY_TOTALS, _DAY,
-        """windowed AS (
-          SELECT t.*, row_number() OVER (PARTITION BY "cityID" ORDER BY window_end DESC) AS age
-          FROM city_totals t, day WHERE window_end >= as_of - 43200 AND window_end < as_of
-        )""",
-        select="""SELECT CAST("cityID" AS VARCHAR) AS "cityID", "cityName", window_end AS "time",
-                         "aggregatedActiveDelta", round(latitude, 5) AS latitude, round(longitude, 5) AS longitude
-                  FROM windowed JOIN c USING ("cityID") WHERE age = 1""",
-    ),
+    "city_map_latest": _city_map,
     "city_series_today": _with(
         _R, _C, _CITY_TOTALS, _CITY_POINTS, _DAY,
         select="""SELECT "time", value AS "aggregatedActiveDelta" FROM points, day
@@ -293,31 +326,11 @@ ORACLE = {
           FROM (SELECT *, CASE WHEN month(ts) IN (1, 2, 3, 7, 8, 9) THEN 1.4 ELSE 1.0 END::DOUBLE AS f FROM events)
         )
         WHERE "activeDelta" < lower OR "activeDelta" > upper""",
-    "rollback": """
-        SELECT * FROM (
-          SELECT event_id AS "readingID", user_id AS "meterID", value AS "activeDelta",
-                 lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous
-          FROM events
-        ) WHERE "activeDelta" < previous""",
+    "rollback": _rollback,
     "negative_delta": """
         SELECT event_id AS "readingID", user_id AS "meterID", round(value - 20, 5) AS "activeDelta"
         FROM events WHERE value < 20""",
-    "diff_aggregates": _with(
-        _R,
-        """utc AS (
-          SELECT "meterID", "cityID", strftime(ts, '%Y-%m-%d') AS "date", round(sum(delta), 5) AS actual
-          FROM r GROUP BY ALL
-        )""",
-        """here AS (
-          SELECT "meterID", "cityID", strftime(ts + INTERVAL 1 HOUR, '%Y-%m-%d') AS "date",
-                 round(sum(delta), 5) AS expected
-          FROM r GROUP BY ALL
-        )""",
-        select="""SELECT *, CASE WHEN expected IS NULL THEN 'unexpected' WHEN actual IS NULL THEN 'missing'
-                                 ELSE 'different' END AS status
-                  FROM utc FULL JOIN here USING ("meterID", "cityID", "date")
-                  WHERE actual IS DISTINCT FROM expected""",
-    ),
+    "diff_aggregates": _diff,
     "stream_hourly": _hourly_by_meter,
     "stream_city": _total_by_city,
     "stream_country": _total_consumption,
@@ -331,6 +344,17 @@ ORACLE = {
         SELECT us // 3000000 * 3 AS window_start, us // 3000000 * 3 + 3 AS window_end,
                round(sum(value), 5) AS "aggregatedActiveDelta"
         FROM e, seen WHERE NOT late OR (us // 3000000 * 3 + 3) * 1000 > mark GROUP BY ALL""",
+    "stream_late_counts": """
+        WITH e AS (SELECT epoch_us(ts) AS us, day(ts) AS d, event_id % 10 = 0 AND day(ts) <= 24 AS late FROM events),
+             seen AS (SELECT max(us) // 1000 - 5000 AS mark FROM e WHERE NOT late AND d <= 24)
+        SELECT CAST(4 AS BIGINT) AS batch, (SELECT count(*) FROM e WHERE late) AS input_rows,
+               count(DISTINCT us // 3000000) AS late_windows
+        FROM e, seen WHERE late AND (us // 3000000 * 3 + 3) * 1000 <= mark""",
+    "stream_repeated": _hourly_by_meter,
+    "stream_rollback": _rollback,
+    "stream_city_map": _city_map,
+    "stream_hourly_bars": _city_hourly_bars,
+    "stream_diff": _diff,
     "stream_job_hourly": _hourly_by_meter,
     "stream_job_city": _total_by_city,
     "stream_job_country": _total_consumption,

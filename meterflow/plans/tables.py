@@ -54,6 +54,11 @@ def _as_readings(events: DataFrame, meters: DataFrame | None) -> DataFrame:
     )
 
 
+def as_readings(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
+    """Events, also of a stream, as readings with their city."""
+    return _as_readings(events, _meters(spark, sf_dir))
+
+
 def readings(
     spark: SparkSession,
     sf_dir: str,
@@ -66,24 +71,45 @@ def readings(
     return _as_readings(events, _meters(spark, sf_dir) if with_city else None)
 
 
-#: Files, and so micro-batches, that a stream of the given events comes in.
+#: Micro-batches that a stream of the given events comes in.
 SLICES = 4
+#: Rows of a file of such a stream, about.
+FILE_ROWS = 2_000_000
+
+
+def laid_out(df: DataFrame, number: Column, slices: int, name: str = "slices") -> DataFrame:
+    """``df`` as a stream that arrives in parts by ``number``, from 0 up to ``slices`` - 1, a micro-batch each.
+
+    Each part is written by one shuffle as as many files as its rows need, all parts as many as the
+    largest, and a micro-batch takes the files of a part.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    numbered = df.withColumn("_number", number.cast("int"))
+    largest = numbered.groupBy("_number").count().agg(F.max("count")).first()[0] or 0
+    files = -(-largest // FILE_ROWS) or 1
+    within = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files))
+    numbered.repartitionById(slices * files, (F.col("_number") * files + within).cast("int")).drop("_number").write.parquet(path)
+    order_files(spark, path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def by_time(df: DataFrame, time: str, slices: int = SLICES) -> Column:
+    """Parts of ``df`` that are equally long in time."""
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    first, last = df.agg(F.min(micros), F.max(micros)).first()
+    if first is None or first == last:
+        return F.lit(0)
+    return F.least(F.floor((micros - first) * slices / (last - first)), F.lit(slices - 1))
 
 
 def readings_stream(
     spark: SparkSession, sf_dir: str, with_city: bool = True, slices: int = SLICES, arrival: Column | None = None
 ) -> DataFrame:
-    """The same readings as a stream that arrives in ``slices`` parts, a micro-batch each.
-
-    The events are laid out in the shared folder in the order of their times, or of ``arrival``, by
-    one shuffle; each part is a file that is taken after the one before it.
-    """
-    path = scratch_path(spark, "event-slices")
+    """The same readings as a stream that arrives in ``slices`` parts, by their times or by the number ``arrival``."""
     events = table(spark, sf_dir, "events")
-    order = F.col("ts") if arrival is None else arrival
-    events.repartitionByRange(slices, order).write.parquet(path)
-    order_files(spark, path)
-    arriving = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
+    number = by_time(events, "ts", slices) if arrival is None else arrival
+    arriving = laid_out(events, number, slices, "event-slices")
     return _as_readings(arriving, _meters(spark, sf_dir) if with_city else None)
 
 

@@ -17,6 +17,12 @@ ADAPTIVE = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+#: State of streams on the executors' disks; operators with state of their own need it.
+LARGE_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def session_conf(
     *,
@@ -53,10 +59,7 @@ def session_conf(
     if initial:
         conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(int(initial))
     if large_state:
-        conf["spark.sql.streaming.stateStore.providerClass"] = (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        )
-        conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
+        conf.update(LARGE_STATE)
     if single_stateful_operator:
         conf["spark.sql.streaming.statefulOperator.allowMultiple"] = "false"
     if fair_scheduling:
@@ -93,13 +96,27 @@ def adaptive_execution(spark: SparkSession) -> Iterator[None]:
     Without it Spark ignores a ``rebalance`` hint: many small partitions would not be joined
     into few files, and a large folder would not be split.
     """
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
+    with _settings(spark, {"spark.sql.adaptive.enabled": "true"}):
+        yield
+
+
+@contextmanager
+def large_state(spark: SparkSession) -> Iterator[None]:
+    """The RocksDB state store for the streams that are started inside; they keep it."""
+    with _settings(spark, LARGE_STATE):
+        yield
+
+
+@contextmanager
+def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def register(df: DataFrame, name: str) -> DataFrame:
