@@ -6,8 +6,8 @@ What lies between certain cuts is encoded by itself and the results are put one
 
 White space is in no token of a tokenizer that drops it, so a text is first cut there into words,
 and every different word of a task is worked out once. A word goes through the tokenizer's own
-normalisation and splitting; each part of it is cut at its forced boundaries, and each fragment is
-merged by rank. Nothing is shuffled, and no document waits for another.
+normalisation and splitting (text of Latin characters through the same pattern, a piece of text at a time); each part of it is cut at its forced boundaries, and each fragment is merged by rank.
+Nothing is shuffled, and no document waits for another.
 """
 
 from __future__ import annotations
@@ -15,8 +15,10 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,31 @@ PIECE_BYTES = 1 << 20
 #: A longer word is also cut where its ASCII characters always part.
 LONG_WORD = 1 << 12
 #: Bytes of words and results that a task remembers before it begins anew.
-CACHE_BYTES = 32 << 20
+CACHE_BYTES = 64 << 20
+#: A fragment of more symbols is merged with a queue.
+SHORT = 24
 _SPACE = re.compile(rb"[ \t-\r]")
+#: Outside printable characters up to U+017F, which NFC leaves as they are and which are letters, numbers or neither for good.
+_UNUSUAL = re.compile("[^\t-\r -~\xa1-\u017f]")
+_LETTERS, _NUMBERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+
+
+def _usual_pattern(spec: dict) -> re.Pattern | None:
+    """The tokenizer's pattern for lower-cased text without unusual characters; None if it isn't made in the known way."""
+    lowers = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+    if spec.get("normalizer") != {"type": "Sequence", "normalizers": lowers}:
+        return None
+    match (spec["pre_tokenizer"] or {}).get("pretokenizers"):
+        case [{"type": "Split", "pattern": {"Regex": pattern}, "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}]:
+            return re.compile(pattern.replace(r"\p{L}", _LETTERS).replace(r"\p{N}", _NUMBERS))
+    return None
+
+
+def byte_characters() -> list[str]:
+    """The character that stands for each byte: the printable ones for themselves, the others for those from U+0100 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in own else next(others)) for b in range(256)]
 
 
 class _Results(dict):
@@ -78,23 +103,35 @@ class Encoder:
         self.normalizer, self.splitter, self.decoder = whole.normalizer, whole.pre_tokenizer, whole.decoder
         if self.splitter is None or [p for p, _ in self.splitter.pre_tokenize_str(" \t\n\r\x0b\x0c")]:
             raise ValueError("the tokenizer must drop white space")
-        self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, pair in enumerate(model["merges"]):
-            a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.ranks[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
+        merges = [pair if isinstance(pair, list) else pair.split(" ") for pair in model["merges"]]
+        self.ranks = {(self.vocab[a], self.vocab[b]): rank for rank, (a, b) in enumerate(merges)}
+        self.made = [self.vocab[a + b] for a, b in merges]
         self.inside = set()
         for token in self.vocab:
             body = token.removesuffix(self.suffix) if self.suffix else token
             self.inside.update(zip(body, body[1:], strict=False))
+        self.last = {i: self.vocab[t + self.suffix] for t, i in self.vocab.items() if len(t) == 1 and t + self.suffix in self.vocab}
+        self.usual = _usual_pattern(spec)
+        self.byte_characters = byte_characters()
         self.fragments = _Results(self._merged)
+        self.parts = _Results(self._usual_part)
         self.words = _Results(self._word)
         self._parting: np.ndarray | None = None
 
     def encode(self, text: bytes) -> bytes:
         """The ids of a text, four bytes each."""
-        found = [b"".join(map(self.words.__getitem__, piece.split())) for piece in _pieces(text)]
+        found = [self._piece(piece) for piece in _pieces(text)]
         return found[0] if len(found) == 1 else b"".join(found)
 
+    def _is_usual(self, text: str) -> bool:
+        return self.usual is not None and not _UNUSUAL.search(text) and not any(m in text for m in self.added)
+
+    def _piece(self, piece: bytes) -> bytes:
+        text = piece.decode("utf-8", "replace")
+        if self._is_usual(text):
+            return b"".join(map(self.parts.__getitem__, self.usual.findall(text.lower())))
+        return b"".join(map(self.words.__getitem__, piece.split()))
+
     def decode(self, ids: np.ndarray) -> str:
         """The tokens of the ids as the library joins them; an id without a token is left out."""
         found = map(self.tokens.get, ids.tolist())
@@ -104,14 +141,24 @@ class Encoder:
 
     def fragments_of(self, part: str) -> list[str]:
         """A part of a word cut at its forced boundaries; the last one has the end of the word."""
-        cuts = [i for i in range(1, len(part)) if (part[i - 1], part[i]) not in self.inside]
-        cuts = [0, *cuts, len(part)]
+        if all(map(self.inside.__contains__, zip(part, part[1:], strict=False))):
+            return [part + self.suffix]
+        cuts = [0, *[i for i, pair in enumerate(zip(part, part[1:], strict=False), 1) if pair not in self.inside], len(part)]
         out = [part[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         out[-1] += self.suffix
         return out
 
+    def _usual_part(self, part: str) -> bytes:
+        return self._part(part if part.isascii() else "".join([self.byte_characters[b] for b in part.encode()]))
+
+    def _part(self, part: str) -> bytes:
+        fragments = self.fragments_of(part)
+        return self._merged(fragments[0]) if len(fragments) == 1 else b"".join(map(self.fragments.__getitem__, fragments))
+
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
+        if self._is_usual(text):
+            return b"".join(map(self.parts.__getitem__, self.usual.findall(text.lower())))
         out = []
         for piece in self.special.split(text) if self.special else [text]:
             if piece in self.added:
@@ -125,7 +172,7 @@ class Encoder:
     def _plain(self, piece: str) -> bytes:
         if self.normalizer is not None:
             piece = self.normalizer.normalize_str(piece)
-        return b"".join(self.fragments[f] for part, _ in self.splitter.pre_tokenize_str(piece) for f in self.fragments_of(part))
+        return b"".join([self._part(part) for part, _ in self.splitter.pre_tokenize_str(piece)])
 
     def _shorter(self, piece: str) -> Iterator[str]:
         """A long word in pieces of at least ``LONG_WORD`` characters, cut only where two ASCII characters always part."""
@@ -154,19 +201,38 @@ class Encoder:
 
     def _merged(self, fragment: str) -> bytes:
         """A fragment's characters merged, the pair of least rank first, the leftmost of equals."""
-        body = fragment.removesuffix(self.suffix) if self.suffix else fragment
-        symbols = [self.vocab[c] for c in body[:-1]]
-        symbols.append(self.vocab[body[-1] + fragment[len(body) :]])
+        ends = self.suffix and fragment.endswith(self.suffix)
+        symbols = list(map(self.vocab.__getitem__, fragment[: -len(self.suffix)] if ends else fragment))
+        if ends:
+            symbols[-1] = self.last[symbols[-1]]
+        return array("i", self._by_scan(symbols) if len(symbols) <= SHORT else self._by_queue(symbols)).tobytes()
+
+    def _by_scan(self, symbols: list[int]) -> list[int]:
+        get, new, never = self.ranks.get, self.made, len(self.made)
+        found = list(map(get, zip(symbols, symbols[1:], strict=False), repeat(never)))
+        while found:
+            best = min(found)
+            if best == never:
+                break
+            at = found.index(best)
+            symbols[at : at + 2] = [new[best]]
+            del found[at]
+            if at < len(found):
+                found[at] = get((symbols[at], symbols[at + 1]), never)
+            if at:
+                found[at - 1] = get((symbols[at - 1], symbols[at]), never)
+        return symbols
+
+    def _by_queue(self, symbols: list[int]) -> list[int]:
         after = list(range(1, len(symbols) + 1))
         before = list(range(-1, len(symbols) - 1))
         end, ranks = len(symbols), self.ranks
-        queue = []
-        for i in range(end - 1):
-            if (symbols[i], symbols[i + 1]) in ranks:
-                queue.append((*ranks[symbols[i], symbols[i + 1]], i, symbols[i], symbols[i + 1]))
+        pairs = enumerate(zip(symbols, symbols[1:], strict=False))
+        queue = [(ranks[pair], i, *pair) for i, pair in pairs if pair in ranks]
         heapq.heapify(queue)
         while queue:
-            _, new, i, left, right = heapq.heappop(queue)
+            rank, i, left, right = heapq.heappop(queue)
+            new = self.made[rank]
             j = after[i]
             if symbols[i] != left or j >= end or symbols[j] != right:
                 continue
@@ -175,10 +241,10 @@ class Encoder:
             if after[i] < end:
                 before[after[i]] = i
                 if (found := ranks.get((new, symbols[after[i]]))) is not None:
-                    heapq.heappush(queue, (*found, i, new, symbols[after[i]]))
+                    heapq.heappush(queue, (found, i, new, symbols[after[i]]))
             if before[i] >= 0 and (found := ranks.get((symbols[before[i]], new))) is not None:
-                heapq.heappush(queue, (*found, before[i], symbols[before[i]], new))
-        return np.array([s for s in symbols if s >= 0], dtype=np.int32).tobytes()
+                heapq.heappush(queue, (found, before[i], symbols[before[i]], new))
+        return [s for s in symbols if s >= 0]
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:

@@ -48,11 +48,18 @@ def test_odd_texts(encoder, library, text):
     assert encoder.decode(np.array(expected)) == library.decode(expected, skip_special_tokens=False)
 
 
+def test_all_latin_characters(encoder, library):
+    """Each one by itself, inside a word, beside a digit and upper-cased."""
+    for code in range(0x180):
+        text = f"{chr(code)} a{chr(code)}b{chr(code)}{chr(code)} 1{chr(code)}2 '{chr(code)}s {chr(code).upper()}"
+        assert ours(encoder, text) == library.encode(text, add_special_tokens=False).ids, hex(code)
+
+
 PIECES = st.sampled_from(["'", "s", "'s", "re", "ll", "the", "QX", "1", "9", " ", "\n", "é", "é", "你", "!", "<|", "|>", "<|endoftext|>", "-", "_"])
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.one_of(st.text(max_size=60), st.lists(PIECES, max_size=30).map("".join)))
+@given(st.one_of(st.text(max_size=60), st.text(st.characters(max_codepoint=0x17F), max_size=60), st.lists(PIECES, max_size=30).map("".join)))
 def test_any_text(encoder, library, text):
     text = text.encode("utf-8", "replace").decode()
     assert ours(encoder, text) == library.encode(text, add_special_tokens=False).ids
@@ -79,9 +86,12 @@ def test_boundaries_are_forced(encoder):
 
 def test_cache_is_bounded(encoder, library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_BYTES", 5_000)
-    text = " ".join(f"word{i}" for i in range(300)) * 2
-    assert ours(encoder, text) == library.encode(text, add_special_tokens=False).ids
-    assert encoder.words.held <= 5_000 or len(encoder.words) == 0
+    for cache in (encoder.words, encoder.parts, encoder.fragments):
+        cache.clear()
+        cache.held = 0
+    for text in (" ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}{end}" for i in range(300)) * 2 for end in ("", "é")):
+        assert ours(encoder, text) == library.encode(text, add_special_tokens=False).ids
+    assert all(cache.held <= 5_000 for cache in (encoder.words, encoder.parts, encoder.fragments))
 
 
 def test_odd_rows(spark, library):
