@@ -4,6 +4,7 @@
 * ``hourly`` moves final hourly values from their topic into the hourly store,
 * ``points`` keeps the point table up to date from the city and country topics,
 * ``compact`` settles a closed month of the hourly store, or a day of points, into few files,
+* ``totals`` keeps the store's monthly totals by meter up to date,
 * ``consumers`` writes all consumers at or above the average of a year.
 """
 
@@ -24,7 +25,13 @@ from meterflow.schemas import CITY_MESSAGE, COUNTRY_MESSAGE, HOURLY_MESSAGE
 from meterflow.session import build_session, preview
 from meterflow.sources.files import write_snapshot
 from meterflow.sources.kafka import read_kafka_batch, read_kafka_stream
-from meterflow.sources.store import WriteReport, compact_hourly_store, read_hourly_store, write_hourly_store
+from meterflow.sources.store import (
+    WriteReport,
+    compact_hourly_store,
+    read_month_totals,
+    update_month_totals,
+    write_hourly_store,
+)
 from meterflow.streaming.job import BY_CITY, COUNTRY, HOURLY, TOPICS, StreamConfig, await_any, run_streams
 from meterflow.streaming.sinks import checkpointed, compact_points, triggered, upsert_points
 
@@ -72,12 +79,12 @@ def stream_hourly(
 ) -> StreamingQuery:
     """What is new in the hourly topic, into the store: goes on where the last run stopped.
 
-    A micro-batch is a run of the store, numbered like the batch, so a repeated batch says the
-    same again. A new checkpoint begins with number 0 and needs a new store, or ``how="max"``.
+    A micro-batch is a run of the store, and a repeated one has the number that it had before, so it says the
+    same again. Runs of this job, of :func:`run_hourly` and of other checkpoints may take turns: the store numbers them all.
     """
 
     def save(batch: DataFrame, number: int) -> None:
-        write_hourly_store(store_rows(batch, tz, how), store, run=number)
+        write_hourly_store(store_rows(batch, tz, how), store, label=f"{checkpoint}#{number}")
 
     return triggered(checkpointed(messages.writeStream, checkpoint), available_now).foreachBatch(save).start()
 
@@ -95,8 +102,8 @@ def run_points(spark: SparkSession, servers: str, path: str, checkpoint_root: st
 def run_consumers(
     spark: SparkSession, store: str, output: str, year: int | None, fmt: str = "parquet", how: str = "max", rows: int = 0
 ) -> None:
-    """All consumers at or above the average, written; ``rows`` of them are also printed."""
-    write_snapshot(above_average_consumers(read_hourly_store(spark, store, how), year), output, fmt)
+    """All consumers at or above the average, written; ``rows`` of them are also printed. Monthly totals are used where they are kept."""
+    write_snapshot(above_average_consumers(read_month_totals(spark, store, how), year), output, fmt)
     if rows:
         preview(spark.read.format(fmt).load(output), rows, truncate=False)
 
@@ -124,6 +131,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     compact.add_argument("--points")
     compact.add_argument("--day", help="YYYY-MM-DD, with --points")
     compact.add_argument("--how", default="max", choices=["max", "latest"])
+    totals = job("totals", "store")
+    totals.add_argument("--how", default="max", choices=["max", "latest"])
     consumers = job("consumers", "store", "output")
     consumers.add_argument("--year", type=int)
     consumers.add_argument("--format", default="parquet", choices=["json", "parquet"])
@@ -150,6 +159,8 @@ def main(argv: Sequence[str] | None = None) -> None:
             print(compact_hourly_store(spark, args.store, year, month, args.how))
         if args.points:
             print(compact_points(spark, args.points, args.day))
+    elif args.job == "totals":
+        print(update_month_totals(spark, args.store, args.how))
     else:
         run_consumers(spark, args.store, args.output, args.year, args.format, args.how, args.preview)
 

@@ -22,7 +22,14 @@ from meterflow.schemas import CITY_MESSAGE, COUNTRY_MESSAGE, HOURLY_MESSAGE, REA
 from meterflow.session import large_state, register
 from meterflow.shared import scratch_path, written_table
 from meterflow.sources.files import read_city_dim, read_json_dump, write_snapshot
-from meterflow.sources.store import compact_hourly_store, read_hourly_store, write_hourly_store
+from meterflow.sources.store import (
+    compact_hourly_store,
+    read_hourly_store,
+    read_month_totals,
+    settled_months,
+    update_month_totals,
+    write_hourly_store,
+)
 from meterflow.streaming import job
 from meterflow.streaming.progress import batch_counts
 from meterflow.streaming.sinks import (
@@ -204,6 +211,38 @@ def hourly_store_compacted(spark, sf_dir):
     return _windows(read_hourly_store(spark, path)).drop("date")
 
 
+def hourly_store_settled(spark, sf_dir):
+    """All months settled but the last, to which a run is added."""
+    path = scratch_path(spark, "settled-store")
+    partials = written_table(tables.hourly_partials(spark, sf_dir), scratch_path(spark, "partials"))
+    write_hourly_store(op.build_hourly_store(partials), path)
+    write_hourly_store(op.build_hourly_store(partials.where("emitted % 3600 < 2400")), path)
+    for month in (1, 2):
+        compact_hourly_store(spark, path, 2024, month)
+    if not settled_months(spark, path):
+        raise RuntimeError("no month is settled")
+    return _windows(read_hourly_store(spark, path)).drop("date")
+
+
+def yearly_from_totals(spark, sf_dir):
+    """Yearly totals from monthly ones, which are kept for all orders but those of one hour; these come late."""
+    path = scratch_path(spark, "orders-store")
+    start = F.unix_timestamp("date")
+    hist = tables.history(spark, sf_dir, with_city=False).withColumns({
+        "cityID": F.lit(0).cast("long"), "unix_window": F.struct(start.alias("start"), (start + 3600).alias("end"))
+    })
+    hours = written_table(
+        hist.groupBy("meterID", "cityID", "unix_window", "date", "hour", "year", "month").agg(F.sum(TOTAL).alias(TOTAL)),
+        scratch_path(spark, "orders-hours"),
+    )
+    late = (F.col("hour") == 23) & (F.col("year") == YEAR)
+    write_hourly_store(hours.where(~late), path)
+    update_month_totals(spark, path)
+    write_hourly_store(hours.where(late), path)
+    update_month_totals(spark, path)
+    return _rounded(op.yearly_by_meter(read_month_totals(spark, path)), "totalYearlyConsumption")
+
+
 def hourly_store_append(spark, sf_dir):
     """Final hourly values appended once, and one year of them read back from its directories."""
     path = scratch_path(spark, "appended-store")
@@ -639,11 +678,13 @@ QUERIES = {
         compact_latest,
         hourly_store_merge,
         hourly_store_compacted,
+        hourly_store_settled,
         hourly_store_append,
         json_snapshot,
         parquet_snapshot,
         city_table,
         yearly_by_meter,
+        yearly_from_totals,
         yearly_average,
         above_average,
         above_average_sql,

@@ -215,6 +215,7 @@ ORACLE = {
         SELECT CAST(user_id AS VARCHAR) AS key, arg_max(value, event_id) AS value FROM events GROUP BY ALL""",
     "hourly_store_merge": _reconciled,
     "hourly_store_compacted": _reconciled,
+    "hourly_store_settled": _reconciled,
     "hourly_store_append": f"""SELECT * FROM ({_reconciled}) WHERE "year" = 2024""",
     "json_snapshot": _hourly_by_meter,
     "parquet_snapshot": _total_consumption,
@@ -225,6 +226,9 @@ ORACLE = {
     "yearly_by_meter": _with(
         _H, select="""SELECT "year", "meterID", round(sum(total), 5) AS "totalYearlyConsumption" FROM h GROUP BY ALL"""
     ),
+    "yearly_from_totals": _with(
+        _H, select="""SELECT "year", "meterID", round(sum(total), 5) AS "totalYearlyConsumption" FROM h GROUP BY ALL"""
+    ),
     "yearly_average": _with(
         _H,
         select=f"""SELECT "year", {_half_up('avg(total)')} AS "averageYearlyConsumption"

@@ -7,6 +7,7 @@ import uuid
 from functools import lru_cache
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +76,23 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, in ascending order; none if it isn't there."""
+    fs, folder = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def claim_name(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; false if somebody else has made it before."""
+    fs, hadoop_path = _file_system(spark, path)
+    try:
+        return fs.createNewFile(hadoop_path)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+
+
 def order_files(spark: SparkSession, path: str) -> int:
     """Give the data files of a folder ascending times in the order of their names; how many there are.
 

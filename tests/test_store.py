@@ -4,7 +4,14 @@ from helpers import epoch, partials, rows
 from meterflow import operators as op
 from meterflow.sources import store
 from meterflow.sources.files import read_city_dim, read_json_dump, write_snapshot
-from meterflow.sources.store import compact_hourly_store, read_hourly_store, write_hourly_store
+from meterflow.sources.store import (
+    compact_hourly_store,
+    read_hourly_store,
+    read_month_totals,
+    settled_months,
+    update_month_totals,
+    write_hourly_store,
+)
 
 MAY = epoch("2022-05-31 22:00:00")
 JUNE = epoch("2022-06-01 00:00:00")
@@ -188,3 +195,97 @@ def test_snapshots_and_city_table(spark, tmp_path):
     csv = tmp_path / "cities.csv"
     csv.write_text("cityID,latitude,longitude,cityName\n1,44.77,17.19,Banja Luka\n")
     assert rows(read_city_dim(spark, str(csv))) == [(1, 44.77, 17.19, "Banja Luka")]
+
+
+def test_settled_months_are_not_grouped_again(spark, path):
+    for total in (2.0, 9.0):
+        write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, total), (2, 1, JUNE, total)])), path)
+    write_hourly_store(op.build_hourly_store(partials(spark, [(3, 1, MAY, 1.0)])), path, "append")
+    assert settled_months(spark, path) == []
+    before = values(read_hourly_store(spark, path))
+    compact_hourly_store(spark, path, 2022, 5)
+    assert settled_months(spark, path) == [(2022, 5)] and settled_months(spark, path, "latest") == []
+    assert values(read_hourly_store(spark, path)) == before
+    may = read_hourly_store(spark, path).where("year = 2022 AND month = 5")
+    may.collect()
+    final = may._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Exchange" not in final and "Aggregate" not in final
+    # a run that adds to the month takes the mark back, whichever job it is of
+    write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 11.0)])), path)
+    assert settled_months(spark, path) == []
+    assert (1, 1, MAY, 11.0) in values(read_hourly_store(spark, path))
+    assert len(values(read_hourly_store(spark, path))) == len(before)
+
+
+def test_a_month_that_is_added_to_while_it_is_compacted_is_not_settled(spark, path, monkeypatch):
+    write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 2.0)])), path)
+    write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 3.0)])), path)
+    remove, added = store.remove_path, []
+
+    def meanwhile(session, name):
+        if not added:
+            added.append(write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 7.0)])), path))
+        remove(session, name)
+
+    monkeypatch.setattr(store, "remove_path", meanwhile)
+    compact_hourly_store(spark, path, 2022, 5)
+    assert settled_months(spark, path) == []
+    assert values(read_hourly_store(spark, path)) == [(1, 1, MAY, 7.0)]
+
+
+def test_runs_of_all_jobs_are_numbered_in_one_order(spark, path, monkeypatch):
+    """A batch job's run, then micro-batches, then one of a driver whose clock is behind."""
+    run = lambda total, **options: write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, total)])), path, **options)
+    latest = lambda: values(read_hourly_store(spark, path, "latest"))
+    run(5.0)
+    run(3.0, label="checkpoint#0")
+    assert latest() == [(1, 1, MAY, 3.0)]
+    run(4.0)
+    run(3.0, label="checkpoint#0")  # the micro-batch is repeated: it says the same again
+    assert latest() == [(1, 1, MAY, 4.0)]
+    run(6.0, label="checkpoint#1")
+    monkeypatch.setattr(store.time, "time_ns", lambda: 1_000_000_000)
+    run(2.0)
+    assert latest() == [(1, 1, MAY, 2.0)]
+    with pytest.raises(ValueError, match="numbered by the store"):
+        run(1.0, run=7)
+
+
+def test_numbers_of_the_writer_are_not_mixed_with_the_stores(spark, path):
+    run = op.build_hourly_store(partials(spark, [(1, 1, MAY, 1.0)]))
+    write_hourly_store(run, path, run=3)
+    write_hourly_store(run, path, run=4)
+    write_hourly_store(run, path, "append")
+    with pytest.raises(ValueError, match="numbered by their writer"):
+        write_hourly_store(run, path)
+
+
+def test_month_totals_follow_the_store(spark, path):
+    def yearly():
+        return rows(op.yearly_by_meter(read_month_totals(spark, path)))
+
+    def direct():
+        return rows(op.yearly_by_meter(read_hourly_store(spark, path)))
+
+    write_hourly_store(op.build_hourly_store(partials(spark, [(1, 1, MAY, 2.0), (1, 1, MAY + 3600, 1.0), (2, 1, JUNE, 3.0)])), path)
+    assert yearly() == direct() == [(2022, 1, 3.0), (2022, 2, 3.0)]
+    assert update_month_totals(spark, path) == [(2022, 5), (2022, 6)]
+    assert update_month_totals(spark, path) == []
+    assert all("_totals" in name for name in read_month_totals(spark, path).inputFiles())
+    # a job that is lost before it is done is simply repeated
+    store.remove_path(spark, next(f"{path}/_totals/max/done/{n}" for n in store.child_names(spark, f"{path}/_totals/max/done")))
+    assert update_month_totals(spark, path) == [(2022, 5)] and yearly() == direct()
+    # a late run: June is summed from its hours until its totals are made anew, May is not read
+    write_hourly_store(op.build_hourly_store(partials(spark, [(2, 1, JUNE, 8.0), (1, 1, JUNE, 1.5)])), path)
+    assert yearly() == direct() == [(2022, 1, 4.5), (2022, 2, 8.0)]
+    from_hours = read_month_totals(spark, path).where("month = 5")
+    assert rows(from_hours) == [(1, 1, 3.0, 2022, 5)]
+    assert update_month_totals(spark, path) == [(2022, 6)]
+    assert yearly() == direct()
+    # compaction changes the files, not the answer
+    compact_hourly_store(spark, path, 2022, 6)
+    assert yearly() == direct()
+    assert update_month_totals(spark, path) == [(2022, 6)]
+    assert yearly() == direct() == [(2022, 1, 4.5), (2022, 2, 8.0)]
+    assert [len(store.child_names(spark, f"{path}/_totals/max/done"))] == [2]
+    assert len([n for n in store.child_names(spark, f"{path}/_totals/max/months") if n.startswith("stamp=")]) == 2
