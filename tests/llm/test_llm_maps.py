@@ -5,10 +5,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from llm import quality, words
-from llm.decontamination import decontaminated, edit_distance, leaks
+from llm.decontamination import Searcher, decontaminated, edit_distance, leaks
 from llm.queries import toxicity_grades
 
 SMALL = "/root/testdata/sf0.001"
@@ -84,6 +86,35 @@ def test_leaks_against_brute_force(spark):
     assert len(got) >= 0.95 * len(wanted) > 50
 
 
+@pytest.mark.parametrize("kind", ["replaced", "inserted", "deleted", "mixed"])
+def test_recall_at_the_bound_by_kind_of_edit(kind):
+    """Given items with as many edits as they may have, among other words."""
+    texts = pq.read_table("/root/testdata/sf0.1/benchmark.parquet").column("text").to_pylist()
+    searcher = Searcher(list(range(len(texts))), texts, similarity=0.8, recall=0.99, samples=2, walks=12, worst=0.75)
+    rng, docs, wanted = random.Random(kind), [], []
+    for case in range(400):
+        item = rng.randrange(len(texts))
+        w = split(texts[item])
+        for _ in range(searcher.edits[item]):
+            how = kind if kind != "mixed" else rng.choice(["replaced", "inserted", "deleted"])
+            at = rng.randrange(len(w))
+            if how == "inserted":
+                w.insert(max(1, at), f"z{rng.randrange(10**9)}")
+            elif how == "deleted":
+                del w[at]
+            else:
+                w[at] = f"z{rng.randrange(10**9)}"
+        around = [[f"v{rng.randrange(5000)}" for _ in range(20)] for _ in range(2)]
+        docs.append(" ".join([*around[0], *w, *around[1]]))
+        wanted.append((case, item))
+    found = set()
+    for first, _, some in words.chunks(pa.array(docs), lower=True):
+        found |= {(first + d, k) for d, k, *_ in searcher.hits(some)}
+    same = {t: k for k, t in reversed(list(enumerate(texts)))}  # of equal items any one will do
+    found = {(d, same[texts[k]]) for d, k in found}
+    assert sum((d, same[texts[k]]) in found for d, k in wanted) >= 0.99 * len(wanted)
+
+
 def test_given_leaks_and_clean_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
