@@ -37,10 +37,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_scratch(spark: SparkSession) -> int:
-    """Remove what this process has in the shared folder, once the results that read it are written; how many paths."""
-    paths = [path for path in _scratch if path_exists(spark, path)]
-    _scratch.clear()
+def scratch_mark() -> int:
+    """For :func:`drop_scratch`: how many paths there are by now."""
+    return len(_scratch)
+
+
+def drop_scratch(spark: SparkSession, since: int = 0, keep: str | None = None) -> int:
+    """Remove what this process has in the shared folder, once the results that read it are written; how many paths.
+
+    ``since`` spares what was there at that :func:`scratch_mark`, ``keep`` one path.
+    """
+    own = [path for path in _scratch[since:] if path != keep]
+    paths = [path for path in own if path_exists(spark, path)]
+    _scratch[since:] = [path for path in _scratch[since:] if path == keep]
     for path in paths:
         remove_path(spark, path)
     return len(paths)
