@@ -26,12 +26,14 @@ from pyspark.sql import functions as F
 
 from llm import words
 from llm.common import SAMPLE, SHARE, common_values, member
-from llm.graph import LINKS, components, dealt, forest, kept, packed, text_bytes, unpacked
+from llm.graph import LINKS, as_struct, components, dealt, forest, kept, packed, text_bytes, unpacked
 
 #: Runs that one task holds at a time.
 BUCKET_RUNS = 1_000_000
 #: Shared runs of the points of a region that one task joins by itself.
 REGION_RUNS = 1_000_000
+#: Up to so many documents that go are broadcast; more are joined by a shuffle.
+BROADCAST_KEYS = 1_000_000
 #: Pivots of a region that is split.
 PIVOTS = 32
 
@@ -59,7 +61,7 @@ def _points(width: int):
                 node.append(_node(runs, offsets))
             size, node = np.concatenate(size), np.concatenate(node)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size), pa.array(node, mask=size == 0)], ["id", "n_shingles", "node"]
+                [batch.column(0), batch.column(2), pa.array(size), pa.array(node, mask=size == 0)], ["id", "whole", "n_shingles", "node"]
             )
 
     return run
@@ -378,16 +380,16 @@ def _tiled(large: DataFrame, near: tuple[int, int], most: int) -> DataFrame:
 
 
 def jaccard_points(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
-    """(id, n_shingles, node): the size of each document's set and the name of the set, null for an empty one."""
-    return docs.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(
-        _points(width), f"id {dict(docs.dtypes)[id]}, n_shingles long, node long"
-    )
+    """(id, whole, n_shingles, node): a hash of each document's text, the size of its set and the set's name, null for an empty one."""
+    slim = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("whole"))
+    return slim.mapInArrow(_points(width), f"id {dict(docs.dtypes)[id]}, whole long, n_shingles long, node long")
 
 
-def jaccard_classes(
+def _linked(
     docs: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
+    points: DataFrame,
+    id: str,
+    text: str,
     width: int = 5,
     near: tuple[int, int] = (75, 100),
     region_runs: int = REGION_RUNS,
@@ -396,14 +398,7 @@ def jaccard_classes(
     common_share: float = SHARE,
     common_sample: int = SAMPLE,
 ) -> DataFrame:
-    """One row (id, n_shingles, component_id) per document, links as described in the module.
-
-    ``component_id`` is the smallest id that links reach. A document without words, empty or
-    null, has no set and is its own component. Rows with equal ids are one node as far as
-    their sets are equal; rows with a null id count as documents but never name a component
-    of others. Further columns of ``docs`` don't matter; an empty table gives none.
-    """
-    points = kept(jaccard_points(docs, id, text, width), "points")
+    """(node, component) of the points that have links."""
     expected = text_bytes(docs, text) // 6
     buckets = max(8, expected // bucket_runs + 1)
     blocks = "bucket int, runs binary, nodes binary, counts binary"
@@ -431,7 +426,19 @@ def jaccard_classes(
         .select(F.col("component").cast("string").alias("region"), "node", "n_shingles", "runs"),
         "members",
     )
-    linked = kept(components(_joined_regions(members, near, region_runs, pivots)), "linked")
+    return kept(components(_joined_regions(members, near, region_runs, pivots)), "linked")
+
+def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, **options) -> DataFrame:
+    """One row (id, n_shingles, component_id) per document, links as described in the module.
+
+    ``component_id`` is the smallest id that links reach. A document without words, empty or
+    null, has no set and is its own component. Rows with equal ids are one node as far as
+    their sets are equal; rows with a null id count as documents but never name a component
+    of others. Further columns of ``docs`` don't matter; an empty table gives none. ``options`` are those of
+    the join: ``near`` (the least Jaccard similarity as a fraction), and bounds for a task's work.
+    """
+    points = kept(jaccard_points(docs, id, text, width), "points")
+    linked = _linked(docs, points, id, text, width, **options)
     first = kept(points.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("first")), "first")
     named = kept(first.join(linked, "node"), "named")
     least = kept(named.groupBy("component").agg(F.min("first").alias("least")), "least")
@@ -444,3 +451,27 @@ def jaccard_classes(
     return points.join(of_node, "node", "left").select(
         "id", "n_shingles", F.coalesce("component_id", "id").alias("component_id")
     )
+
+
+def one_per_component(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, **options) -> DataFrame:
+    """One document of each component, all columns unchanged: that of the smallest id, then of the smallest set name.
+
+    Rows that repeat the chosen document stay once, any one of them. A row without an id stays only if no other in its
+    component has one. Documents without words are linked with nothing, so all stay. Documents are known by id and
+    text, so two texts of one id are two documents.
+    """
+    points = kept(jaccard_points(docs, id, text, width), "points")
+    linked = _linked(docs, points, id, text, width, **options)
+    own = points.where("node IS NOT NULL").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "node", "whole")
+    best = own.groupBy("component").agg(F.min(order).alias("best"), F.count("*").alias("n")).where("n > 1")
+    best = kept(best.select("component", F.col("best.id").alias("best_id"), F.col("best.whole").alias("best_whole")), "best")
+    chosen = F.col("id").eqNullSafe(F.col("best_id")) & (F.col("whole") == F.col("best_whole"))
+    keys = own.join(best, "component").groupBy("id", "whole").agg(F.bool_or(chosen).alias("chosen"), F.count("*").alias("n"))
+    # most documents are alone: what has to go, and what is there several times, is the smaller side
+    keys = kept(keys.where("NOT chosen OR n > 1").select(F.col("id").alias("_id"), F.col("whole").alias("_whole"), "chosen"), "keys")
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys.hint("merge")
+    same = F.col("_id").eqNullSafe(F.col(f"doc.{id}")) & (F.col("_whole") == F.xxhash64(f"doc.{text}"))
+    rows = as_struct(docs, "doc").join(keys, same, "left").where("chosen IS NULL OR chosen")
+    several = kept(rows.where("chosen").select("doc", "_id", "_whole"), "several").dropDuplicates(["_id", "_whole"])
+    return rows.where("chosen IS NULL").select("doc.*").unionByName(several.select("doc.*"))

@@ -14,7 +14,7 @@ from llm import words
 from llm.common import common_values
 from llm.embedding_dedup import embedding_classes, learn
 from llm.graph import components
-from llm.jaccard_join import _set_runs, jaccard_classes
+from llm.jaccard_join import _set_runs, jaccard_classes, one_per_component
 from llm.substring_dedup import _anchors, _stretches, repeated_words, window_anchors, window_hashes
 
 SMALL = "/root/testdata/sf0.001"
@@ -262,3 +262,13 @@ def test_embeddings_odd_rows(spark):
     got = sorted(((r.id, r.n_links, r.component_id) for r in embedding_classes(df).collect()), key=repr)
     assert got == sorted(brute_vectors(rows, 0.98), key=repr)
     assert embedding_classes(df.limit(0)).count() == 0
+
+
+def test_one_document_of_each_component(spark):
+    """Rows that share an id are documents of their own; of repeated rows one stays."""
+    a, b, c = ("the quick brown fox jumps over the lazy dog and runs on", "a wholly different text of some words here", "x y z")
+    rows = [(1, a, "p"), (1, a, "q"), (2, a, "p"), (2, b, "p"), (3, c, "p"), (None, c, "p"), (None, "only one without id", "p"), (4, None, "p"), (4, "", "p"), (4, "", "p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id string")
+    found = sorted(((r.doc_id, r.text) for r in one_per_component(docs).collect()), key=repr)
+    assert found == sorted([(1, a), (2, b), (3, c), (None, "only one without id"), (4, None), (4, ""), (4, "")], key=repr)
+    assert one_per_component(docs).columns == docs.columns and one_per_component(docs.limit(0)).count() == 0
