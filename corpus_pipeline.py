@@ -5,18 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from llm.decontamination import decontaminated
-from llm.graph import kept
-from llm.jaccard_join import jaccard_classes
+from llm.jaccard_join import one_per_component
 from llm.line_dedup import DENSE, deduplicated_lines
 from llm.mixing import mixed_documents
 from llm.quality import selected, train
 from llm.queries import ship, table, toxicity_grades
-
-#: Up to so many ids of near copies are broadcast; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+from meterflow.shared import drop_scratch, remove_path, scratch_mark, scratch_path, written_table
 
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +27,9 @@ def _lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document that names its class of near copies; rows without an id stay."""
+    """One document of each class of near copies."""
     ship(spark)
-    classes = jaccard_classes(docs)
-    gone = kept(classes.where("component_id <> id").select(F.col("id").alias("doc_id")).distinct(), "near-copies")
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone.hint("merge")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return one_per_component(docs)
 
 
 def _benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +56,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each result written to the shared folder before it is used."""
-    docs = table(spark, sf_dir, "documents")
+    """The stages over ``documents``, each result written to the shared folder before it is used.
+
+    Once it is written, the tables that the stage worked with are dropped, and the result before it.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = kept(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        since = scratch_mark()
+        result = written_table(stage(spark, docs, sf_dir), path := scratch_path(spark, name.replace(" ", "-")))
+        drop_scratch(spark, since, keep=path)
+        if before is not None:
+            remove_path(spark, before)
+        docs, before = result, path
     return docs
