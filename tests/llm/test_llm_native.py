@@ -341,12 +341,12 @@ CALLS = [
     (1, "c2", 2, "say", '{"text": "é\\n"}', ["c1"]),
     (1, "c3", 0, "add", '{"a": "x"}', ["c1", "c2", "gone", None]),
     (1, "c4", 4, "add", "not json", None),
-    (1, "c5", 5, "fly", "{}", ["c6"]),
+    (2, "c5", 5, "fly", "{}", ["c6"]),
     (2, "c6", 6, "say", '{"text": "t", "x": 1}', ["c5"]),
     (2, "c7", 7, "say", "{}", ["c6"]),
     (2, "c8", 8, "say", None, ["c8"]),
     (2, None, 9, "say", '{"text": null}', []),
-    (2, "c9", 9, "add", "[1]", ["c3"]),
+    (1, "c9", 9, "add", "[1]", ["c3"]),
     (1, "c1", 1, "add", '{"b": 1.5, "a": 2}', []),
 ]
 
@@ -356,8 +356,8 @@ def test_tool_calls(spark):
         CALLS, "conv_id long, call_id string, position long, tool string, arguments string, after array<string>"
     ).withColumn("level", F.lit("clash"))
     results = spark.createDataFrame(
-        [("c1", 5, "late"), ("c1", 3, "r1"), ("c2", 3, None), ("none", 1, "x"), (None, 1, "y")],
-        "call_id string, position long, content string",
+        [(1, "c1", 5, "late"), (1, "c1", 3, "r1"), (2, "c1", 1, "of another"), (1, "c2", 3, None), (1, "none", 1, "x"), (1, None, 1, "y")],
+        "conv_id long, call_id string, position long, content string",
     )
     got = sorted(
         ((r.call_id, r.level, r.status, r.problem, r.json) for r in tool_calls.linked_calls(calls, results, SCHEMAS).collect()), key=repr
@@ -379,19 +379,60 @@ def test_tool_calls(spark):
     assert empty.count() == 0 and tool_calls.linked_calls(calls, results.limit(0), SCHEMAS).count() == len(CALLS)
 
 
+def test_one_identifier_in_two_conversations(spark):
+    schema = "conv_id long, call_id string, position long, tool string, arguments string, after array<string>"
+    rows = [(k, i, p, "say", '{"text": "t"}', w) for k in (1, 2, None) for i, p, w in (("a", 1, ["b"] if k == 2 else []), ("b", 2, ["a"] if k != 2 else []))]
+    results = [(k, "a", 3, f"answer of {k}") for k in (1, 2, None)]
+    found = tool_calls.linked_calls(
+        spark.createDataFrame(rows, schema), spark.createDataFrame(results, "conv_id long, call_id string, position long, content string"), SCHEMAS
+    )
+    got = {(r.conv_id, r.call_id): (r.level, r.status, json.loads(r.json).get("result")) for r in found.collect()}
+    for k in (1, 2, None):
+        first, last = ("b", "a") if k == 2 else ("a", "b")
+        assert got[k, first][0] == 0 and got[k, last][0] == 1
+        assert got[k, "a"][1:] == ("ok", f"answer of {k}") and got[k, "b"][1:] == ("pending", None)
+
+
 def test_turns_as_calls(spark):
-    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    """Every kind of fault is in the given conversations, and each call is judged as by hand."""
+    turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
     rows = turns.collect()
-    got = {r.call_id: r for r in tool_calls.linked_calls(*tool_calls.turns_as_calls(turns), tool_calls.SCHEMAS).collect()}
-    text = {(r.conv_id, r.turn): r for r in rows}
-    assistant = [r for r in rows if r.role == "assistant"]
-    assert len(got) == len(assistant)
-    for r in assistant:
-        line = got[f"c{r.conv_id}-{r.turn}"]
-        reply = text.get((r.conv_id, r.turn + 1))
-        assert line.problem is None and line.status == ("ok" if reply and reply.role != "assistant" else "pending")
-        depth, turn = 0, r.turn
-        while turn % 8 >= 2 and (r.conv_id, turn - 2) in text and text[r.conv_id, turn - 2].role == "assistant":
-            depth, turn = depth + 1, turn - 2
-        assert line.level == depth
-        assert (json.loads(line.json).get("result")) == (reply.text if line.status == "ok" else None)
+    found = tool_calls.linked_calls(*tool_calls.turns_as_calls(turns), tool_calls.SCHEMAS).collect()
+    got = {(r.conv_id, r.position): r for r in found}
+    fault = {(r.conv_id, r.turn): len(r.text) % tool_calls.FAULTS if r.text is not None else -1 for r in rows}
+    mine = {(r.conv_id, r.turn): r for r in rows if r.role == "assistant"}
+    assert len(found) == len(mine) == len(got)
+    name = {k: k[1] - 2 if fault[k] == 7 else k[1] for k in mine}
+    waits, answers = {}, {}
+    for k in mine:
+        after = [k[1]] if fault[k] == 6 else [k[1] - 2] if k[1] % 8 >= 2 else []
+        waits.setdefault((k[0], name[k]), set()).update((k[0], t) for t in after)
+    for r in rows:
+        if r.role != "assistant":
+            to = (r.conv_id, -r.turn if fault[r.conv_id, r.turn] == 8 else r.turn - 1)
+            answers[to] = min(answers.get(to, (r.turn, r.text)), (r.turn, r.text))
+    level, left = {}, {k: {w for w in v if w in waits} for k, v in waits.items()}
+    at = 0
+    while ready := [k for k, v in left.items() if not v]:
+        level.update(dict.fromkeys(ready, at))
+        left = {k: v - set(ready) for k, v in left.items() if v}
+        at += 1
+    problems = set()
+    for k, r in mine.items():
+        line, key, f = got[k], (k[0], name[k]), fault[k]
+        searches, field = k[1] % 4 < 2, "turn" if k[1] % 4 < 2 else "words"
+        problem = {
+            0: f"{field} is not integer", 1: f"missing {field}", 2: "unexpected spare", 3: "not JSON", 4: "unknown tool", 5: "not an object"
+        }.get(f)
+        status = "circular" if key not in level else "invalid" if problem else "ok" if key in answers else "pending"
+        assert (line.call_id, line.level, line.problem, line.status) == (f"call_{name[k]}", level.get(key), problem, status)
+        body = json.loads(line.json)
+        assert body.get("result") == (answers[key][1] if key in answers else None)
+        if problem is None:
+            number = k[1] if searches else len((r.text or "").split(" "))
+            expected = {field: number, **({"query": r.text or ""} if searches else {"role": r.role})}
+            assert json.loads(body["arguments"]) == expected
+            assert body["arguments"] == json.dumps(expected, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+        problems.add(problem or status)
+    assert {"not JSON", "unknown tool", "not an object", "unexpected spare", "missing turn", "missing words", "turn is not integer"} <= problems
+    assert {"words is not integer", "circular", "ok", "pending"} <= problems and max(level.values()) >= 3
