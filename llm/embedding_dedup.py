@@ -32,8 +32,8 @@ from llm.graph import components, forest, kept
 FIT_ROWS = 10_000
 #: Bits of a code at most.
 CODE_BITS = 64
-#: Classes of a length up to which all are compared with all.
-EXACT = 1_000
+#: Vectors of a length up to which there is nothing to learn codes from: all are compared with all.
+EXACT = 32
 #: Entries of a tile: at least, and at most.
 TILE = (256, 4096)
 #: Entries that are compared in one call, about, small groups of them together.

@@ -138,7 +138,9 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc, feature = feature_sets(some)
             bounds = np.searchsorted(doc, np.arange(len(some) + 1))
             sets += [feature[a:b].astype(np.int32).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(sets, pa.binary())], ["grade", "features"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(2), batch.column(1), pa.array(sets, pa.binary())], ["rated", "grade", "features"]
+        )
 
 
 def train(
@@ -148,7 +150,8 @@ def train(
 
     ``ratings`` (id, grade): the lowest grade of an id counts, null ids and grades don't. Of
     more than ``rows`` rated ids those with the smallest hashes are used, so that memory on the
-    driver is bounded; the sample is sent to the tasks and only its documents are read closely.
+    driver is bounded; the sample is sent to the tasks and only its documents are read closely. Where
+    several texts have one id, that with the smallest hash is rated, so that reruns agree.
     """
     graded = (
         ratings.select(F.col(id).alias("rated"), F.col(grade).cast("long").alias("grade"))
@@ -160,11 +163,13 @@ def train(
     texts = docs.select(F.col(id).alias("rated"), F.col(text).alias("text"))
     found = (
         texts.join(F.broadcast(sample), "rated")
-        .select("text", "grade")
-        .mapInArrow(_sampled, "grade long, features binary")
-        .limit(2 * rows)
+        .groupBy("rated", "grade")
+        .agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least"))
+        .select("least.text", "grade", "rated")
+        .mapInArrow(_sampled, f"rated {sample.schema['rated'].dataType.simpleString()}, grade long, features binary")
         .collect()
     )
+    found = [r[1:] for r in sorted(found, key=lambda r: r[0])]
     grades = np.array([r[0] for r in found], dtype=np.int64)
     if len(set(grades.tolist())) < 2:
         return None

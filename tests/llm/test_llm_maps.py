@@ -1,5 +1,6 @@
 """Decontamination and the classifier."""
 
+import math
 import random
 import re
 
@@ -165,6 +166,51 @@ def test_thresholds_are_ordered_and_held_out_grades_right():
     assert (kept == good).mean() > 0.97
 
 
+def plain_loss(w, cuts, sets, y, penalty):
+    """The mean negative log-likelihood of the cumulative-link model with its ridge, document by document."""
+    total = 0.0
+    for some, grade in zip(sets, y, strict=True):
+        score = sum(w.get(f, 0.0) for f in some)
+        at_least = [1.0, *[1 / (1 + math.exp(c - score)) for c in cuts], 0.0]
+        total -= math.log(max(at_least[grade] - at_least[grade + 1], 1e-12))
+    return total / len(y) + penalty * sum(x * x for x in w.values()) / (2 * len(y))
+
+
+def test_fit_is_the_minimum_of_the_plain_likelihood():
+    """Against the plain model on a small sample: no weight or threshold can be moved to a clearly better fit."""
+    rng = random.Random(4)
+    sets, y = [], []
+    for _ in range(400):
+        grade = rng.choice([0, 1, 2])
+        some = {rng.randrange(40) for _ in range(12)} | {50 + grade} if rng.random() < 0.8 else {rng.randrange(40) for _ in range(12)} | {50}
+        sets.append(some)
+        y.append(grade)
+    doc = np.repeat(np.arange(400), [len(s) for s in sets])
+    model = quality.fit(doc, np.array([f for s in sets for f in sorted(s)]), np.array(y), support=5, evidence=2.0, rounds=2000)
+    w = {int(f): float(model.weights[f]) for f in np.flatnonzero(model.weights)}
+    cuts = model.thresholds.tolist()
+    assert {50, 51, 52} <= set(w) and cuts[0] < cuts[1]
+    best = plain_loss(w, cuts, sets, y, 0.2)
+    for f in w:
+        for step in (-0.05, 0.05):
+            assert plain_loss({**w, f: w[f] + step}, cuts, sets, y, 0.2) > best - 2e-4
+    for k in range(2):
+        for step in (-0.05, 0.05):
+            moved = [c + step * (i == k) for i, c in enumerate(cuts)]
+            assert plain_loss(w, moved, sets, y, 0.2) > best - 2e-4
+    score = sum(w.get(f, 0.0) for f in sets[0])
+    assert np.allclose(model.tails(np.array([score]))[0], [1 / (1 + math.exp(c - score)) for c in cuts])
+
+
+def test_training_is_the_same_again(spark):
+    """Ids with several texts: whatever the order of the rows, one of them is rated."""
+    rows = [(i % 30, f"text {i} with words {i % 7}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ratings = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, grade int")
+    a, b = (quality.train(d, ratings) for d in (docs.repartition(1), docs.orderBy(F.desc("text")).repartition(5)))
+    assert (a.weights == b.weights).all() and (a.thresholds == b.thresholds).all()
+
+
 def test_selection_keeps_columns_and_odd_rows(spark, odd_docs):
     ratings = spark.createDataFrame([(1, 2), (3, 0), (3, 2), (None, 1), (4, None)], "doc_id long, grade int")
     model = quality.train(odd_docs, ratings)

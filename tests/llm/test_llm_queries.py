@@ -34,6 +34,31 @@ def test_twins(spark, name):
     assert canonical(df.columns, df.collect()) == canonical([d[0] for d in found.description], found.fetchall())
 
 
+def test_embedding_twin_with_near_pairs(spark, tmp_path, monkeypatch):
+    """The given embeddings have no near pair at this size; with planted ones the codes, not a comparison of all, find the links."""
+    import numpy as np
+
+    from llm import embedding_dedup
+
+    draw = np.random.default_rng(3)
+    rows = [(i, i % 4, v) for i, v in enumerate(draw.normal(size=(400, 64)))]
+    for k in range(150):
+        base = rows[draw.integers(0, len(rows))]
+        rows.append((1000 + k, base[1] if k % 9 else 7, base[2] + draw.normal(size=64) * draw.choice([0.0, 0.02, 0.05, 0.12, 0.3])))
+    learnt = []
+    monkeypatch.setattr(embedding_dedup, "learn", lambda *a, f=embedding_dedup.learn, **b: learnt.append(f(*a, **b)) or learnt[-1])
+    table = [(i, label, [float(np.float32(x)) for x in v]) for i, label, v in rows]
+    spark.createDataFrame(table, "vec_id long, label int, embedding array<float>").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    df = QUERIES["op10_embedding_dedup"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    found = con.execute(ORACLE["op10_embedding_dedup"])
+    wanted = canonical([d[0] for d in found.description], found.fetchall())
+    assert canonical(df.columns, df.collect()) == wanted
+    assert len(learnt) == 1 and learnt[0] is not None and len(learnt[0].tables) > 1
+    assert df.where("n_links > 0").count() > 100
+
+
 def test_names():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
