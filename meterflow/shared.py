@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -85,6 +87,19 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+_JOB = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}")
+
+
+def files_digest(files: set[str]) -> str:
+    """A digest of the names of files. Every write makes new names, so what is known of the files can be kept under it."""
+    return hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()
+
+
+def of_one_job(files: set[str]) -> bool:
+    """Whether files that Spark wrote come from one and the same write."""
+    return len({found[0] for name in files if (found := _JOB.search(name))}) == 1
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the files and folders in a folder, in ascending order; none if it isn't there."""
     fs, folder = _file_system(spark, path)

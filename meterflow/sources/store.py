@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from meterflow.operators.reconcile import HOURLY_KEYS
 from meterflow.schemas import HOURLY_STORE, TOTAL
 from meterflow.session import adaptive_execution
-from meterflow.shared import child_names, claim_name, file_names, path_exists, remove_path
+from meterflow.shared import child_names, claim_name, file_names, files_digest, of_one_job, path_exists, remove_path
 
 PARTITIONS = ("year", "month", "cityID")
 #: Number of the run that brought a row; null for rows that are kept as they are.
@@ -45,7 +45,6 @@ _GIVEN, _STAMP = "given", "stamp"
 _CLAIMS = 100
 _MONTH_TOTALS = "meterID LONG, cityID LONG, aggregatedActiveDelta DOUBLE, year INT, month INT"
 _IN_MONTH = re.compile(r"/year=(\d+)/month=(\d+)/(.*)$")
-_JOB = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}")
 
 Month = tuple[int, int]
 
@@ -81,12 +80,8 @@ def _month_files(spark: SparkSession, path: str) -> dict[Month, set[str]]:
     return dict(months)
 
 
-def _digest(files: set[str]) -> str:
-    return hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()
-
-
 def _mark(path: str, month: Month, how: str, files: set[str]) -> str:
-    return f"{path.rstrip('/')}/{_MARKS}/{how}-{month[0]}-{month[1]}-{_digest(files)}"
+    return f"{path.rstrip('/')}/{_MARKS}/{how}-{month[0]}-{month[1]}-{files_digest(files)}"
 
 
 def _in_months(months: list[Month]) -> Column:
@@ -215,7 +210,7 @@ def compact_hourly_store(spark: SparkSession, path: str, year: int, month: int,
         remove_path(spark, name)
     left = _month_files(spark, path).get((year, month), set())
     # only if all that is new comes from this job, and all that was there before is gone or was not read
-    if len({_JOB.search(name)[0] for name in left - others}) == 1 and not left & read_ and _all_as_is(spark, path, year, month, others & left):
+    if of_one_job(left - others) and not left & read_ and _all_as_is(spark, path, year, month, others & left):
         claim_name(spark, _mark(path, (year, month), how, left))
     return len(names)
 
@@ -231,7 +226,7 @@ def _all_as_is(spark: SparkSession, path: str, year: int, month: int, files: set
 
 def _stamps(spark: SparkSession, path: str) -> dict[Month, str]:
     """A name of each month with its digest."""
-    return {m: f"{m[0]}-{m[1]}-{_digest(files)}" for m, files in _month_files(spark, path).items()}
+    return {m: f"{m[0]}-{m[1]}-{files_digest(files)}" for m, files in _month_files(spark, path).items()}
 
 
 def _totals_base(path: str, how: str) -> str:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from collections.abc import Sequence
 from datetime import date, datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from meterflow.functions.clock import as_instant
 from meterflow.schemas import POINT
 from meterflow.session import adaptive_execution
-from meterflow.shared import file_names, path_exists, remove_path
+from meterflow.shared import child_names, claim_name, file_names, files_digest, of_one_job, path_exists, remove_path
 
 # Order of the rows that batches left behind: later generations, then later batches.
 BATCH_ORDER = ("generation", "batch")
@@ -159,15 +162,36 @@ def _newest(stored: DataFrame) -> DataFrame:
     )
 
 
+_SETTLED = "_settled"
+_IN_DAY = re.compile(r"/date=([^/]+)/([^/]+)$")
+
+
+def _day_files(spark: SparkSession, path: str) -> dict[str, set[str]]:
+    days = defaultdict(set)
+    for name in spark.read.schema(_STORED_POINT).parquet(path).inputFiles():
+        if found := _IN_DAY.search(unquote(name)):
+            days[found[1]].add(found[2])
+    return days
+
+
+def settled_days(spark: SparkSession, path: str) -> list[date]:
+    """The days that were compacted and to which no batch has added since."""
+    marks = set(child_names(spark, f"{path.rstrip('/')}/{_SETTLED}"))
+    if not marks:
+        return []
+    return sorted(date.fromisoformat(d) for d, files in _day_files(spark, path).items() if f"{d}-{files_digest(files)}" in marks)
+
+
 def read_points(
     spark: SparkSession, path: str, start: datetime | str | None = None, stop: datetime | str | None = None
 ) -> DataFrame:
     """The newest version of every stored point in ``[start, stop)``.
 
     The range opens the folders of its days (in UTC) only; points without a day are never left out
-    for it.
+    for it. Settled days (:func:`settled_days`) are read as they are; in the others the newest version is looked for.
     """
     stored = spark.read.schema(_STORED_POINT).parquet(path)
+    settled = settled_days(spark, path)
     unknown = F.col("date").isNull()
     if start is not None:
         start = as_instant(start)
@@ -175,14 +199,19 @@ def read_points(
     if stop is not None:
         stop = as_instant(stop)
         stored = stored.where((F.col("time") < F.lit(stop)) & (unknown | (F.col("date") <= F.lit(stop.date()))))
-    return _newest(stored).select(*POINT.fieldNames())
+    columns = POINT.fieldNames()
+    if not settled:
+        return _newest(stored).select(*columns)
+    closed = ~unknown & F.col("date").isin(settled)
+    return _newest(stored.where(~closed)).select(*columns).unionByName(stored.where(closed).select(*columns))
 
 
 def compact_points(spark: SparkSession, path: str, day: date | str) -> int:
     """Settle one day into few files; the number of files that it replaced.
 
     The settled points are added, with the numbers of their batches, before the files that were
-    read are removed: the table says the same at every moment, also if the job is lost in between.
+    read are removed: the table says the same at every moment, also if the job is lost in between. Then the day is
+    marked as settled, under a digest of its files, which any later batch changes.
     """
     day = date.fromisoformat(day) if isinstance(day, str) else day
     if not path_exists(spark, f"{path.rstrip('/')}/date={day}"):
@@ -193,4 +222,7 @@ def compact_points(spark: SparkSession, path: str, day: date | str) -> int:
         _add_points(_newest(spark.read.schema(_STORED_POINT).option("basePath", path).parquet(*names)), path)
     for name in names:
         remove_path(spark, name)
+    left = _day_files(spark, path).get(day.isoformat(), set())
+    if of_one_job(left) and not left & {name.rsplit("/", 1)[1] for name in names}:
+        claim_name(spark, f"{path.rstrip('/')}/{_SETTLED}/{day.isoformat()}-{files_digest(left)}")
     return len(names)

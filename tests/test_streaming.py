@@ -180,6 +180,14 @@ def test_stored_points_are_replaced_by_later_batches(spark, feed, tmp_path):
     assert compact_points(spark, path, "2024-01-01") == 2
     assert len(list((tmp_path / "points" / "date=2024-01-01").glob("*.parquet"))) == 1
     assert seen(read_points(spark, path)) == before
+    assert [str(d) for d in sinks.settled_days(spark, path)] == ["2024-01-01"]
+    settled = read_points(spark, path, stop="2024-01-02T00:00:00").where("date_trunc('day', time) = '2024-01-01'")
+    assert len(settled.collect()) == 2
+    # a later batch that adds to the day takes the mark back
+    frame = spark.read.schema(sinks._STORED_POINT).parquet(path).where("date = '2024-01-01'").limit(1)
+    sinks._add_points(frame, path)
+    assert sinks.settled_days(spark, path) == [] and seen(read_points(spark, path)) == before
+    assert compact_points(spark, path, "2024-01-01") == 2 and len(sinks.settled_days(spark, path)) == 1
     assert seen(read_points(spark, path, stop="2024-01-02T00:00:00")) == [("A", T0 + 3, 1.5), ("B", T0 + 3, 7.0)]
     assert compact_points(spark, path, "1999-01-01") == 0
 
