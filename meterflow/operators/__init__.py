@@ -12,7 +12,13 @@ from meterflow.operators.consumption import (
 )
 from meterflow.operators.enrich import enrich_city, lookup_join
 from meterflow.operators.points import to_city_points, to_country_points, unpivot_fields
-from meterflow.operators.quality import detect_rollback, out_of_profile
+from meterflow.operators.quality import (
+    detect_rollback,
+    learn_bounds,
+    month_profiles,
+    out_of_learnt_profile,
+    out_of_profile,
+)
 from meterflow.operators.reconcile import build_hourly_store, compact_latest, diff_aggregates, diff_streams, reconcile
 from meterflow.operators.series import (
     city_hourly_bars,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterflow.functions.bands import PROFILE_BANDS, season_factor
+from meterflow.functions.bands import PROFILE_BANDS, daypart, season, season_factor
 from meterflow.functions.clock import calendar_parts
 from meterflow.operators.stateful import rollback_stream
 from meterflow.schemas import BAND
@@ -81,3 +81,48 @@ def out_of_profile(
         .where((F.col("activeDelta") < F.col("lower")) | (F.col("activeDelta") > F.col("upper")))
         .select(*readings.columns, "lower", "upper")
     )
+
+
+#: Size of a sketch. With it a learnt bound's rank is wrong by 0.1 % at most (at 99 % confidence); up to so many readings of a month
+#: and part of the day it is exact.
+SKETCH_K = 4096
+
+
+def month_profiles(readings: DataFrame, tz: str = "UTC", k: int = SKETCH_K) -> DataFrame:
+    """(year, month, daypart, sketch): the distribution of one month's deltas in each part of the day.
+
+    A row is some tens of kilobytes however many readings it stands for, and sketches are combined before
+    they are shuffled. Keep the rows of closed months: :func:`learn_bounds` merges them, so history is not
+    read again to learn from it. Readings without a time or value are left out.
+    """
+    dated = calendar_parts(readings.dropna(subset=["timestamp", "activeDelta"]), "timestamp", tz, ["year", "month", "hour"])
+    return dated.groupBy("year", "month", daypart("hour").alias("daypart")).agg(
+        F.kll_sketch_agg_double("activeDelta", k).alias("sketch")
+    )
+
+
+def learn_bounds(profiles: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
+    """(season, daypart, lower, upper): the deltas between which readings usually lie, from the profiles of any months.
+
+    At most four seasons (of quarters) by four parts of the day.
+    """
+    merged = profiles.groupBy(season("month", "quarter").alias("season"), "daypart").agg(
+        F.kll_merge_agg_double("sketch").alias("sketch")
+    )
+    return merged.select(
+        "season",
+        "daypart",
+        F.kll_sketch_get_quantile_double("sketch", F.lit(float(low))).alias("lower"),
+        F.kll_sketch_get_quantile_double("sketch", F.lit(float(high))).alias("upper"),
+    )
+
+
+def out_of_learnt_profile(readings: DataFrame, bounds: DataFrame, tz: str = "UTC") -> DataFrame:
+    """Readings outside the bounds of their season and part of the day, which come along; those without bounds are not judged."""
+    dated = calendar_parts(readings, "timestamp", tz, ["hour", "month"])
+    keyed = dated.withColumns({"season": season("month", "quarter"), "daypart": daypart("hour")})
+    return (
+        keyed.join(F.broadcast(bounds), ["season", "daypart"])
+        .where((F.col("activeDelta") < F.col("lower")) | (F.col("activeDelta") > F.col("upper")))
+        .select(*readings.columns, "lower", "upper")
+    )

@@ -418,6 +418,17 @@ def out_of_profile(spark, sf_dir):
     return _rounded(flagged.withColumn("timestamp", F.unix_timestamp("timestamp")), "lower", "upper")
 
 
+def out_of_learnt_profile(spark, sf_dir):
+    """Readings outside what is usual in their part of the day, by kept profiles of the months.
+
+    A profile is exact up to the size of its sketch, here 65,535 readings of a month and part of the day.
+    """
+    readings = tables.readings(spark, sf_dir, with_city=False)
+    profiles = written_table(op.month_profiles(readings, k=65_535), scratch_path(spark, "profiles"))
+    flagged = op.out_of_learnt_profile(readings, op.learn_bounds(profiles, 0.02, 0.98))
+    return flagged.withColumn("timestamp", F.unix_timestamp("timestamp"))
+
+
 def rollback(spark, sf_dir):
     """Event values read as a register."""
     readings = tables.readings(spark, sf_dir, with_city=False)
@@ -706,6 +717,7 @@ QUERIES = {
         city_series_today,
         country_series_today,
         out_of_profile,
+        out_of_learnt_profile,
         rollback,
         negative_delta,
         diff_aggregates,

@@ -330,6 +330,15 @@ ORACLE = {
           FROM (SELECT *, CASE WHEN month(ts) IN (1, 2, 3, 7, 8, 9) THEN 1.4 ELSE 1.0 END::DOUBLE AS f FROM events)
         )
         WHERE "activeDelta" < lower OR "activeDelta" > upper""",
+    "out_of_learnt_profile": """
+        WITH e AS (SELECT event_id AS "readingID", user_id AS "meterID", CAST(epoch_us(ts) // 1000000 AS BIGINT) AS "timestamp",
+                          value AS "activeDelta", (month(ts) - 1) // 3 AS quarter,
+                          CASE WHEN hour(ts) < 7 THEN 0 WHEN hour(ts) < 9 THEN 1 WHEN hour(ts) < 17 THEN 2 ELSE 3 END AS part
+                   FROM events),
+             ordered AS (SELECT quarter, part, list_sort(list("activeDelta")) AS v, count(*) AS n FROM e GROUP BY ALL),
+             bounds AS (SELECT quarter, part, v[ceil(0.02::DOUBLE * n)::INT] AS lower, v[ceil(0.98::DOUBLE * n)::INT] AS upper FROM ordered)
+        SELECT "readingID", "meterID", "timestamp", "activeDelta", lower, upper
+        FROM e JOIN bounds USING (quarter, part) WHERE "activeDelta" < lower OR "activeDelta" > upper""",
     "rollback": _rollback,
     "negative_delta": """
         SELECT event_id AS "readingID", user_id AS "meterID", round(value - 20, 5) AS "activeDelta"

@@ -117,3 +117,35 @@ def test_small_tables_are_broadcast(spark):
     joined = lookup_join(df, dim, "k")
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == df.where("k < 90").count()
+
+
+def test_learnt_bounds_are_within_their_error(spark):
+    """Against exact quantiles: the rank of a bound is wrong by less than the sketch's size promises."""
+    n = 60_000
+    day = "timestamp_seconds(1704067200 + (id * 37) % 2592000)"  # January 2024
+    readings = spark.range(n).selectExpr(f"{day} AS timestamp", "pow(hash(id) / 2147483648.0D, 3) AS activeDelta", "id AS meterID")
+    profiles = op.month_profiles(readings, k=200).unionByName(op.month_profiles(readings.where("false"), k=200))
+    bounds = {r.daypart: r for r in op.learn_bounds(profiles, 0.05, 0.95).collect()}
+    assert set(bounds) == {"night", "morning", "working", "evening"} and {r.season for r in bounds.values()} == {"Winter"}
+    hours = {"night": (0, 6), "morning": (7, 8), "working": (9, 16), "evening": (17, 23)}
+    for part, (first, last) in hours.items():
+        values = sorted(r[0] for r in readings.where(f"hour(timestamp) BETWEEN {first} AND {last}").select("activeDelta").collect())
+        for bound, rank in ((bounds[part].lower, 0.05), (bounds[part].upper, 0.95)):
+            at = sum(v <= bound for v in values) / len(values)
+            assert abs(at - rank) < 0.02
+    flagged = op.out_of_learnt_profile(readings, op.learn_bounds(profiles, 0.05, 0.95)).count()
+    assert abs(flagged / n - 0.1) < 0.03
+
+
+def test_profiles_of_months_merge(spark):
+    """Two months learnt one by one give the bounds of both together; odd readings are left out or not judged."""
+    rows_ = [(f"2024-0{m}-10 {h:02d}:00:00", float(v)) for m in (1, 2) for h in (3, 12) for v in range(50 * (m - 1), 50 * m)]
+    rows_ += [(None, 1.0), ("2024-01-10 03:00:00", None)]
+    readings = spark.createDataFrame(rows_, "t string, activeDelta double").selectExpr("cast(t as timestamp) timestamp", "activeDelta")
+    parts = [op.month_profiles(readings.where(f"month(timestamp) = {m}")) for m in (1, 2)]
+    bounds = op.learn_bounds(parts[0].unionByName(parts[1]), 0.1, 0.9)
+    assert sorted((r.season, r.daypart, r.lower, r.upper) for r in bounds.collect()) == [("Winter", "night", 9.0, 89.0), ("Winter", "working", 9.0, 89.0)]
+    flagged = op.out_of_learnt_profile(readings, bounds)
+    assert flagged.count() == 2 * (9 + 10) and flagged.columns == ["timestamp", "activeDelta", "lower", "upper"]
+    summer = spark.createDataFrame([("2024-07-10 03:00:00", 1e9)], "t string, activeDelta double").selectExpr("cast(t as timestamp) timestamp", "activeDelta")
+    assert op.out_of_learnt_profile(summer, bounds).count() == 0
