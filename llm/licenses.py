@@ -1,9 +1,12 @@
-"""Licence scan: cosine of lines and of whole files to templates, and inheritance by directory.
+"""Licence scan: TF-IDF cosine of headers, blocks and whole files to templates, and inheritance by directory.
 
-Each line of a text, and the whole text, is a sparse vector of its words' counts times their
-inverse document frequency over all documents; templates are vectors likewise. A file's own
-licence is the template nearest to one of its lines. A file without one inherits from the
-licence file in the nearest directory above it.
+The lines of a text, its blocks (lines without an empty one between them, as a header wrapped over several lines) and the
+whole text are sparse vectors of their words' counts times their inverse document frequency over all documents;
+templates are vectors likewise. A file's own licence is the template nearest to one of its units. A file without
+one inherits from the licence file in the nearest directory above it.
+
+A unit that is near a template has one of the template's strong words, by Cauchy and Schwarz; units without a
+strong word of any template are never made into vectors.
 """
 
 from __future__ import annotations
@@ -16,25 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.graph import kept
+from llm.license_texts import TEMPLATES
 
-#: Short notices by licence, fixed values.
-TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
-    "MIT": ["Released under the MIT License.", "Licensed under the MIT License."],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3."],
-    "LGPL-3.0": ["This library is licensed under the GNU Lesser General Public License, version 3."],
-    "BSD-3-Clause": ["Licensed under the BSD 3-Clause License."],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
-}
 #: The least cosine of a licence.
 NEAR = 0.8
-#: Weight of a word that no template has, that of one which is in every document.
-OTHER = 1.0
 _TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 _LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
+_BLANK_LINE = r"\n[ \t\r*#/;-]*\n"
 
 
 def _tokens(text: Column) -> Column:
@@ -45,76 +36,29 @@ def _words(text: str) -> Counter:
     return Counter(re.findall(_TOKEN, text.lower()))
 
 
-def _frequencies(docs: DataFrame, text: str, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
-    """The documents, and for each word of the templates how many have it."""
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    found = docs.select(F.explode_outer(F.array_intersect(_tokens(F.coalesce(F.col(text), F.lit(""))), known)).alias("word"))
-    counts = dict(found.groupBy("word").count().where("word IS NOT NULL").collect())
-    return docs.count(), {w: counts.get(w, 0) for w in vocabulary}
-
-
-def _table(weights: dict[str, float]) -> Column:
-    return F.create_map(*[F.lit(x) for p in sorted(weights.items()) for x in p])
-
-
-class _Vectors:
-    """Templates as unit vectors, and the cosine of a column of words to each."""
-
-    def __init__(self, templates: dict[str, list[str]], idf: dict[str, float], near: float) -> None:
-        self.idf, self.units = _table(idf), []
-        strong: set[str] = set()
-        for name, texts in templates.items():
-            for text in texts:
-                raw = {w: n * idf[w] for w, n in _words(text).items()}
-                norm = math.sqrt(sum(x * x for x in raw.values()))
-                unit = {w: x / norm for w, x in raw.items()}
-                self.units.append((name, _table(unit)))
-                # by Cauchy and Schwarz a line with none of these words stays below ``near``
-                left = 0.0
-                for w, x in sorted(unit.items(), key=lambda p: (p[1], p[0])):
-                    left += x * x
-                    if left >= near * near:
-                        strong.add(w)
-        self.strong = F.array(*[F.lit(w) for w in sorted(strong)])
-        self.vocabulary = F.array(*[F.lit(w) for w in sorted(idf)])
-
-    def _weight(self, word: Column, table: Column, other: float) -> Column:
-        return F.coalesce(F.try_element_at(table, word), F.lit(other))
-
-    def bag(self, tokens: Column, known: Column) -> Column:
-        """(counts of the templates' words, sum of the squared counts of all others), from words and those ``known``."""
-        counts = F.transform(
-            F.array_distinct(known),
-            lambda w: F.struct(w.alias("w"), F.size(F.filter(known, lambda x: x == w)).cast("double").alias("n")),
-        )
-
-        def add(state: Column, word: Column) -> Column:
-            # one more of the same word adds (n + 1) squared less n squared
-            run = F.when(state.word == word, state.run + 1).otherwise(F.lit(1.0))
-            return F.struct(word.alias("word"), run.alias("run"), (state.squares + 2 * run - 1).alias("squares"))
-
-        start = F.struct(F.lit("").alias("word"), F.lit(0.0).alias("run"), F.lit(0.0).alias("squares"))
-        others = F.array_sort(F.filter(tokens, lambda x: ~F.array_contains(self.vocabulary, x)))
-        return F.struct(counts.alias("counts"), F.aggregate(others, start, add, lambda s: s.squares).alias("others"))
-
-    def known(self, tokens: Column) -> Column:
-        return F.filter(tokens, lambda x: F.array_contains(self.vocabulary, x))
-
-    def best(self, bag: Column) -> Column:
-        """(cosine, name) of the nearest template; the first in name order of equally near ones."""
-
-        def total(of) -> Column:
-            return F.aggregate(bag.counts, F.lit(0.0), lambda a, p: a + of(p.n * self._weight(p.w, self.idf, OTHER), p.w))
-
-        norm = F.sqrt(total(lambda x, w: x * x) + OTHER * OTHER * bag.others)
-        every = [
-            F.struct(
-                (-F.round(F.try_divide(total(lambda x, w, u=u: x * self._weight(w, u, 0.0)), norm), 9)).alias("far"),
-                F.lit(name).alias("name"),
-            )
-            for name, u in self.units
-        ]
-        return F.array_min(F.array(*every))
+def _idf(n: int, count: Column | int) -> Column | float:
+    return F.log((n + 1) / (count + 1)) + 1 if isinstance(count, Column) else math.log((n + 1) / (count + 1)) + 1
+
+
+def _template_units(templates: dict[str, list[str]], idf: dict[str, float], near: float) -> tuple[list[dict[str, float]], list[str], list[str]]:
+    """The templates as unit vectors, their licences, and the strong words of all of them.
+
+    The rarest words are strong: those without which less than ``near`` of a template's length is left.
+    """
+    units, names, strong = [], [], set()
+    for name, texts in templates.items():
+        for text in texts:
+            raw = {w: n * idf[w] for w, n in _words(text).items()}
+            norm = math.sqrt(sum(x * x for x in raw.values()))
+            units.append({w: x / norm for w, x in raw.items()})
+            names.append(name)
+            left = 1.0
+            for w in sorted(units[-1], key=lambda w: (-idf[w], w)):
+                if left < near * near:
+                    break
+                strong.add(w)
+                left -= units[-1][w] ** 2
+    return units, names, sorted(strong)
 
 
 def scan(
@@ -129,37 +73,67 @@ def scan(
 
     ``license`` is the file's own or else that of the licence file in the nearest directory above,
     its own included; ``from_directory`` tells which. A licence file is one that is named so and
-    has a licence, or whose whole text is as near to a template. Of several in a directory the
-    first by path, then by licence, counts. Null and empty texts have no licence of their own; a
-    null path has no directory; equal rows are reported each.
+    has a licence, or whose whole text is as near to a template. Of equally near templates the first by name counts, of several
+    licence files in a directory the first by path, then by licence. Null and empty texts have no licence of their own; a
+    null path has no directory; equal rows are reported each; texts of any length are read whole; an empty table gives
+    no rows and other columns don't matter.
     """
+    spark = docs.sparkSession
     templates = TEMPLATES if templates is None else templates
     vocabulary = sorted({w for texts in templates.values() for t in texts for w in _words(t)})
     slim = docs.select(F.col(id).alias("id"), F.col(path).alias("path"), F.col(text).alias("text"))
-    n, counts = _frequencies(slim, "text", vocabulary)
-    vectors = _Vectors(templates, {w: math.log((n + 1) / (c + 1)) + 1 for w, c in counts.items()}, near)
-    lines = F.filter(
-        F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), _tokens), lambda t: F.arrays_overlap(t, vectors.strong)
+    words = slim.select(F.explode(F.array_distinct(_tokens(F.col("text")))).alias("word"))
+    counts = kept(words.groupBy("word").agg(F.count("*").alias("docs")), "document-frequencies")
+    n = slim.count()
+    found = dict(counts.where(F.col("word").isin(vocabulary)).collect())
+    idf = {w: _idf(n, found.get(w, 0)) for w in vocabulary}
+    vectors, names, strong = _template_units(templates, idf, near)
+    weights = spark.createDataFrame(
+        [(w, k, x) for k, unit in enumerate(vectors) for w, x in sorted(unit.items())], "word string, template int, weight double"
     )
+    strong = F.array(*[F.lit(w) for w in strong])
+    has = lambda t: F.arrays_overlap(t, strong)
+    body = F.coalesce(F.col("text"), F.lit(""))
+    lines = F.filter(F.transform(F.split(body, "\n"), _tokens), has)
     # The one-element explodes are fences: without them the optimizer would copy a step into each of its uses.
-    found = slim.select("id", "path", "text", F.explode(F.array(lines)).alias("lines"))
-    tokens = F.when(F.size("lines") > 0, _tokens(F.col("text")))
-    hits = found.select("id", "path", "lines", F.explode(F.array(tokens)).alias("tokens"))
-    hits = hits.select("*", F.explode(F.array(vectors.known(F.col("tokens")))).alias("known"))
-    bags = hits.select(
-        "id",
-        "path",
-        F.transform("lines", lambda t: vectors.bag(t, vectors.known(t))).alias("lines"),
-        F.when(F.col("tokens").isNotNull(), vectors.bag(F.col("tokens"), F.col("known"))).alias("whole"),
+    near_lines = slim.select("id", "path", "text", F.explode(F.array(lines)).alias("lines"))
+    blocks = F.when(F.size("lines") > 0, F.filter(F.transform(F.split("text", _BLANK_LINE), _tokens), has))
+    units = near_lines.select("id", "path", "text", "lines", F.explode(F.array(blocks)).alias("blocks"))
+    whole = F.when(F.col("blocks").isNotNull(), F.array(_tokens(F.col("text")))).otherwise(F.array().cast("array<array<string>>"))
+    files = kept(
+        units.select(
+            F.monotonically_increasing_id().alias("row"), "id", "path",
+            F.concat("lines", F.coalesce("blocks", F.array().cast("array<array<string>>")), whole).alias("units"),
+        ),
+        "licence-units",
+    )
+    # the whole text is the last unit
+    unit_words = files.where(F.size("units") > 0).select("row", F.size("units").alias("all"), F.posexplode("units").alias("unit", "words"))
+    bags = (
+        unit_words.select("row", "unit", (F.col("unit") == F.col("all") - 1).alias("whole"), F.explode("words").alias("word"))
+        .groupBy("row", "unit", "whole", "word")
+        .agg(F.count("*").alias("n"))
+        .join(counts, "word")
+        .select("row", "unit", "whole", "word", (F.col("n") * _idf(n, F.col("docs"))).alias("weight_"))
     )
-    best = F.struct(
-        F.array_min(F.transform("lines", lambda bag: vectors.best(bag))).alias("own"),
-        F.when(F.col("whole").isNotNull(), vectors.best(F.col("whole"))).alias("whole"),
+    bags = kept(bags, "licence-words")
+    lengths = bags.groupBy("row", "unit").agg(F.sqrt(F.sum(F.col("weight_") * F.col("weight_"))).alias("length"))
+    # the templates are in the code: some thousands of words
+    products = (
+        bags.join(F.broadcast(weights), "word")
+        .groupBy("row", "unit", "whole", "template")
+        .agg(F.sum(F.col("weight_") * F.col("weight")).alias("product"))
+        .join(lengths, ["row", "unit"])
     )
-    judged = kept(bags, "licence-lines").withColumn("best", F.explode(F.array(best)))
-    own = F.when(F.col("best.own.far") <= -near, F.col("best.own"))
+    licences = F.array(*[F.lit(x) for x in names])
+    nearest = products.groupBy("row").agg(
+        F.min(F.struct(_far(F.col("product"), F.col("length")).alias("far"), F.get(licences, F.col("template")).alias("name"))).alias("own"),
+        F.max(F.when(F.col("whole"), -_far(F.col("product"), F.col("length")))).alias("whole"),
+    )
+    judged = files.select("row", "id", "path").join(nearest, "row", "left")
+    own = F.when(F.col("own.far") <= -near, F.col("own"))
     name = F.regexp_extract(F.coalesce("path", F.lit("")), r"([^/]*)$", 1)
-    is_file = (own.isNotNull() & name.rlike(_LICENCE_FILE)) | (F.col("best.whole.far") <= -near)
+    is_file = (own.isNotNull() & name.rlike(_LICENCE_FILE)) | (F.col("whole") >= near)
     scanned = kept(
         judged.select(
             "id",
@@ -171,6 +145,15 @@ def scan(
         ),
         "scanned",
     )
+    return _inherited(scanned)
+
+
+def _far(product: Column, length: Column) -> Column:
+    """The cosine with its sign turned, rounded so that ties are ties."""
+    return -F.round(F.try_divide(product, length), 9)
+
+
+def _inherited(scanned: DataFrame) -> DataFrame:
     files = kept(
         scanned.where("is_file AND own_license IS NOT NULL")
         .groupBy(F.col("directory").alias("above"))

@@ -4,6 +4,7 @@ import hashlib
 import json
 import math
 import random
+import textwrap
 from collections import Counter, defaultdict
 
 import pytest
@@ -312,25 +313,47 @@ def test_licences_and_inheritance(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+def wrapped(text, mark, width=60):
+    """A licence text as a comment of several lines."""
+    return "\n".join(f"{mark} {line}" for line in textwrap.wrap(text, width, break_on_hyphens=False))
+
+
+def test_headers_blocks_and_whole_licence_files(spark):
+    """Each template as a header wrapped over several lines in a source file, and as a whole file with a copyright line."""
+    flat = [(name, t) for name, texts in licenses.TEMPLATES.items() for t in texts]
+    code = "\n\n" + "\n".join(f"def part_{i}(a, b):\n    return a + b * {i}" for i in range(60))
+    files = [(f"h{k}", f"/src/{k}/a.py", wrapped(t, "#") + code) for k, (_, t) in enumerate(flat)]
+    files += [(f"w{k}", f"/lib/{k}/LICENSE", f"Copyright (c) 2020 Some Body\n\n{wrapped(t, '')}\n") for k, (_, t) in enumerate(flat)]
+    files += [(f"i{k}", f"/lib/{k}/deep/b.py", "nothing here") for k in range(len(flat))]
+    files += [(f"n{k}", f"/none/{k}.txt", text) for k, text in enumerate([code, "the software is provided and used", "a licence for any purpose without fee"])]
+    found = {r.id: r for r in licenses.scan(spark.createDataFrame(files, "doc_id string, path string, text string")).collect()}
+    assert len(found) == len(files)
+    right = sum(found[f"{kind}{k}"].license == name for kind in "hwi" for k, (name, _) in enumerate(flat))
+    # headers of the GNU licences differ by a word or a number, and the short MPL notice is the beginning of the long one
+    assert right >= 0.95 * 3 * len(flat)
+    assert all(found[f"{kind}{k}"].license is not None for kind in "hwi" for k in range(len(flat)))
+    assert all(found[f"i{k}"].from_directory == f"/lib/{k}" for k in range(len(flat)))
+    assert all(found[f"n{k}"].license is None for k in range(3))
+
+
 def test_cosine_by_hand(spark):
-    texts = ["Licensed under the Apache License, Version 2.0. Really so, so far.", "apache apache\nthe other", MIT, "none"]
+    texts = ["Licensed under the Apache License, Version 2.0. Really so, so far.", "apache apache\nthe other", MIT, "none", f"# Released\n# under the\n# MIT License.\n\n{GPL} and more"]
     df = spark.createDataFrame([(k, "/a", t) for k, t in enumerate(texts)], "doc_id long, path string, text string")
     got = {r.id: r.cosine for r in licenses.scan(df, near=0.1).collect()}
-    words = {w for v in licenses.TEMPLATES.values() for t in v for w in licenses._words(t)}
-    df_of = {w: sum(w in licenses._words(t) for t in texts) for w in words}
-    idf = {w: math.log((len(texts) + 1) / (df_of[w] + 1)) + 1 for w in words}
+    count = Counter(w for t in texts for w in licenses._words(t))
+    df_of = {w: sum(w in licenses._words(t) for t in texts) for w in count}
 
     def vector(t):
-        raw = {w: n * idf.get(w, licenses.OTHER) for w, n in licenses._words(t).items()}
+        raw = {w: n * (math.log((len(texts) + 1) / (df_of.get(w, 0) + 1)) + 1) for w, n in licenses._words(t).items()}
         norm = math.sqrt(sum(x * x for x in raw.values()))
-        return {w: x / norm for w, x in raw.items()}
+        return {w: x / norm for w, x in raw.items()} if norm else {}
 
     for k, t in enumerate(texts):
         best = 0.0
-        for line in t.split("\n"):
+        for unit in [*t.split("\n"), *t.split("\n\n"), t]:
             for v in licenses.TEMPLATES.values():
                 for template in v:
-                    a, b = vector(line), vector(template)
+                    a, b = vector(unit), vector(template)
                     best = max(best, sum(x * b.get(w, 0) for w, x in a.items()))
         assert got[k] == pytest.approx(best if best >= 0.1 else 0.0, abs=1e-6)
 
