@@ -31,6 +31,7 @@ from meterflow.sources.store import (
     write_hourly_store,
 )
 from meterflow.streaming import job
+from meterflow.streaming.committed import read_committed, write_committed
 from meterflow.streaming.progress import batch_counts
 from meterflow.streaming.sinks import (
     BATCH_ORDER,
@@ -646,6 +647,26 @@ def stream_points(spark, sf_dir):
     return _series(op.unpivot_fields(read_points(spark, _streamed_city_points(spark, sf_dir))))
 
 
+def stream_points_committed(spark, sf_dir):
+    """City totals as messages, and from them points through the sink that shows whole batches only."""
+    totals = op.total_by_city(tables.readings(spark, sf_dir), tables.cities(spark, sf_dir))
+    messages = written_table(
+        encode_json(totals, job.MESSAGE_KEYS[job.BY_CITY]).withColumn("sent", F.timestamp_seconds(F.get_json_object("value", "$.unix_window.end").cast("long"))),
+        scratch_path(spark, "city-messages"),
+    )
+    arriving = tables.laid_out(messages, tables.by_time(messages, "sent"), tables.SLICES, "message-slices")
+    points, base = jobs.city_points(arriving), scratch_path(spark, "committed")
+    write_committed(points, f"{base}/points", f"{base}/checkpoint", available_now=True).awaitTermination()
+    stored = read_committed(spark, f"{base}/points", points.schema)
+    city = [F.col("tags")[tag].alias(tag) for tag in ("cityID", "cityName")]
+    newest = (
+        stored.groupBy("measurement", *city, "time")
+        .agg(F.max_by(F.struct("tags", "fields"), F.struct(*BATCH_ORDER)).alias("point"))
+        .select("measurement", "point.tags", "point.fields", "time")
+    )
+    return _series(op.unpivot_fields(newest))
+
+
 def stream_country_points(spark, sf_dir):
     totals = op.total_consumption(tables.readings_stream(spark, sf_dir, with_city=False))
     points = read_points(spark, _stored_points(op.to_country_points(totals)))
@@ -736,6 +757,7 @@ QUERIES = {
         stream_job_city,
         stream_job_country,
         stream_points,
+        stream_points_committed,
         stream_country_points,
         points_compacted,
         stream_city_bars,

@@ -374,5 +374,6 @@ ORACLE = {
     "stream_country_points": _with(_COUNTRY_TOTALS, _COUNTRY_POINTS, select="SELECT * FROM points"),
     "points_compacted": _city_points,
     "stream_points": _city_points,
+    "stream_points_committed": _city_points,
     "stream_city_bars": _city_hourly_bars,
 }
