@@ -29,6 +29,8 @@ HOT_SHARE = 1 / 2000
 UNIT = 1 << 20
 #: Levels that are tried, for each unit of the score.
 LEVELS = 64
+#: One in so many URLs is kept from the models.
+HELD_OUT = 5
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -128,6 +130,11 @@ def _level(scores: DataFrame) -> float:
     return best["step"] / LEVELS if best else 0.0
 
 
+def held_out(text: Column) -> Column:
+    """Whether a URL is kept from the models, to find the level on: one in ``HELD_OUT`` by its hash."""
+    return F.pmod(F.xxhash64(text, F.lit(HELD_OUT)), F.lit(HELD_OUT)) == 0
+
+
 def judged_urls(
     pages: DataFrame,
     id: str = "page_id",
@@ -140,8 +147,11 @@ def judged_urls(
     """One row per page: id, host, path, rule, verdict, and score, null where a rule decided.
 
     The longest rule that fits wins; where none does, the models decide. Both models are counted
-    over all ruled pages, a repeated page as often as it is there. Without allowed or without
-    blocked pages the models say nothing and everything else is allowed. A null URL, or one
+    over four fifths of the ruled pages, a repeated page as often as it is there; the level is found on the URLs of the other fifth
+    (:func:`held_out`), or, if that lacks allowed or blocked ones, on all ruled pages. Of levels that are equally good the one nearest to 0
+    counts, and a score at the level is allowed. Without allowed or without
+    blocked pages the models say nothing and everything else is allowed. An empty table gives no rows; a URL is scored whole, a
+    row for each of its characters, however long it is. A null URL, or one
     without ``://``, has an empty host and path and is judged by the models like any other: by
     host and path, or, if ``whole``, by all of the URL as it is written.
     """
@@ -153,11 +163,14 @@ def judged_urls(
     texts = kept(
         parsed.groupBy(text.alias("text")).agg(
             *[F.sum((F.col("ruled").eqNullSafe(c)).cast("long")).alias(c) for c in ("allow", "block")]
-        ).select("text", "allow", "block", F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2")),
+        ).select(
+            "text", "allow", "block", F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2"), held_out(F.col("text")).alias("held")
+        ),
         "urls",
-    )
+    )
+    counted = [F.when(F.col("held"), 0).otherwise(F.col(c)).cast("long").alias(c) for c in ("allow", "block")]
     grams = kept(
-        _grams(texts.select("text", "allow", "block"), order)
+        _grams(texts.select("text", *counted), order)
         .groupBy("gram")
         .agg(F.sum("allow").alias("n_allow"), F.sum("block").alias("n_block"), F.count("*").alias("n")),
         "grams",
@@ -165,8 +178,9 @@ def judged_urls(
     places = grams.agg(F.sum("n")).first()[0] or 0
     model = kept(_model(grams, order).join(grams.select("gram", "n"), "gram"), "model")
     scores = _scores(texts, model, places, order, hot_share)
-    scores = kept(scores.join(texts.select("h1", "h2", "allow", "block"), ["h1", "h2"]), "scores")
-    level = _level(scores)
+    scores = kept(scores.join(texts.select("h1", "h2", "allow", "block", "held"), ["h1", "h2"]), "scores")
+    both = scores.where("held").agg(F.sum("allow"), F.sum("block")).first()
+    level = _level(scores.where("held") if both[0] and both[1] else scores)
     score = F.col("total") / (F.col("places") * UNIT)
     method = F.when(score >= level, "allow").otherwise("block")
     return (
