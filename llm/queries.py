@@ -304,6 +304,21 @@ ORACLE: dict[str, str] = {
         SELECT vec_id, cluster::INT AS cluster, distance, cluster_inertia, (SELECT sum(cluster_inertia) FROM sums)::BIGINT AS inertia,
                centroid_sha256
         FROM a10 JOIN usable USING (r) JOIN sums USING (cluster) JOIN names USING (cluster)""",
+    "op6_line_dedup": """
+        WITH texts AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+        places AS (SELECT doc_id, l, unnest(range(1, len(l))) AS i FROM texts),
+        windows AS (SELECT doc_id, i, l[i] AS a, l[i + 1] AS b FROM places),
+        known AS (SELECT a, b, min(doc_id) AS first FROM windows GROUP BY a, b HAVING count(*) > 1),
+        hits AS (SELECT doc_id, i, first, min(i) OVER (PARTITION BY doc_id, a, b) AS least FROM windows JOIN known USING (a, b)),
+        gone AS (SELECT doc_id, i FROM hits WHERE doc_id <> first OR i >= least + 2),
+        removed AS (SELECT doc_id, i FROM gone UNION SELECT doc_id, i + 1 FROM gone),
+        lines AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line FROM texts),
+        results AS (
+            SELECT doc_id, count(removed.i) AS n_removed, string_agg(line, chr(10) ORDER BY i) FILTER (removed.i IS NULL) AS left_over
+            FROM lines LEFT JOIN removed USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, coalesce(len(l), 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+               CASE WHEN text IS NOT NULL THEN sha256(coalesce(left_over, '')) END AS kept_sha256
+        FROM texts LEFT JOIN results USING (doc_id)""",
     "op10_embedding_dedup": """
         WITH RECURSIVE vectors AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
         links AS (
