@@ -319,6 +319,52 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, coalesce(len(l), 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
                CASE WHEN text IS NOT NULL THEN sha256(coalesce(left_over, '')) END AS kept_sha256
         FROM texts LEFT JOIN results USING (doc_id)""",
+    "op9_chat_formatting": """
+        WITH RECURSIVE turns AS (
+            SELECT conv_id, turn, role, text, coalesce(length(text) % 24, -1) AS f, turn % 4 < 2 AS searches FROM conversations),
+        calls AS (
+            SELECT conv_id, turn, CASE WHEN f = 7 THEN turn - 2 ELSE turn END AS name, f, searches, text, role,
+                   CASE WHEN f = 4 THEN 'look' WHEN searches THEN 'search' ELSE 'count' END AS tool,
+                   CASE WHEN searches THEN 'turn' ELSE 'words' END AS field,
+                   (CASE WHEN searches THEN turn ELSE len(string_split(coalesce(text, ''), ' ')) END)::VARCHAR AS number,
+                   CASE WHEN f = 6 THEN turn WHEN turn % 8 >= 2 THEN turn - 2 END AS after
+            FROM turns WHERE role = 'assistant'),
+        bodies AS (
+            SELECT *, '{' || concat_ws(',',
+                       CASE WHEN searches THEN '"query":' || to_json(coalesce(text, ''))::VARCHAR ELSE '"role":' || to_json(role)::VARCHAR END,
+                       CASE WHEN f = 2 THEN '"spare":null' END,
+                       CASE WHEN f <> 1 THEN '"' || field || '":' || CASE WHEN f = 0 THEN '"' || number || '"' ELSE number END END) || '}' AS body
+            FROM calls),
+        waits AS (
+            SELECT DISTINCT c.conv_id, c.name, c.after FROM calls c JOIN (SELECT DISTINCT conv_id, name FROM calls) n
+            ON n.conv_id IS NOT DISTINCT FROM c.conv_id AND n.name = c.after),
+        circles AS (
+            SELECT conv_id, name FROM waits WHERE name = after
+            UNION SELECT w.conv_id, w.name FROM waits w JOIN circles c ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.after = c.name),
+        chains AS (
+            SELECT DISTINCT conv_id, name, 0 AS level FROM calls c
+            WHERE NOT EXISTS (SELECT 1 FROM circles x WHERE x.conv_id IS NOT DISTINCT FROM c.conv_id AND x.name = c.name)
+            UNION SELECT w.conv_id, w.name, c.level + 1
+            FROM waits w JOIN chains c ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.after = c.name
+            WHERE NOT EXISTS (SELECT 1 FROM circles x WHERE x.conv_id IS NOT DISTINCT FROM w.conv_id AND x.name = w.name)),
+        levels AS (SELECT conv_id, name, max(level) AS level FROM chains GROUP BY ALL),
+        answers AS (
+            SELECT conv_id, CASE WHEN f = 8 THEN -turn ELSE turn - 1 END AS name, min({'turn': turn, 'text': text}) AS answer
+            FROM turns WHERE role <> 'assistant' GROUP BY ALL),
+        judged AS (
+            SELECT b.*, levels.level, answer,
+                   CASE f WHEN 0 THEN field || ' is not integer' WHEN 1 THEN 'missing ' || field WHEN 2 THEN 'unexpected spare'
+                          WHEN 3 THEN 'not JSON' WHEN 4 THEN 'unknown tool' WHEN 5 THEN 'not an object' END AS problem,
+                   CASE f WHEN 3 THEN NULL WHEN 5 THEN '[' || body || ']' ELSE body END AS arguments
+            FROM bodies b
+            LEFT JOIN levels ON levels.conv_id IS NOT DISTINCT FROM b.conv_id AND levels.name = b.name
+            LEFT JOIN answers ON answers.conv_id IS NOT DISTINCT FROM b.conv_id AND answers.name = b.name)
+        SELECT conv_id, 'call_' || name AS call_id, turn AS position, level::INT AS level, problem,
+               CASE WHEN level IS NULL THEN 'circular' WHEN problem IS NOT NULL THEN 'invalid' WHEN answer IS NULL THEN 'pending'
+                    ELSE 'ok' END AS status,
+               '{' || concat_ws(',', '"arguments":' || to_json(arguments)::VARCHAR, '"id":"call_' || name || '"',
+                   '"result":' || to_json(answer.text)::VARCHAR, '"tool":"' || tool || '"') || '}' AS json
+        FROM judged""",
     "op10_embedding_dedup": """
         WITH RECURSIVE vectors AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
         links AS (
