@@ -12,29 +12,31 @@ from llm.line_dedup import DENSE, deduplicated_lines
 from llm.mixing import mixed_documents
 from llm.quality import selected, train
 from llm.queries import ship, table, toxicity_grades
+from meterflow.session import make_adaptive
 from meterflow.shared import drop_scratch, remove_path, scratch_mark, scratch_path, written_table
 
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier expects to be of the highest grade."""
-    ship(spark)
+    ship(make_adaptive(spark))
     return selected(docs, train(docs, toxicity_grades(table(spark, sf_dir, "labels"))))
 
 
 def _lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without runs of lines that an earlier one has."""
+    make_adaptive(spark)  # a window of lines that very many documents have is split among tasks
     return deduplicated_lines(docs, spacing=DENSE)
 
 
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
-    ship(spark)
+    ship(make_adaptive(spark))
     return one_per_component(docs)
 
 
 def _benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    ship(spark)
+    ship(make_adaptive(spark))
     return decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
