@@ -11,7 +11,9 @@ of no common region. Regions that touch are one. A region too large for a task i
 pivots: each point goes to the cell of its nearest pivot and, as a boundary point, to every
 cell whose pivot is at most twice the radius further away, so that by the triangle inequality
 each near pair meets in some cell. Cells are split again in the same way; what pivots no
-longer make smaller is compared tile against tile. Every step loses no link.
+longer make smaller gets a cell for each rarest run, and tiles if one run's points are too many.
+A task does the same with the pivots of each of its regions, down to cells of a few points, and
+compares only points that near pivots have not put into one component. Every step loses no link.
 """
 
 from __future__ import annotations
@@ -36,6 +38,10 @@ REGION_RUNS = 1_000_000
 BROADCAST_KEYS = 1_000_000
 #: Pivots of a region that is split.
 PIVOTS = 32
+#: Points of a cell that are compared without further pivots.
+LEAF = 4
+#: Numbers in the matrices of a comparison at a time.
+BLOCK = 4_000_000
 
 
 def _least(size: np.ndarray, near: tuple[int, int]) -> np.ndarray:
@@ -181,7 +187,7 @@ def _shared(doc_buckets: int):
 def _regions(near: tuple[int, int], run_buckets: int):
     """Of a bucket of points: those that may have a link, with their shared runs, and their regions.
 
-    kind 0: a point (node, size, its shared runs); kind 1: a link between two points of this bucket with
+    kind 0: a point (node, size, its shared runs, the rarest first); kind 1: a link between two points of this bucket with
     a common region; kind 2: regions, a point for each, dealt out by region.
     """
 
@@ -200,7 +206,7 @@ def _regions(near: tuple[int, int], run_buckets: int):
         region, member = [], []
         for i in np.flatnonzero(spare >= 0):
             mine = runs[begin[i] : stop[i]]
-            rows.append((0, 0, int(own[i]), int(size[i]), packed(np.sort(mine)), b""))
+            rows.append((0, 0, int(own[i]), int(size[i]), packed(mine), b""))
             region.append(mine[: spare[i] + 1])
             member.append(np.full(spare[i] + 1, own[i]))
         if region:
@@ -240,39 +246,111 @@ def _unpack_links(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": unpacked(frame["x"], np.int64), "b": unpacked(frame["y"], np.int64)})
 
 
-def _common(runs: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(first, last, how many runs the points from first to last have in common with each point)."""
+def _common(runs: list[np.ndarray], rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(some of ``rows``, how many runs these points have in common with each point)."""
     names, at = np.unique(np.concatenate(runs), return_inverse=True)
     owner = np.repeat(np.arange(len(runs)), [len(x) for x in runs])
     count = np.bincount(at, minlength=len(names))
     column = np.cumsum(count > 1) - 1
     useful = count[at] > 1
     at, owner = column[at[useful]], owner[useful]
-    width, tall = int((count > 1).sum()), 1024
+    width, each = int((count > 1).sum()), BLOCK // len(runs)
+    tall, broad = max(1, min(1024, each)), max(1, min(2048, each))
     order = np.argsort(at, kind="stable")
     at, owner = at[order], owner[order]
-    for low in range(0, len(runs), tall):
-        high = min(len(runs), low + tall)
-        found = np.zeros((high - low, len(runs)), dtype=np.float32)
-        for left in range(0, width, 2048):
-            lo, hi = np.searchsorted(at, [left, left + 2048])
-            some = np.zeros((len(runs), min(2048, width - left)), dtype=np.float32)
+    for low in range(0, len(rows), tall):
+        mine = rows[low : low + tall]
+        found = np.zeros((len(mine), len(runs)), dtype=np.float32)
+        for left in range(0, width, broad):
+            lo, hi = np.searchsorted(at, [left, left + broad])
+            some = np.zeros((len(runs), min(broad, width - left)), dtype=np.float32)
             some[owner[lo:hi], at[lo:hi] - left] = 1
-            found += some[low:high] @ some.T
-        yield low, high, found
+            found += some[mine] @ some.T
+        yield mine, found
+
+
+class _Region:
+    """The points of a region and, as they become known, their components: ``label`` is a point of each."""
+
+    def __init__(self, size: np.ndarray, runs: list[np.ndarray], near: tuple[int, int]) -> None:
+        self.size, self.runs, self.near = size, runs, near
+        self.label = np.arange(len(size))
+        names, at = np.unique(np.concatenate(runs), return_inverse=True)
+        self.at = np.split(at, np.cumsum([len(x) for x in runs])[:-1])
+        self.marked = np.zeros(len(names), dtype=bool)
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        a, b = forest(self.label[a], self.label[b])
+        root = {x: x for x in np.union1d(a, b).tolist()}
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            root[top(x)] = top(y)
+        if root:
+            into = np.arange(len(self.label))
+            into[list(root)] = [top(x) for x in root]
+            self.label = into[self.label]
+
+    def common(self, pivot: int, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        self.marked[self.at[pivot]] = True
+        sums = np.concatenate([[0], np.cumsum(self.marked[at])])
+        self.marked[self.at[pivot]] = False
+        return sums[starts[1:]] - sums[starts[:-1]]
+
+    def cells(self, points: np.ndarray, pivots: int) -> list[np.ndarray]:
+        """The cells of pivots that are far from one another, boundary points in several; points near a pivot are joined."""
+        at = np.concatenate([self.at[i] for i in points])
+        starts = np.concatenate([[0], np.cumsum([len(self.at[i]) for i in points])])
+        radius, far, least, pivot = 1 - self.near[0] / self.near[1], [], np.full(len(points), 2.0), 0
+        while len(far) < pivots and least[pivot] > radius:
+            common = self.common(points[pivot], at, starts)
+            union = self.size[points] + self.size[points[pivot]] - common
+            linked = points[common * self.near[1] >= union * self.near[0]]
+            self.join(linked, np.full(len(linked), points[pivot]))
+            far.append(1 - common / union)
+            least = np.minimum(least, far[-1])
+            pivot = int(np.argmax(least))
+        return [points[x <= least + 2 * radius + 1e-9] for x in far]
+
+    def compare(self, points: np.ndarray) -> int:
+        """Every two points of different components, but for two of the largest: they are one already."""
+        label, count = np.unique(self.label[points], return_counts=True)
+        rest = np.flatnonzero(self.label[points] != label[np.argmax(count)])
+        for mine, common in _common([self.runs[i] for i in points], rest):
+            common = common.astype(np.int64)
+            union = self.size[points[mine], None] + self.size[points][None, :] - common
+            i, j = np.nonzero(common * self.near[1] >= union * self.near[0])
+            self.join(points[mine[i]], points[j])
+        return len(rest) * len(points)
 
 
-def near_links(node: np.ndarray, size: np.ndarray, runs: list[np.ndarray], near: tuple[int, int]):
-    """Links between points of one region as a forest: exact, by comparing sizes of intersections."""
-    a, b = node[:0], node[:0]
-    if len(node) > 1:
-        for low, high, common in _common(runs):
-            common = common.astype(np.int64)
-            union = size[low:high, None] + size[None, :] - common
-            i, j = np.nonzero(common * near[1] >= union * near[0])
-            i += low
-            a, b = forest(np.concatenate([a, node[i]]), np.concatenate([b, node[j]]))
-    return a, b
+def near_links(node: np.ndarray, size: np.ndarray, runs: list[np.ndarray], near: tuple[int, int], tally: dict | None = None):
+    """Links between points of one region as a forest: exact, by pivots, cells and windows.
+
+    Cells are split again until they are small, have one component or no longer become smaller; then
+    the sizes of intersections are compared. ``tally`` counts splits and comparisons.
+    """
+    if len(node) < 2:
+        return node[:0], node[:0]
+    region, tally = _Region(size, runs, near), {} if tally is None else tally
+    waiting = [np.arange(len(node))]
+    while waiting:
+        points = waiting.pop()
+        if len(points) > LEAF:
+            cells = region.cells(points, max(2, min(max(PIVOTS, len(points) // 8), BLOCK // len(points))))
+            tally["splits"] = tally.get("splits", 0) + 1
+            cells = [x for x in cells if (region.label[x] != region.label[x[0]]).any()]
+            if sum(len(x) for x in cells) <= 2 * len(points) and all(len(x) <= 0.7 * len(points) for x in cells):
+                waiting += cells
+                continue
+        if (region.label[points] != region.label[points[0]]).any():
+            tally["compared"] = tally.get("compared", 0) + region.compare(points)
+    linked = np.flatnonzero(region.label != np.arange(len(node)))
+    return node[linked], node[region.label[linked]]
 
 
 def _solve(near: tuple[int, int]):
@@ -336,7 +414,7 @@ def _joined_regions(members: DataFrame, near: tuple[int, int], most: int, pivots
             return links
         large = kept(members.join(weights.where(F.col("weight") > most), "region"), "large")
         if before is not None and largest > 0.7 * before:
-            return links.unionByName(_tiled(large, near, most))
+            return links.unionByName(_by_rarest(large, near, most))
         before, volume = largest, large.agg(F.sum(runs)).first()[0]
         draw = F.pmod(F.xxhash64("node", F.lit(int(largest))), F.lit(1_000_000)) / 1_000_000
         chosen = large.where(draw < F.lit(float(pivots)) / F.col("n"))
@@ -347,7 +425,7 @@ def _joined_regions(members: DataFrame, near: tuple[int, int], most: int, pivots
         centres = chosen.withColumn("salt", copies).groupBy("region", "salt")
         members = kept(points.cogroup(centres).applyInPandas(_with_home(near), _MEMBER), "cells")
         if members.agg(F.sum(runs)).first()[0] > 4 * volume:  # everything is near the boundary of everything
-            return links.unionByName(_tiled(large, near, most))
+            return links.unionByName(_by_rarest(large, near, most))
 
 
 def _with_home(near: tuple[int, int]):
@@ -361,6 +439,44 @@ def _with_home(near: tuple[int, int]):
     return run
 
 
+def _rarest(near: tuple[int, int]):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            runs = [np.frombuffer(x, np.int64) for x in frame["runs"]]
+            spare = np.array([len(x) for x in runs], dtype=np.int64) - _least(frame["n_shingles"].to_numpy(), near) + 1
+            some = [x[:n] for x, n in zip(runs, spare.tolist(), strict=True)]
+            at = np.repeat(np.arange(len(frame)), [len(x) for x in some])
+            yield pd.DataFrame(
+                {
+                    "region": frame["region"].to_numpy()[at],
+                    "node": frame["node"].to_numpy()[at],
+                    "run": np.concatenate([*some, np.zeros(0, np.int64)]),
+                }
+            )
+
+    return run
+
+
+def _by_rarest(large: DataFrame, near: tuple[int, int], most: int) -> DataFrame:
+    """Links within regions that pivots don't split: a cell for each of a point's rarest runs, as near points share one.
+
+    Runs with the same points make one cell. Only points of one such run too many for a task are compared tile by tile.
+    """
+    own = kept(large.select("region", "node", "n_shingles", "runs").mapInPandas(_rarest(near), "region string, node long, run long"), "rarest")
+    names = [F.bit_xor(F.xxhash64("node", F.lit(salt))).alias(f"name{salt}") for salt in (1, 2)]
+    shared = own.groupBy("region", "run").agg(F.count("*").alias("n"), *names).where("n > 1")
+    one = shared.groupBy("region", "n", "name1", "name2").agg(F.min("run").alias("run")).select("region", "run")
+    cell = F.concat_ws("#", "region", F.hex("run")).alias("region")
+    cells = own.join(one, ["region", "run"]).join(large, ["region", "node"]).select(cell, "node", "n_shingles", "runs")
+    cells = kept(cells, "cells-by-run")
+    weights = kept(cells.groupBy("region").agg(F.sum(F.octet_length("runs") / 8).alias("weight")), "weights")
+    total = weights.agg(F.sum("weight")).first()[0]
+    part = F.pmod(F.xxhash64("region"), F.lit(int((total or 0) / most) + 1)).alias("part")
+    small = cells.join(weights.where(F.col("weight") <= most), "region").select(part, "region", "node", "n_shingles", "runs")
+    found = small.groupBy("part").applyInPandas(_solve(near), LINKS)
+    return found.unionByName(_tiled(cells.join(weights.where(F.col("weight") > most), "region"), near, most))
+
+
 def _tiled(large: DataFrame, near: tuple[int, int], most: int) -> DataFrame:
     """Links within large regions by comparing every tile of points with every other, a task for each two."""
     tiles = F.ceil(2 * F.col("weight") / most).cast("int")

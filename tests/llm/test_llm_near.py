@@ -14,7 +14,7 @@ from llm import words
 from llm.common import common_values
 from llm.embedding_dedup import embedding_classes, learn
 from llm.graph import components
-from llm.jaccard_join import _set_runs, jaccard_classes, one_per_component
+from llm.jaccard_join import _by_rarest, _set_runs, jaccard_classes, near_links, one_per_component
 from llm.substring_dedup import _anchors, _stretches, repeated_words, window_anchors, window_hashes
 
 SMALL = "/root/testdata/sf0.001"
@@ -85,6 +85,70 @@ def test_jaccard_in_drifting_texts(spark, options):
     check_classes(spark, chain(60, 5) + [(1000 + i, t) for i, t in chain(30, 6)], **options)
 
 
+def points_of(texts):
+    """Points of one region as the join has them: the runs that several have, the rarest first."""
+    sets = [words.shingle_sets(next(words.chunks(pa.array([t]), lower=True))[2], 5)[0] for t in texts]
+    names, count = np.unique(np.concatenate(sets), return_counts=True)
+    often = [count[np.searchsorted(names, x)] for x in sets]
+    runs = [x[np.lexsort((x, n))][(n == 1).sum() :] for x, n in zip(sets, often, strict=True)]
+    return np.array([len(x) for x in sets]), runs
+
+
+def check_links(texts, a, b):
+    rows = list(enumerate(texts))
+    wanted = {i: c for i, (_, c) in brute_classes(rows).items()}
+    assert roots(range(len(texts)), zip(a, b, strict=True)) == wanted
+    assert len(a) == len(texts) - len(set(wanted.values()))  # a forest
+
+
+def test_pivots_decide_in_a_region(spark):
+    """All given documents as one region, and drifting texts: splits by pivots, links as by brute force."""
+    given = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect() if r.text and split(r.text)]
+    given = sorted({shingles(t): t for t in given}.values())
+    for texts in (given, [t for _, t in chain(200, 7)], [t for k in range(40) for _, t in chain(8, k)]):
+        texts = list(dict.fromkeys(texts))
+        size, runs = points_of(texts)
+        tally = {}
+        a, b = near_links(np.arange(len(texts)), size, runs, (75, 100), tally)
+        check_links(texts, a.tolist(), b.tolist())
+        assert tally["splits"] >= 1
+
+
+def test_copies_about_a_pivot_are_not_compared_with_each_other():
+    rng = random.Random(2)
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*base[:k], f"x{n}", *base[k:]]) for n in range(400) for k in [rng.randrange(200)]]
+    size, runs = points_of(texts)
+    tally = {}
+    a, b = near_links(np.arange(400), size, runs, (75, 100), tally)
+    assert len(a) == 399 and tally.get("compared", 0) == 0
+
+
+@pytest.mark.parametrize("most", [1_000_000, 800])
+def test_a_percolating_region_is_split_by_rarest_runs(spark, most):
+    """Texts that pass passages on to the next touch all along, but are near few others."""
+    rng = random.Random(3)
+    passage = [" ".join(f"p{k}_{i}" for i in range(20)) for k in range(60)]
+    texts = [f"{passage[k]} own{k} {passage[(k + 1) % 60]}" for k in range(60)]
+    texts += [t + " end" for t in rng.sample(texts, 20)]
+    size, runs = points_of(texts)
+    rows = [("r", k, int(size[k]), runs[k].tobytes()) for k in range(len(texts)) if 4 * len(runs[k]) >= 3 * size[k]]
+    large = spark.createDataFrame(rows, "region string, node long, n_shingles long, runs binary")
+    weight = sum(len(r[3]) / 8 for r in rows)
+    found = _by_rarest(large.selectExpr("*", f"{weight}D AS weight"), (75, 100), most).collect()
+    wanted = {i: c for i, (_, c) in brute_classes(list(enumerate(texts))).items()}
+    assert roots(range(len(texts)), [(r.a, r.b) for r in found]) == wanted
+
+
+def test_common_values_are_bounded_by_entries(spark):
+    """A value of few documents by share is common where ``most`` says so; the sample grows with it."""
+    rows = [(i, f"a b c d {i % 5} e f g h i{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    some = common_values(df, "doc_id", "text", _set_runs(5), True, share=0.5, sample=40)
+    more = common_values(df, "doc_id", "text", _set_runs(5), True, share=0.5, sample=40, most=40)
+    assert len(some) < len(more) and set(some.tolist()) <= set(more.tolist())
+
+
 def test_components(spark):
     rng = random.Random(9)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(330)]
