@@ -10,7 +10,7 @@ from meterflow.operators.consumption import (
     yearly_average,
     yearly_by_meter,
 )
-from meterflow.operators.enrich import enrich_city, lookup_join
+from meterflow.operators.enrich import enrich_city, hot_keys, lookup_join
 from meterflow.operators.points import to_city_points, to_country_points, unpivot_fields
 from meterflow.operators.quality import (
     detect_rollback,

@@ -536,8 +536,9 @@ def stream_repeated(spark, sf_dir):
     """Hourly sums of messages that each come twice, the second time up to 20 minutes later."""
     events = tables.table(spark, sf_dir, "events").withColumn("sent", F.col("ts"))
     twice = events.unionByName(events.withColumn("sent", F.expr("sent + make_dt_interval(0, 0, event_id % 21)")))
-    arriving = tables.laid_out(twice, tables.by_time(twice, "sent"), tables.SLICES, "repeated").drop("sent")
-    readings = tables.as_readings(spark, sf_dir, arriving)
+    number = tables.by_time(twice, "sent")
+    arriving = tables.laid_out(twice, number, tables.SLICES, "repeated").drop("sent")
+    readings = tables.as_readings(spark, sf_dir, arriving, lambda: op.hot_keys(twice, "user_id", number))
     sums = op.hourly_by_meter(op.without_repeats(readings, ["readingID"], "30 minutes"), watermark=None)
     return _windows(op.reconcile(_streamed(spark, {"repeated": sums})["repeated"]))
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.functions.clock import calendar_parts, unix_window
-from meterflow.operators.enrich import lookup_join
+from meterflow.operators.enrich import hot_keys, lookup_join
 from meterflow.schemas import CITY, TOTAL
 from meterflow.shared import order_files, scratch_path
 
@@ -40,7 +41,7 @@ def _meters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _as_readings(events: DataFrame, meters: DataFrame | None) -> DataFrame:
+def _as_readings(events: DataFrame, meters: DataFrame | None, hot: Callable[[], list] | None = None) -> DataFrame:
     readings = events.select(
         F.col("event_id").alias("readingID"),
         F.col("user_id").alias("meterID"),
@@ -49,14 +50,14 @@ def _as_readings(events: DataFrame, meters: DataFrame | None) -> DataFrame:
     )
     if meters is None:
         return readings
-    return lookup_join(readings, meters, "meterID").select(
+    return lookup_join(readings, meters, "meterID", hot=hot).select(
         "readingID", "meterID", "cityID", "timestamp", "activeDelta"
     )
 
 
-def as_readings(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
-    """Events, also of a stream, as readings with their city."""
-    return _as_readings(events, _meters(spark, sf_dir))
+def as_readings(spark: SparkSession, sf_dir: str, events: DataFrame, hot: Callable[[], list] | None = None) -> DataFrame:
+    """Events, also of a stream, as readings with their city; ``hot`` names the meters that have very many in a micro-batch."""
+    return _as_readings(events, _meters(spark, sf_dir), hot)
 
 
 def readings(
@@ -110,7 +111,9 @@ def readings_stream(
     events = table(spark, sf_dir, "events")
     number = by_time(events, "ts", slices) if arrival is None else arrival
     arriving = laid_out(events, number, slices, "event-slices")
-    return _as_readings(arriving, _meters(spark, sf_dir) if with_city else None)
+    if not with_city:
+        return _as_readings(arriving, None)
+    return as_readings(spark, sf_dir, arriving, lambda: hot_keys(events, "user_id", number))
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:

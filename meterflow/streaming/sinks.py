@@ -21,6 +21,10 @@ from meterflow.shared import child_names, claim_name, file_names, files_digest,
 # Order of the rows that batches left behind: later generations, then later batches.
 BATCH_ORDER = ("generation", "batch")
 
+#: Parts that the rows of a batch are dealt to before they are written. AQE joins small ones and splits large ones, so this
+#: bounds neither files nor rows; each of the stream's tasks, often hundreds, opens a file for every part.
+_PARTS = 32
+
 _BATCH_COLUMNS = T.StructType([
     T.StructField("generation", T.IntegerType()),
     T.StructField("batch", T.LongType()),
@@ -96,7 +100,7 @@ def write_batches(
         # Spark turns AQE off in the session of a stateful stream; this concerns the write only.
         with adaptive_execution(batch.sparkSession):
             (
-                batch.hint("rebalance", *partition_by)
+                batch.hint("rebalance", _PARTS, *partition_by)
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "static")
                 .partitionBy(*partition_by)
@@ -121,7 +125,7 @@ def _add_points(points: DataFrame, path: str) -> None:
     with adaptive_execution(points.sparkSession):
         (
             points.select(*_STORED_POINT.fieldNames())
-            .hint("rebalance", "date")
+            .hint("rebalance", _PARTS, "date")
             .write.mode("append")
             .partitionBy("date")
             .parquet(path)

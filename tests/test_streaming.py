@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterflow import operators as op
 from meterflow.functions import encode_json
-from meterflow.operators.enrich import lookup_join
+from meterflow.operators.enrich import hot_keys, lookup_join
 from meterflow.schemas import POINT, READING
 from meterflow.sources.kafka import read_kafka_batch, read_kafka_stream
 from meterflow.streaming import job, sinks
@@ -228,6 +228,27 @@ def test_a_large_lookup_table_is_salted_in_a_stream(spark, feed, tmp_path):
     assert rows(op.reconcile(emitted, ["home", "unix_window"])) == rows(direct)
 
 
+def test_a_stream_copies_only_the_rows_of_hot_keys(spark, feed, tmp_path):
+    feed.add(*[(7 if i % 3 == 0 else i, 0, T0 + i, 1.0) for i in range(60)]).add((7, 0, T0, 5.0), (None, 0, T0, 1.0))
+    dim = spark.range(60).selectExpr("id AS meterID", "id % 5 AS home")
+    parsed = feed.batch()
+    part = F.when(F.col("timestamp") < F.timestamp_seconds(F.lit(T0 + 30)), 0).otherwise(1)
+    assert hot_keys(parsed, "meterID", part, least=10) == [7]
+    assert hot_keys(parsed, "meterID", part, least=30) == []
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        direct = rows(op.windowed_sum(lookup_join(parsed, dim, "meterID"), ["home"], "1 hour"))
+        for keys in ([7], []):
+            streamed = lookup_join(feed.stream(), dim, "meterID", salts=4, hot=lambda keys=keys: keys)
+            plan = streamed._jdf.queryExecution().analyzed().toString()
+            assert ("explode(CASE WHEN" in plan) == bool(keys), plan
+            emitted = run(op.windowed_sum(streamed, ["home"], "1 hour", "1 hour"), tmp_path, f"out{len(keys)}")
+            assert rows(op.reconcile(emitted, ["home", "unix_window"])) == direct
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def file_sink(spark, tmp_path, available_now=True):
     def start(name, result, checkpoint):
         messages = encode_json(result, job.MESSAGE_KEYS[name])
