@@ -13,15 +13,23 @@ task's work is bounded however large the vocabulary, and however many the source
 from __future__ import annotations
 
 import string
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.graph import kept
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: A term is a run of what is left of a text's UTF-8 bytes between blanks: [^\x00-\x40\x5B-\x60\x7B-\x7F]+ with A-Z lower-cased.
+_PLAIN = bytes(b if b >= 128 or chr(b) in string.ascii_letters else 32 for b in range(256)).lower()
+#: Different terms that a task counts at a time, about; bytes of a text that it takes apart at a time; rows it hands on at a time.
+HELD = 200_000
+STRETCH = 1 << 20
+_ROWS = 20_000
 #: Probabilities are whole numbers of this many parts.
 PARTS = 1_000_000_000
 #: Counts in a block of the vocabulary, about.
@@ -48,23 +56,66 @@ def _share(count: str, total: str) -> Column:
     return F.expr(f"1L + (CAST({count} AS DECIMAL(19,0)) + 2) * {PARTS}BD div CAST({total} AS DECIMAL(20,0))")
 
 
-def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+def _stretches(text: bytes, most: int) -> Iterator[list[bytes]]:
+    """The terms of a text, those of about ``most`` bytes at a time; a term is a run of letters and all that is not ASCII, in lower case."""
+    try:
+        text.decode()
+    except UnicodeDecodeError:
+        text = text.decode("utf-8", "replace").encode()
+    start, plain = 0, text.translate(_PLAIN)
+    while start < len(plain):
+        end = plain.find(b" ", start + most)
+        end = len(plain) if end < 0 else end
+        yield plain[start:end].split()
+        start = end
+
+
+def _counted(most: int, stretch: int):
+    """For batches of (lang, source, text): (lang, source, term, n, docs), ``most`` terms of all groups held at a time, or one document's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, counts = 0, defaultdict(lambda: (Counter(), Counter()))
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for (lang, source), (n, docs) in counts.items():
+                terms = list(n)
+                columns = [pa.repeat(pa.scalar(x, pa.binary()), len(terms)) for x in (lang, source)]
+                columns += [pa.array(terms, pa.binary())]
+                columns += [pa.array(map(c.__getitem__, terms), pa.int64()) for c in (n, docs)]
+                whole = pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
+                yield from (whole.slice(at, _ROWS) for at in range(0, len(whole), _ROWS))
+
+        for batch in batches:
+            for lang, source, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                n, docs = counts[lang, source]
+                before, own = len(n), set()
+                for terms in _stretches(text, stretch):
+                    n.update(terms)
+                    own.update(terms)
+                docs.update(own)
+                held += len(n) - before
+                if held >= most:
+                    yield from rows()
+                    held = 0
+                    counts.clear()
+        yield from rows()
+
+    return run
+
+
+def term_counts(
+    docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", most: int = HELD, stretch: int = STRETCH
+) -> DataFrame:
     """(lang, source, term, n, docs): how often a term occurs in the texts of a group, and in how many of them.
 
-    The terms of a document are counted beside its different terms, and both are summed before they are
+    Each task counts the terms of its documents, ``most`` different ones at a time, and these counts are summed before they are
     shuffled: a group with a third of all rows is as many rows as there are tasks and terms.
     """
-    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    found = docs.select(
-        F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
-        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
-        F.regexp_extract_all(lowered, F.lit(TERM), F.lit(0)).alias("terms"),
-    )
-    rows = found.select(
-        "lang", "source", F.size("terms").alias("own"), F.posexplode(F.concat("terms", F.array_distinct("terms"))).alias("at", "term")
-    )
-    counted = F.when(F.col("at") < F.col("own"), 1).otherwise(0).cast("long")
-    return rows.groupBy("lang", "source", "term").agg(F.sum(counted).alias("n"), F.sum(1 - counted).alias("docs"))
+    # as bytes, which no step on the way checks or changes
+    plain = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).cast("binary").alias(a) for c, a in ((lang, "lang"), (source, "source"), (text, "text"))])
+    counted = plain.mapInArrow(_counted(most, stretch), "lang binary, source binary, term binary, n long, docs long")
+    names = [F.col(c).cast("string").alias(c) for c in ("lang", "source", "term")]
+    return counted.select(*names, "n", "docs").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def _vocabulary(counts: DataFrame, least: int) -> DataFrame:
@@ -184,7 +235,7 @@ def source_divergence(
 
     Null texts, languages and sources are read as empty ones, and so a group of their own; a group without terms has
     pairs only. Repeated rows count as often as they are there. A language with one source has no pairs; an
-    empty table gives no rows. Texts of any length are counted whole, as one array of terms a document. Counts
+    empty table gives no rows. Texts of any length are counted whole. Counts
     go up to about 4 * 10^17 in a language.
     """
     slim = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))

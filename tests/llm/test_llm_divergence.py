@@ -7,7 +7,7 @@ import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
 
-from llm.divergence import PARTS, _runs, scaled, source_divergence
+from llm.divergence import PARTS, _runs, scaled, source_divergence, term_counts
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -81,6 +81,24 @@ def test_shares_are_exact(count, rest):
     assert scaled(np.array([count]), total).tolist() == [1 + PARTS * (count + 2) // total]
 
 
+def test_terms_are_counted_in_python_a_bounded_part_at_a_time(spark):
+    texts = ["Äpfel äpfel B b\x00ÀB\u00a0c\u2003d e_f g1h", "b " * 50 + "x" * 40, "", None, "b\U0001f600c İI \x7fz\x7f", "B-b"]
+    df = spark.createDataFrame([(t, "de", s) for t in texts for s in ("a", None)], "text string, lang string, source string")
+    words = [re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (t or "").translate(LOWER)) for t in texts]
+    n, docs = Counter(w for d in words for w in d), Counter(w for d in words for w in set(d))
+    wanted = sorted(("de", s, w, n[w], docs[w]) for s in ("a", "") for w in n)
+    for options in ({}, {"most": 1, "stretch": 1}, {"most": 3, "stretch": 7}):
+        counted = term_counts(df, **options)
+        assert sorted(map(tuple, counted.collect())) == wanted
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+
+
+def test_a_text_that_is_not_utf8_is_counted(spark):
+    df = spark.sql("SELECT cast(X'61FF6220C3A4' AS STRING) text, 'de' lang, 'a' source")
+    assert sorted(map(tuple, term_counts(df).select("term", "n", "docs").collect())) == [("a\ufffdb", 1, 1), ("ä", 1, 1)]
+
+
 def test_runs():
     import pandas as pd
 
