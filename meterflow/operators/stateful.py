@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -34,11 +35,6 @@ def _to_micros(df: DataFrame) -> list:
     return [F.unix_micros(f.name).alias(f.name) if f.dataType == T.TimestampType() else F.col(f"`{f.name}`") for f in df.schema.fields]
 
 
-def _from_micros(schema: T.StructType, parent: str) -> list:
-    cells = [(f, F.col(f"{parent}.`{f.name}`")) for f in schema.fields]
-    return [(F.timestamp_micros(c) if f.dataType == T.TimestampType() else c).alias(f.name) for f, c in cells]
-
-
 def _below(value: float, other: float) -> bool:
     """Less than, as in SQL: NaN is above all numbers."""
     return value < other or (math.isnan(other) and not math.isnan(value))
@@ -50,23 +46,29 @@ def _cells(struct) -> tuple:
 
 
 class _LastReading(StatefulProcessor):
-    """State of a meter: the order and the register of its last report."""
+    """State of a meter: the order and the register of its last report.
+
+    Rows are meter, register and the cells of the report, those of the order at ``at``.
+    """
 
-    def __init__(self, state: T.StructType) -> None:
-        self.schema = state
+    def __init__(self, state: T.StructType, at: Sequence[int], cells: Sequence[str]) -> None:
+        self.schema, self.at, self.out = state, at, Row(*cells, "previous")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", self.schema)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        last = tuple(self.last.get()) if self.last.exists() else None
-        for row in sorted(rows, key=lambda r: _cells(r["order"])):
-            now = _cells(row["order"])
-            if last is not None and now <= last[:-1]:
-                continue
-            if last is not None and _below(row["reading"], last[-1]):
-                yield Row(report=row["report"], previous=float(last[-1]))
-            last = (*now, row["reading"])
+        known = self.last.get()  # None if there is none
+        last = None if known is None else tuple(known)
+        out, before = self.out, None if last is None else last[:-1]
+        for now, row in sorted(((tuple([r[k] for k in self.at]), r) for r in rows), key=itemgetter(0)):
+            reading = row[1]
+            if last is not None:
+                if now <= before:
+                    continue
+                if _below(reading, last[-1]):
+                    yield out(*row[2:], float(last[-1]))
+            before, last = now, (*now, reading)
         if last is not None:
             self.last.update(last)
 
@@ -89,17 +91,19 @@ def rollback_stream(readings: DataFrame, register: str, order_by: Sequence[str]
     state = T.StructType([*[T.StructField(c, fields[c]) for c in order_by], T.StructField("reading", T.DoubleType())])
     if "reading" in order_by:
         raise ValueError("the order may not have a column named reading")
-    cells = _to_micros(whole)
-    by_name = dict(zip(whole.columns, cells, strict=True))
+    # plain columns under names that no column of the reports has: a struct costs Python many times as much
+    cells = [f"_cell_{k}" for k in range(len(plain.fields))]
     reports = whole.select(
         F.col("meterID").alias("meter"),
-        F.struct(*[by_name[c] for c in order_by]).alias("order"),
         F.col(register).cast("double").alias("reading"),
-        F.struct(*cells).alias("report"),
+        *[c.alias(cell) for c, cell in zip(_to_micros(whole), cells, strict=True)],
     )
-    out = T.StructType([T.StructField("report", plain), T.StructField("previous", T.DoubleType())])
-    found = reports.groupBy("meter").transformWithState(_LastReading(state), out, "Append", "None")
-    return found.select(*_from_micros(whole.schema, "report"), "previous")
+    out = T.StructType([*[T.StructField(cell, f.dataType) for cell, f in zip(cells, plain.fields, strict=True)], T.StructField("previous", T.DoubleType())])
+    # the rows begin with the meter and the register
+    at = [2 + whole.columns.index(c) for c in order_by]
+    found = reports.groupBy("meter").transformWithState(_LastReading(state, at, cells), out, "Append", "None")
+    named = [F.timestamp_micros(cell) if f.dataType == T.TimestampType() else F.col(cell) for cell, f in zip(cells, whole.schema.fields, strict=True)]
+    return found.select(*[c.alias(f.name) for c, f in zip(named, whole.schema.fields, strict=True)], "previous")
 
 
 class _Newest(StatefulProcessor):

@@ -77,6 +77,12 @@ def test_rollback_on_a_stream_equals_the_batch(spark, tmp_path):
     assert rows(streamed.select(*batch.columns)) == rows(batch)
 
 
+def test_reports_reach_python_as_plain_columns(spark, tmp_path):
+    """A struct's cells cost Python several times as much."""
+    flow = op.detect_rollback(timed(reports(spark, tmp_path).add(report(1, 1, 0, 10.0)).stream()), "register", ["timestamp", "id"])
+    assert "struct(" not in flow._jdf.queryExecution().analyzed().toString()
+
+
 def test_rollback_goes_on_from_the_checkpoint(spark, tmp_path):
     feed = reports(spark, tmp_path).add(report(1, 1, 0, 10.0), report(2, 2, 0, 3.0))
     flow = lambda: op.detect_rollback(timed(feed.stream()), "register", ["timestamp", "id"])
